@@ -6,6 +6,8 @@ a row falls into them. All functions work on batch and streaming frames.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,25 +50,42 @@ def _sensor_cols():
     return [F.col(c).alias(c.split(".")[-1]) for c in SENSOR_KEY]
 
 
-def _latest(*fields: str) -> Column:
-    """Latest row in ``(timestamp, seq)`` order, carrying ``fields``."""
-    return F.max(F.struct(F.col("measurement.timestamp").alias("timestamp"),
-                          F.col("seq").alias("seq"),
-                          *[F.col(f).alias(f.replace(".", "_")) for f in fields]))
+def _order_key() -> Column:
+    """``(timestamp, seq)`` as one fixed-width number: ``timestamp * 10^19 +
+    seq`` in DECIMAL(38, 0) (exact for any non-negative long ``seq``). A struct
+    key would force sort-based aggregation; a decimal keeps it hash-based."""
+    ts = F.col("measurement.timestamp").cast("decimal(20,0)")
+    return ts * F.lit(Decimal(10 ** 19)).cast("decimal(20,0)") + F.col("seq").cast("decimal(20,0)")
+
+
+def _latest_aggs(fields) -> list[Column]:
+    """Latest row in ``(timestamp, seq)`` order: its key, its timestamp and
+    ``fields`` taken from it (one ``max_by`` per field, all hash-aggregable)."""
+    key = _order_key()
+    return ([F.max(key).alias("last_key"),
+             F.max(F.col("measurement.timestamp")).alias("last_timestamp")]
+            + [F.max_by(F.col(f), key).alias("last_" + f.split(".")[-1]) for f in fields])
+
+
+def _merge_latest(fields) -> list[Column]:
+    """Merge partial "latest" columns of several panes."""
+    return ([F.max("last_key").alias("last_key"), F.max("last_timestamp").alias("last_timestamp")]
+            + [F.max_by("last_" + f.split(".")[-1], "last_key").alias("last_" + f.split(".")[-1])
+               for f in fields])
 
 
-def _average_record(df: DataFrame, sum_v: str, sum_a: str, n: str, last: str) -> DataFrame:
+def _average_record(df: DataFrame, sum_v: str, sum_a: str, n: str) -> DataFrame:
     """Window result as a sensor record: value = mean (double), accuracy =
     mean of a double sum narrowed to float, sensor / location / timestamp of
     the latest row."""
     return df.select(
         F.struct(F.col("sensorId"), F.col("vendorId"), F.col("sensorType")).alias("sensor"),
-        F.struct(F.col(f"{last}.location_longitude").alias("longitude"),
-                 F.col(f"{last}.location_latitude").alias("latitude"),
-                 F.col(f"{last}.location_height").alias("height")).alias("location"),
+        F.struct(F.col("last_longitude").alias("longitude"),
+                 F.col("last_latitude").alias("latitude"),
+                 F.col("last_height").alias("height")).alias("location"),
         F.struct((F.col(sum_v) / F.col(n)).alias("value"),
                  (F.col(sum_a) / F.col(n)).cast("float").alias("accuracy"),
-                 F.col(f"{last}.timestamp").alias("timestamp")).alias("measurement"),
+                 F.col("last_timestamp").alias("timestamp")).alias("measurement"),
         F.col("windowStart"), F.col("windowEnd"), F.col(n).alias("count"),
     )
 
@@ -92,16 +111,16 @@ def sliding_average(df: DataFrame, size_ms: int, slide_ms: int) -> DataFrame:
     panes = (df.groupBy(*_sensor_cols(),
                         floor_to(F.col("measurement.timestamp"), slide_ms).alias("pane"))
                .agg(F.sum(val).alias("sv"), F.sum(acc).alias("sa"),
-                    F.count(F.lit(1)).alias("n"), _latest(*_LOC).alias("last")))
+                    F.count(F.lit(1)).alias("n"), *_latest_aggs(_LOC)))
     per_window = size_ms // slide_ms
     windows = (panes
                .withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(per_window - 1))))
                .withColumn("windowStart", F.col("pane") - F.col("k").cast("long") * F.lit(slide_ms))
                .groupBy("sensorId", "vendorId", "sensorType", "windowStart")
                .agg(F.sum("sv").alias("sv"), F.sum("sa").alias("sa"),
-                    F.sum("n").alias("n"), F.max("last").alias("last"))
+                    F.sum("n").alias("n"), *_merge_latest(_LOC))
                .withColumn("windowEnd", F.col("windowStart") + F.lit(size_ms)))
-    return _average_record(windows, "sv", "sa", "n", "last")
+    return _average_record(windows, "sv", "sa", "n")
 
 
 def sliding_average_builtin(df: DataFrame, size_ms: int, slide_ms: int,
@@ -114,7 +133,7 @@ def sliding_average_builtin(df: DataFrame, size_ms: int, slide_ms: int,
     w = F.window(ts, _duration(size_ms), _duration(slide_ms))
     agg = (df.groupBy(*_sensor_cols(), w.alias("w"))
              .agg(F.sum("measurement.value").alias("sv"), F.sum(acc).alias("sa"),
-                  F.count(F.lit(1)).alias("n"), _latest(*_LOC).alias("last"))
+                  F.count(F.lit(1)).alias("n"), *_latest_aggs(_LOC))
              .withColumn("windowStart", F.unix_millis("w.start"))
              .withColumn("windowEnd", F.unix_millis("w.end")))
-    return _average_record(agg, "sv", "sa", "n", "last")
+    return _average_record(agg, "sv", "sa", "n")
