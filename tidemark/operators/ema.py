@@ -49,9 +49,11 @@ def _flat_key(df: DataFrame, key_cols) -> tuple[DataFrame, list[str]]:
 
 
 def _emit(df: DataFrame, frame: Window) -> DataFrame:
-    vs = F.collect_list(F.col("measurement.value")).over(frame)
-    accs = F.collect_list(F.col("measurement.accuracy")).over(frame)
-    return (df.withColumn("_vs", vs).withColumn("_as", accs)
+    # both frame lists in one select: one Window operator
+    df = df.select("*", F.col("measurement.value").alias("_v"), F.col("measurement.accuracy").alias("_a"))
+    vs = F.collect_list(F.col("_v")).over(frame)
+    accs = F.collect_list(F.col("_a")).over(frame)
+    return (df.select("*", vs.alias("_vs"), accs.alias("_as")).drop("_v", "_a")
               .withColumn("measurement", F.struct(
                   _fold_value(F.col("_vs")).alias("value"),
                   _fold_accuracy(F.col("_as")).alias("accuracy"),

@@ -68,8 +68,11 @@ def watermark_trace(df: DataFrame, out_of_orderness_ms: int, window_ms: int,
     # running maximum inside the bucket, excluding the record itself
     inside = Window.partitionBy("_bucket").orderBy(F.col(order_col)).rowsBetween(
         Window.unboundedPreceding, -1)
-    for name, cond in groups:
-        data = data.withColumn(f"_in_{name}", F.max(F.when(cond, ts)).over(inside))
+    # masked copies first, then every running maximum in one select: one
+    # Window operator (one sorted pass) for all groups
+    data = data.select("*", *[F.when(cond, ts).alias(f"_ts_{name}") for name, cond in groups])
+    data = data.select("*", *[F.max(f"_ts_{name}").over(inside).alias(f"_in_{name}")
+                              for name, _ in groups]).drop(*[f"_ts_{n}" for n, _ in groups])
 
     joined = data.join(prefix, "_bucket", "left")
     seen = []
