@@ -57,10 +57,10 @@ def test_trace_matches_brute_force_across_buckets(spark):
     df = _df(spark, rows)
     for scope in ("global", "partition"):
         expect = _brute(rows, 250, 1000, scope)
-        for bucket_rows in (1 << 20, 64, 7):
+        for bucket_rows, per_super in ((1 << 20, 1 << 12), (64, 1 << 12), (7, 3), (5, 1)):
             got = _got(watermark_trace(df, 250, 1000, scope=scope, partitions=range(8),
-                                       bucket_rows=bucket_rows))
-            assert got == expect, (scope, bucket_rows)
+                                       bucket_rows=bucket_rows, buckets_per_super=per_super))
+            assert got == expect, (scope, bucket_rows, per_super)
 
 
 def test_initial_max_carries_state(spark):
