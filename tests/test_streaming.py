@@ -132,3 +132,24 @@ def test_sensor_streams_match_batch_with_restart(spark):
     sl_got = spark.read.parquet(os.path.join(work, "sliding")).filter("sensorId != 999999")
     assert sorted(map(key, sl_got.collect())) == sorted(
         map(key, sl_expect.select("windowStart", "count", "sensor.sensorId", "measurement.*").collect()))
+
+
+def test_us_temperature_gauges_observed(spark):
+    temps = extended_measurements(spark, SMALL).filter("sensor.sensorType = 'Temperature'")
+    pdf = flatten(temps).toPandas()
+    pdf["accuracy"] = pdf["accuracy"].astype("float32")
+    work = tempfile.mkdtemp(prefix="tidemark-gauge-")
+    write_numbered(pdf, os.path.join(work, "src"), 2)
+    stream = nest(spark.readStream.schema(FLAT_SCHEMA).option("maxFilesPerTrigger", 1)
+                  .parquet(os.path.join(work, "src")))
+    q = start(flatten(sensor_streams(stream).temperature), "temps_gauge", sink="noop",
+              checkpoint=os.path.join(work, "ck"), trigger=AVAILABLE_NOW)
+    q.awaitTermination(600)
+    batches = [p for p in q.recentProgress if p.numInputRows > 0]
+    assert len(batches) == 2
+    from tidemark.functions.geo import is_in_us
+    from pyspark.sql import functions as F
+    us = temps.filter(is_in_us("location.longitude", "location.latitude"))
+    c_max = us.agg(F.max("measurement.value")).first()[0]
+    assert max(p.observedMetrics["sourceTemperatureUS"]["max"] for p in batches) == c_max
+    assert max(p.observedMetrics["normalizedTemperatureUS"]["max"] for p in batches) == c_max * 9.0 / 5.0 + 32

@@ -50,25 +50,45 @@ def build_session(master: str | None = None, app: str = "tidemark",
     return spark
 
 
+ROOT_KEY = "tidemark.checkpoint.root"
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts, streaming checkpoints and side tables.
 
     A cluster names it in ``spark.checkpoint.dir`` and that value always wins.
-    Only when it is unset (local tests) a fresh temporary folder is created and
-    recorded in the session, so later calls reuse it.
+    Only when it is unset, a folder given with :func:`use_checkpoint_root`
+    (job argument) is used, or, in local mode (tests), a fresh temporary
+    folder. The choice is recorded in the session, so later calls reuse it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not root:
+        root = spark.conf.get(ROOT_KEY, None)
     if not root:
         master = spark.sparkContext.master or ""
         if not master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    spark.conf.set(ROOT_KEY, root)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root
 
 
+def use_checkpoint_root(spark: SparkSession, path: str) -> None:
+    """Use ``path`` unless the cluster set ``spark.checkpoint.dir``."""
+    if not spark.sparkContext.getConf().get("spark.checkpoint.dir", None):
+        spark.conf.set(ROOT_KEY, path)
+
+
 def checkpoint_path(spark: SparkSession, *parts: str) -> str:
     """A sub-folder of :func:`checkpoint_root` (one per query / side table)."""
     return os.path.join(checkpoint_root(spark), *parts)
+
+
+def ensure_dir(spark: SparkSession, path: str) -> None:
+    """Create ``path`` on whatever file system it names (local, HDFS, object
+    store), so a stream can be started on a folder before its first file."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(hpath)

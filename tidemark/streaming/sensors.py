@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tidemark.functions.geo import is_in_us
 from tidemark.functions.records import localize_temperature, localize_wind
 from tidemark.operators.routing import split_by_type
 from tidemark.operators.windows import sliding_average_builtin
@@ -86,17 +87,27 @@ class SensorStreams:
     unrouted: DataFrame
 
 
+def us_temperature_gauge(df: DataFrame, name: str) -> DataFrame:
+    """Observed metric ``name``: mean / min / max of US temperatures in each
+    micro-batch (read from ``StreamingQueryProgress.observedMetrics``)."""
+    v = F.when(is_in_us("location.longitude", "location.latitude"), F.col("measurement.value"))
+    return df.observe(name, F.avg(v).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"))
+
+
 def sensor_streams(records: DataFrame, sliding=SLIDING_REF, watermark_ms: int = 0) -> SensorStreams:
     """The four outputs (plus ``unrouted``) as streaming DataFrames; start
     each with its own query and checkpoint. The sliding average emits a window
     once the watermark (largest event time minus ``watermark_ms``) passes its
-    end."""
+    end. The temperature output carries the gauges ``sourceTemperatureUS``
+    (before conversion) and ``normalizedTemperatureUS`` (after)."""
     routed = split_by_type(records)
     temps = routed.temperature
     timed = (temps.withColumn("event_time", F.timestamp_millis("measurement.timestamp"))
                   .withWatermark("event_time", f"{int(watermark_ms)} milliseconds"))
     return SensorStreams(
-        temperature=localize_temperature(temps),
+        temperature=us_temperature_gauge(
+            localize_temperature(us_temperature_gauge(temps, "sourceTemperatureUS")),
+            "normalizedTemperatureUS"),
         ema=localize_temperature(ema_stream(temps)),
         sliding=localize_temperature(sliding_average_builtin(timed, *sliding, time_col="event_time")),
         wind=localize_wind(routed.wind),
