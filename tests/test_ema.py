@@ -54,7 +54,7 @@ def test_ema_matches_recursion(spark, sizes):
     expect = _exact(rows)
     df = _records(spark, rows)
     for got in (_got(ema_window(df, SENSOR_KEY)),
-                _got(ema_chunked(df, SENSOR_KEY, chunk_rows=64, bucket_ms=1_000_000))):
+                _got(ema_chunked(df, SENSOR_KEY, chunk_rows=64))):
         assert set(got) == set(expect)          # the first row of each key is not emitted
         for s, (v, a, ts) in expect.items():
             assert got[s][0] == pytest.approx(v, rel=0, abs=1e-12)
@@ -75,5 +75,37 @@ def test_chunked_equals_window_on_hot_key(spark):
             for i in range(3000)]
     df = _records(spark, rows)
     a = _got(ema_window(df, SENSOR_KEY))
-    b = _got(ema_chunked(df, SENSOR_KEY, chunk_rows=100, bucket_ms=997))
+    b = _got(ema_chunked(df, SENSOR_KEY, chunk_rows=100))
     assert a == b
+
+
+def test_rank_within_key_splits_a_hot_key(spark):
+    from tidemark.operators.ema import rank_within_key
+    rnd = random.Random(9)
+    rows = [(i, 0 if i % 10 else 1, rnd.randint(0, 1000)) for i in range(5000)]
+    df = spark.createDataFrame(rows, "seq long, k long, ts long")
+    ranked = rank_within_key(df.repartition(7), ["k"], ["ts", "seq"])
+    got = {(r["k"], r["seq"]): r["_rank"] for r in ranked.collect()}
+    expect = {}
+    for k in (0, 1):
+        keyed = sorted((r for r in rows if r[1] == k), key=lambda r: (r[2], r[0]))
+        expect.update({(k, r[0]): i + 1 for i, r in enumerate(keyed)})
+    assert got == expect
+    # the hot key (90 % of the rows) is spread over several range partitions
+    from pyspark.sql import functions as F
+    parts = (df.repartitionByRange(8, "k", "ts", "seq").filter("k = 0")
+               .select(F.spark_partition_id().alias("p")).distinct().count())
+    assert parts > 1
+
+
+def test_rank_branches_share_one_range_shuffle(spark):
+    from tidemark.operators.ema import rank_within_key
+    df = spark.createDataFrame([(i, i % 3, i * 7 % 11) for i in range(100)], "seq long, k long, ts long")
+    ranked = rank_within_key(df, ["k"], ["ts", "seq"])
+    ranked.collect()
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    # rows and counts both scan the materialised ranges; no second sampling
+    assert plan.count("InMemoryTableScan") >= 2
+    top = plan.split("InMemoryRelation")[0]
+    assert "rangepartitioning" not in top
+    spark.catalog.clearCache()

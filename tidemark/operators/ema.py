@@ -13,19 +13,29 @@ Two plans are offered:
 
 * ``window``: one window partitioned by the key. Simple, one shuffle, but a
   hot key is sorted in one task.
-* ``chunked`` (default): rows get their exact rank within the key from
-  per-(key, time-bucket) counts, are cut into chunks of ``chunk_rows`` ranks,
-  and each chunk also receives the 63 rows that precede it (a halo). The frame
-  then runs per (key, chunk): a key of any size spreads over many tasks and the
-  result is the same row for row.
+* ``chunked`` (default): rows get their exact rank within the key, are cut
+  into chunks of ``chunk_rows`` ranks, and each chunk also receives the 63
+  rows that precede it (a halo). The frame then runs per (key, chunk): a key of
+  any size spreads over many tasks and the result is the same row for row.
+
+Ranks come from Spark's range partitioner: ``repartitionByRange(key, ts, seq)``
+samples the input and cuts it into balanced sorted ranges, splitting a hot key
+over as many partitions as its size needs. Inside a sorted partition
+``monotonically_increasing_id`` follows the order, so a row's rank is the rows
+of its key in earlier partitions (from per-(key, partition) counts: at most
+``keys + partitions`` rows, which Spark's size check broadcasts) plus its
+position in the partition. No step holds more than one range partition or
+one chunk.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.records import floor_to
+from tidemark.session import checkpoint_root
+
 
 DEPTH = 64
 
@@ -72,25 +82,49 @@ def ema_window(df: DataFrame, key_cols, order_cols=("measurement.timestamp", "se
     return out.drop("_rn", *keys)
 
 
+def rank_within_key(df: DataFrame, keys, order_cols, materialize: str = "persist") -> DataFrame:
+    """Add ``_rank`` (1-based position of the row within its key in
+    ``order_cols`` order) without sorting any key in a single task.
+
+    The counts and the rows must come from the *same* range shuffle: the
+    partitioner samples its bounds per shuffle, and two shuffles of the same
+    rows may cut differently. The sorted ranges are therefore materialised
+    once and both branches read them: ``persist`` (cached blocks; a lost block
+    is rebuilt from the same shuffle, so bounds and order stay the same) or
+    ``checkpoint`` (written to the shared checkpoint folder).
+    """
+    order = [F.col(c) for c in order_cols]
+    key_cols = [F.col(k) for k in keys]
+    ranges = (df.repartitionByRange(*key_cols, *order)
+                .sortWithinPartitions(*key_cols, *order))
+    if materialize == "checkpoint":
+        checkpoint_root(df.sparkSession)
+        ranges = ranges.checkpoint(eager=True)
+    else:
+        ranges = ranges.persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = (ranges.withColumn("_pid", F.spark_partition_id())
+                    .withColumn("_id", F.monotonically_increasing_id()))
+    # rows and first id per (key, range partition): at most keys + partitions
+    # rows; offsets = rows of the key in earlier partitions
+    counts = (ranged.groupBy(*keys, "_pid")
+                    .agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
+                    .withColumn("_off", F.coalesce(F.sum("_n").over(
+                        Window.partitionBy(*keys).orderBy("_pid")
+                        .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+                    .drop("_n"))
+    return (ranged.join(counts, [*keys, "_pid"])
+                  .withColumn("_rank", F.col("_off") + F.col("_id") - F.col("_first") + F.lit(1))
+                  .drop("_pid", "_id", "_first", "_off"))
+
+
 def ema_chunked(df: DataFrame, key_cols, order_cols=("measurement.timestamp", "seq"),
-                chunk_rows: int = 1 << 20, bucket_ms: int = 3_600_000) -> DataFrame:
+                chunk_rows: int = 1 << 20, materialize: str = "persist") -> DataFrame:
     """EMA with exact ranks and overlapping chunks (see module doc)."""
     if chunk_rows < DEPTH:
         raise ValueError("chunk_rows must be at least the frame depth")
     df, keys = _flat_key(df, key_cols)
-    order = [F.col(c) for c in order_cols]
-    df = df.withColumn("_b", floor_to(F.col(order_cols[0]), bucket_ms))
-    # rows per (key, bucket) -> rank offset of each bucket within its key; this
-    # table has one row per key and bucket, not per input row
-    offsets = (df.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
-                 .withColumn("_off", F.coalesce(F.sum("_n").over(
-                     Window.partitionBy(*keys).orderBy("_b")
-                     .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-                 .drop("_n"))
-    ranked = (df.join(offsets, [*keys, "_b"])
-                .withColumn("_rank", F.col("_off") + F.row_number().over(
-                    Window.partitionBy(*keys, "_b").orderBy(*order)))
-                .drop("_off", "_b"))
+    df = df.withColumn("_o0", F.col(order_cols[0])).withColumn("_o1", F.col(order_cols[1]))
+    ranked = rank_within_key(df, keys, ["_o0", "_o1"], materialize).drop("_o0", "_o1")
     pos = F.col("_rank") - F.lit(1)
     chunk = F.floor(pos / F.lit(chunk_rows))
     in_halo = F.pmod(pos, F.lit(chunk_rows)) >= F.lit(chunk_rows - (DEPTH - 1))
