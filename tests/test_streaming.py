@@ -153,3 +153,29 @@ def test_us_temperature_gauges_observed(spark):
     c_max = us.agg(F.max("measurement.value")).first()[0]
     assert max(p.observedMetrics["sourceTemperatureUS"]["max"] for p in batches) == c_max
     assert max(p.observedMetrics["normalizedTemperatureUS"]["max"] for p in batches) == c_max * 9.0 / 5.0 + 32
+
+
+def test_late_tagger_resumes_after_restart(spark):
+    """Stop after part of the input, restart on the same checkpoint: the
+    carried watermark state continues, outputs equal one uninterrupted run."""
+    rec = kafka_records(spark, MEDIUM, DAY.skew_ms).drop("poison")
+    pdf = rec.toPandas().sort_values("seq")
+    work = tempfile.mkdtemp(prefix="tidemark-restart-")
+    src = os.path.join(work, "src")
+    late, on_time, state = (os.path.join(work, d) for d in ("late", "ontime", "state"))
+    half = len(pdf) // 2
+    nxt = write_numbered(pdf.iloc[:half], src, 3, schema=RECORD_ARROW)
+
+    def run():
+        q = start_batches(read_record_files(spark, src, max_files_per_trigger=1), "tagger_restart",
+                          LateTagger(DAY, late, on_time, state),
+                          checkpoint=os.path.join(work, "ck"), trigger=AVAILABLE_NOW)
+        q.awaitTermination(600)
+
+    run()
+    write_numbered(pdf.iloc[half:], src, 3, start_index=nxt, schema=RECORD_ARROW)
+    run()
+    batch = location_pipeline(kafka_records(spark, MEDIUM, DAY.skew_ms), DAY)
+    got_late = sorted((r["seq"], r["watermark"]) for r in spark.read.parquet(late).collect())
+    assert got_late == sorted((r["seq"], r["watermark"]) for r in batch.late.collect())
+    assert spark.read.parquet(on_time).count() + len(got_late) == len(pdf)

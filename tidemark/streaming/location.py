@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -73,21 +74,25 @@ class LateTagger:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         prev = self._previous(spark, batch_id)
-        seen = last_seen(batch, self.scope, self.partitions)
-        state = seen.select(*[F.greatest(F.col(c), F.lit(prev.get(c)).cast("long")).alias(c)
-                              for c in seen.columns])
-        if not batch.isEmpty():
-            traced = watermark_trace(batch, self.preset.out_of_orderness_ms, self.preset.window_ms,
-                                     scope=self.scope, partitions=self.partitions,
-                                     initial_max=prev).persist()
-            cols = [c for c in traced.columns if c not in ("late", "batch", "poison")]
-            (traced.filter(F.col("late")).select(*cols).write.mode("overwrite")
-                   .parquet(os.path.join(self.late_path, f"batch={batch_id}")))
-            (traced.filter(~F.col("late")).select(*cols).write.mode("overwrite")
-                   .parquet(os.path.join(self.on_time_path, f"batch={batch_id}")))
-            traced.unpersist()
-        # last, so a replay after a failure finds the previous state unchanged
-        state.write.mode("overwrite").parquet(os.path.join(self.state_path, f"batch={batch_id}"))
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)   # read once, used three times
+        try:
+            seen = last_seen(batch, self.scope, self.partitions)
+            state = seen.select(*[F.greatest(F.col(c), F.lit(prev.get(c)).cast("long")).alias(c)
+                                  for c in seen.columns])
+            if not batch.isEmpty():
+                traced = watermark_trace(batch, self.preset.out_of_orderness_ms, self.preset.window_ms,
+                                         scope=self.scope, partitions=self.partitions,
+                                         initial_max=prev).persist(StorageLevel.MEMORY_AND_DISK)
+                cols = [c for c in traced.columns if c not in ("late", "batch", "poison")]
+                (traced.filter(F.col("late")).select(*cols).write.mode("overwrite")
+                       .parquet(os.path.join(self.late_path, f"batch={batch_id}")))
+                (traced.filter(~F.col("late")).select(*cols).write.mode("overwrite")
+                       .parquet(os.path.join(self.on_time_path, f"batch={batch_id}")))
+                traced.unpersist()
+            # last, so a replay after a failure finds the previous state unchanged
+            state.write.mode("overwrite").parquet(os.path.join(self.state_path, f"batch={batch_id}"))
+        finally:
+            batch.unpersist()
 
 
 def read_tagged(spark, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
