@@ -93,3 +93,34 @@ def test_pipeline_outputs_partition_input(spark):
     # every record is either late, undecodable, or counted in a window
     late_invalid = out.late.join(out.invalid.select("seq"), "seq").count()
     assert on_time_valid + n_late + n_invalid - late_invalid == n_rec
+
+
+def test_tagger_batches_equal_one_trace_both_scopes(spark):
+    """The stream tagger, fed the same rows in three micro-batches, tags every
+    record as the one-shot trace does (state carried between batches)."""
+    import os
+    import tempfile
+
+    from tidemark.sources.fixtures import Preset
+    from tidemark.streaming.location import LateTagger
+
+    rnd = random.Random(21)
+    rows = [(i, 1_000 + i * 10 + rnd.randint(-3000, 0) - 60 * p, p, bytearray(b"{}"))
+            for i, p in ((i, rnd.choice([1, 2, 3, 5, 6, 7])) for i in range(600))]
+    df = spark.createDataFrame(rows, "seq long, timestamp long, partition int, value binary")
+    preset = Preset(window_ms=1000, out_of_orderness_ms=250, skew_ms=0, idle_timeout_ms=1000)
+    for scope in ("global", "partition"):
+        work = tempfile.mkdtemp(prefix="tidemark-tagger-")
+        late, on_time, state = (os.path.join(work, d) for d in ("late", "ontime", "state"))
+        tagger = LateTagger(preset, late, on_time, state, scope=scope, partitions=range(8))
+        for batch_id, (lo, hi) in enumerate([(0, 150), (150, 151), (151, 600)]):
+            tagger(df.filter(f"seq >= {lo} AND seq < {hi}"), batch_id)
+        tagger(df.filter("seq < 0"), 3)                     # an empty batch keeps the state
+        expect = _got(watermark_trace(df, 250, 1000, scope=scope, partitions=range(8)))
+        got_late = {r["seq"]: r["watermark"] for r in spark.read.parquet(late).collect()}
+        got_on = {r["seq"]: r["watermark"] for r in spark.read.parquet(on_time).collect()}
+        assert set(got_late) == {s for s, v in expect.items() if v[2]}, scope
+        assert set(got_on) == {s for s, v in expect.items() if not v[2]}, scope
+        assert all(expect[s][0] == w for s, w in {**got_late, **got_on}.items()), scope
+        assert os.path.isdir(os.path.join(state, "batch=3"))
+        assert len(got_late) > 0
