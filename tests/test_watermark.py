@@ -124,3 +124,44 @@ def test_tagger_batches_equal_one_trace_both_scopes(spark):
         assert all(expect[s][0] == w for s, w in {**got_late, **got_on}.items()), scope
         assert os.path.isdir(os.path.join(state, "batch=3"))
         assert len(got_late) > 0
+
+
+def test_tagger_orders_kafka_frames_by_arrival(spark):
+    """Kafka-shaped input (offsets per partition, no global sequence): the
+    tagger ranks (arrival_ms, partition, offset) and tags as the trace over
+    that order does."""
+    import os
+    import tempfile
+
+    from pyspark.sql import functions as F
+    from pyspark.sql import Window
+
+    from tidemark.operators.watermark import with_arrival_order
+    from tidemark.sources.fixtures import Preset
+    from tidemark.sources.kafka import KAFKA_ORDER
+    from tidemark.streaming.location import LateTagger
+
+    rnd = random.Random(5)
+    rows, offsets = [], {}
+    for i in range(400):
+        p = rnd.choice([1, 2, 3])
+        arrival = 1_000 + i * 7 // 3            # ties in arrival time across partitions
+        offsets[p] = offsets.get(p, -1) + 1
+        rows.append((arrival, arrival - rnd.randint(0, 2500), p, offsets[p], bytearray(b"{}")))
+    df = spark.createDataFrame(rows, "arrival_ms long, timestamp long, partition int, offset long, value binary")
+    ranked, handle = with_arrival_order(df, KAFKA_ORDER)
+    brute = df.withColumn("seq", F.row_number().over(Window.orderBy(*KAFKA_ORDER)) - 1)
+    assert sorted(ranked.select("seq", *KAFKA_ORDER).collect()) == sorted(brute.select("seq", *KAFKA_ORDER).collect())
+    handle.unpersist()
+
+    work = tempfile.mkdtemp(prefix="tidemark-kafka-")
+    late, on_time, state = (os.path.join(work, d) for d in ("late", "ontime", "state"))
+    tagger = LateTagger(Preset(1000, 250, 0, 1000), late, on_time, state, order_cols=KAFKA_ORDER)
+    tagger(df.filter("arrival_ms < 1400"), 0)
+    tagger(df.filter("arrival_ms >= 1400"), 1)
+    expect = {(r["partition"], r["offset"]): r["late"]
+              for r in watermark_trace(brute, 250, 1000).collect()}
+    got = {(r["partition"], r["offset"]): True for r in spark.read.parquet(late).collect()}
+    got.update({(r["partition"], r["offset"]): False for r in spark.read.parquet(on_time).collect()})
+    assert got == expect
+    assert any(expect.values())

@@ -22,7 +22,7 @@ from tidemark.plans.location import location_pipeline
 from tidemark.plans.sensors import SLIDING_HOURS, SLIDING_REF, sensor_pipeline
 from tidemark.session import build_session, checkpoint_root, ensure_dir, use_checkpoint_root
 from tidemark.sources.fixtures import DAY, REF, extended_measurements, kafka_records
-from tidemark.sources.kafka import read_kafka, read_record_files
+from tidemark.sources.kafka import KAFKA_ORDER, read_kafka, read_record_files
 from tidemark.streaming.location import LateTagger, on_time_windows, read_tagged
 from tidemark.streaming.sensors import FLAT_SCHEMA, flatten, nest, sensor_streams
 from tidemark.streaming.sinks import start, start_batches
@@ -52,8 +52,9 @@ def run_location(spark, args):
     ``--available-now`` the stages run one after the other."""
     preset = PRESETS[args.preset]
     root = os.path.join(checkpoint_root(spark), args.app_id, "location")
+    order = ("seq",)
     if args.kafka_servers:
-        records = read_kafka(spark, args.kafka_servers, args.topic)
+        records, order = read_kafka(spark, args.kafka_servers, args.topic), KAFKA_ORDER
     else:
         records = read_record_files(spark, args.source, max_files_per_trigger=args.max_files)
     late, on_time, state = (os.path.join(root, d) for d in ("late", "on_time", "tagger_state"))
@@ -61,7 +62,8 @@ def run_location(spark, args):
         ensure_dir(spark, folder)
     sink = "console" if args.local else "noop"
     trigger, app = _trigger(args), args.app_id
-    tagger = start_batches(records, "LateTagger", LateTagger(preset, late, on_time, state),
+    tagger = start_batches(records, "LateTagger",
+                           LateTagger(preset, late, on_time, state, order_cols=order),
                            trigger=trigger, app_id=app)
     if args.available_now:
         tagger.awaitTermination()

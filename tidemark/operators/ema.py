@@ -83,8 +83,15 @@ def ema_window(df: DataFrame, key_cols, order_cols=("measurement.timestamp", "se
 
 
 def rank_within_key(df: DataFrame, keys, order_cols, materialize: str = "persist") -> DataFrame:
+    """See :func:`rank_with_handle`; returns the ranked frame only."""
+    return rank_with_handle(df, keys, order_cols, materialize)[0]
+
+
+def rank_with_handle(df: DataFrame, keys, order_cols, materialize: str = "persist"):
     """Add ``_rank`` (1-based position of the row within its key in
-    ``order_cols`` order) without sorting any key in a single task.
+    ``order_cols`` order) without sorting any key in a single task. Returns
+    ``(ranked, ranges)``; ``ranges.unpersist()`` frees the materialised ranges
+    once the ranked frame has been used.
 
     The counts and the rows must come from the *same* range shuffle: the
     partitioner samples its bounds per shuffle, and two shuffles of the same
@@ -112,9 +119,10 @@ def rank_within_key(df: DataFrame, keys, order_cols, materialize: str = "persist
                         Window.partitionBy(*keys).orderBy("_pid")
                         .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
                     .drop("_n"))
-    return (ranged.join(counts, [*keys, "_pid"])
-                  .withColumn("_rank", F.col("_off") + F.col("_id") - F.col("_first") + F.lit(1))
-                  .drop("_pid", "_id", "_first", "_off"))
+    ranked = (ranged.join(counts, [*keys, "_pid"])
+                    .withColumn("_rank", F.col("_off") + F.col("_id") - F.col("_first") + F.lit(1))
+                    .drop("_pid", "_id", "_first", "_off"))
+    return ranked, ranges
 
 
 def ema_chunked(df: DataFrame, key_cols, order_cols=("measurement.timestamp", "seq"),

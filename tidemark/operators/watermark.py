@@ -150,3 +150,13 @@ def partition_activity(df: DataFrame, num_partitions: int, idle_timeout_ms: int,
             .withColumn("rows", F.coalesce(F.col("rows"), F.lit(0)))
             .withColumn("idle", F.col("lastArrival").isNull()
                         | (F.col("lastArrival") < clock - F.lit(idle_timeout_ms))))
+
+
+def with_arrival_order(df: DataFrame, order_cols, name: str = "seq"):
+    """Dense arrival order ``name`` (0-based) from sortable columns such as a
+    Kafka record's ``(arrival_ms, partition, offset)``: offsets alone are only
+    ordered within one partition. Ranked with one range shuffle, no single
+    task. Returns ``(frame, handle)``; call ``handle.unpersist()`` after use."""
+    from tidemark.operators.ema import rank_with_handle
+    ranked, handle = rank_with_handle(df.withColumn("_all", F.lit(0)), ["_all"], list(order_cols))
+    return ranked.withColumn(name, F.col("_rank") - F.lit(1)).drop("_rank", "_all"), handle

@@ -11,15 +11,17 @@ from tidemark.schemas import KAFKA_RECORD
 RECORD_FILE_SCHEMA = "seq BIGINT, arrival_ms BIGINT, timestamp BIGINT, key BINARY, value BINARY, partition INT"
 
 
+KAFKA_ORDER = ("arrival_ms", "partition", "offset")
+
+
 def from_kafka_frame(df: DataFrame) -> DataFrame:
     """Map the Kafka connector's columns to the record shape: its TIMESTAMP
-    becomes epoch ms, ``offset`` serves as arrival order within a partition."""
-    return df.select(
-        F.col("offset").alias("seq"),
-        F.unix_millis(F.col("timestamp")).alias("arrival_ms"),
-        F.unix_millis(F.col("timestamp")).alias("timestamp"),
-        "key", "value", "partition",
-    )
+    (append time) becomes ``arrival_ms`` and the event time ``timestamp`` in
+    epoch ms. Offsets only order records inside one partition, so arrival
+    order is ``KAFKA_ORDER``; the late tagger ranks it per micro-batch."""
+    ms = F.unix_millis(F.col("timestamp"))
+    return df.select(ms.alias("arrival_ms"), ms.alias("timestamp"), "key", "value",
+                     "partition", "offset")
 
 
 def read_kafka(spark: SparkSession, bootstrap_servers: str, topic: str, **options) -> DataFrame:
@@ -51,5 +53,5 @@ def read_lines(spark: SparkSession, path: str, column: str = "name") -> DataFram
             .filter(F.col(column) != ""))
 
 
-__all__ = ["KAFKA_RECORD", "RECORD_FILE_SCHEMA", "from_kafka_frame", "read_kafka",
+__all__ = ["KAFKA_ORDER", "KAFKA_RECORD", "RECORD_FILE_SCHEMA", "from_kafka_frame", "read_kafka",
            "read_record_files", "read_lines"]

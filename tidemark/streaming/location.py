@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.decode import tolerant_decode
-from tidemark.operators.watermark import last_seen, watermark_trace
+from tidemark.operators.watermark import last_seen, watermark_trace, with_arrival_order
 from tidemark.operators.windows import EVENT_TIME, tumbling_sum_count, with_event_time
 from tidemark.sources.fixtures import NUM_PARTITIONS, REF, Preset
 
@@ -57,10 +57,15 @@ class LateTagger:
     """
 
     def __init__(self, preset: Preset, late_path: str, on_time_path: str, state_path: str,
-                 scope: str = "global", partitions=tuple(range(NUM_PARTITIONS))):
+                 scope: str = "global", partitions=tuple(range(NUM_PARTITIONS)),
+                 order_cols=("seq",)):
         self.preset = preset
         self.late_path, self.on_time_path, self.state_path = late_path, on_time_path, state_path
         self.scope, self.partitions = scope, partitions
+        # ("seq",): records carry their arrival order. Otherwise a dense order
+        # is ranked from these columns in every micro-batch (Kafka input:
+        # ("arrival_ms", "partition", "offset")).
+        self.order_cols = tuple(order_cols)
 
     def _previous(self, spark, batch_id: int) -> dict:
         if batch_id == 0:
@@ -74,6 +79,9 @@ class LateTagger:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         prev = self._previous(spark, batch_id)
+        handle = None
+        if self.order_cols != ("seq",):
+            batch, handle = with_arrival_order(batch, self.order_cols)
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)   # read once, used three times
         try:
             seen = last_seen(batch, self.scope, self.partitions)
@@ -93,6 +101,8 @@ class LateTagger:
             state.write.mode("overwrite").parquet(os.path.join(self.state_path, f"batch={batch_id}"))
         finally:
             batch.unpersist()
+            if handle is not None:
+                handle.unpersist()
 
 
 def read_tagged(spark, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
