@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.records import floor_to
 
-BUCKET_ROWS = 1 << 16
+BUCKET_ROWS = 1 << 13
 BUCKETS_PER_SUPER = 1 << 12
 
 
