@@ -87,3 +87,22 @@ def test_line_list_reader(spark):
     with open(path, "w") as f:
         f.write("\n".join(f"  {n} " for n in names) + "\n\n")
     assert [r["name"] for r in read_lines(spark, path).collect()] == names
+
+
+def test_keyed_reuse_adds_no_second_shuffle(spark):
+    """RT-4: once rows are hash-partitioned by sensor, per-sensor tumbling
+    windows and the per-sensor EMA window reuse that partitioning."""
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.ema import ema_window
+    from tidemark.operators.routing import key_by_sensor
+    from tidemark.schemas import SENSOR_KEY
+    from tidemark.sources.fixtures import extended_measurements
+
+    keyed = key_by_sensor(extended_measurements(spark, SMALL))
+    windows = keyed.groupBy(*[F.col(c) for c in SENSOR_KEY],
+                            F.window(F.timestamp_millis("measurement.timestamp"), "1 hour")).count()
+    for df in (windows, ema_window(keyed, SENSOR_KEY)):
+        plan = _plan(df)          # includes the exchanges Spark inserts
+        assert plan.count("Exchange hashpartitioning") == 1, plan
+        assert "Exchange SinglePartition" not in plan and "rangepartitioning" not in plan
