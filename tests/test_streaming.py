@@ -16,7 +16,8 @@ from tidemark.plans.location import location_pipeline
 from tidemark.schemas import SENSOR_KEY
 from tidemark.sources.fixtures import DAY, extended_measurements, kafka_records
 from tidemark.sources.kafka import read_record_files
-from tidemark.streaming.location import LateTagger, location_windows, on_time_windows, read_tagged
+from tidemark.streaming.location import (LateTagger, location_windows, on_time_windows, read_tagged,
+                                         with_lag_gauge)
 from tidemark.streaming.sensors import FLAT_SCHEMA, flatten, nest, sensor_streams
 from tidemark.streaming.sinks import start, start_batches
 
@@ -59,8 +60,8 @@ def test_late_tagger_and_on_time_windows_match_batch(spark, record_dir):
     q = start_batches(read_record_files(spark, record_dir, max_files_per_trigger=1), "tagger",
                       tagger, checkpoint=os.path.join(work, "ck-a"), trigger=AVAILABLE_NOW)
     q.awaitTermination(600)
-    q2 = start(on_time_windows(read_tagged(spark, on_time), DAY), "on_time_out", sink="memory",
-               checkpoint=os.path.join(work, "ck-b"), trigger=AVAILABLE_NOW)
+    q2 = start(with_lag_gauge(on_time_windows(read_tagged(spark, on_time), DAY)), "on_time_out",
+               sink="memory", checkpoint=os.path.join(work, "ck-b"), trigger=AVAILABLE_NOW)
     q2.awaitTermination(600)
     got = _windows(spark.table("on_time_out").collect())
 
@@ -71,6 +72,12 @@ def test_late_tagger_and_on_time_windows_match_batch(spark, record_dir):
     assert len(late_seq) > 0
     invalid = [p for p in q2.recentProgress if "decode" in (p.observedMetrics or {})]
     assert sum(p.observedMetrics["decode"]["numInvalidRecords"] for p in invalid) > 0
+    lags = [p.observedMetrics["eventTimeLag"] for p in q2.recentProgress
+            if "eventTimeLag" in (p.observedMetrics or {})]
+    # one gauge row per micro-batch, counting every emitted window (the far
+    # future test windows included, hence no sign check on the minimum)
+    assert sum(m["count"] for m in lags) == spark.table("on_time_out").count()
+    assert max(m["max"] for m in lags if m["count"]) > 0
 
 
 def test_single_query_windows_close(spark, record_dir):

@@ -23,7 +23,7 @@ from tidemark.plans.sensors import SLIDING_HOURS, SLIDING_REF, sensor_pipeline
 from tidemark.session import build_session, checkpoint_root, ensure_dir, use_checkpoint_root
 from tidemark.sources.fixtures import DAY, REF, extended_measurements, kafka_records
 from tidemark.sources.kafka import KAFKA_ORDER, read_kafka, read_record_files
-from tidemark.streaming.location import LateTagger, on_time_windows, read_tagged
+from tidemark.streaming.location import LateTagger, on_time_windows, read_tagged, with_lag_gauge
 from tidemark.streaming.sensors import FLAT_SCHEMA, flatten, nest, sensor_streams
 from tidemark.streaming.sinks import start, start_batches
 
@@ -43,7 +43,9 @@ def _session(args):
 
 
 def _trigger(args):
-    return {"availableNow": True} if args.available_now else None
+    if args.available_now:
+        return {"availableNow": True}
+    return {"processingTime": f"{args.trigger_ms} milliseconds"}
 
 
 def run_location(spark, args):
@@ -68,7 +70,7 @@ def run_location(spark, args):
     if args.available_now:
         tagger.awaitTermination()
     return [tagger,
-            start(on_time_windows(read_tagged(spark, on_time), preset), "NormalOutput",
+            start(with_lag_gauge(on_time_windows(read_tagged(spark, on_time), preset)), "NormalOutput",
                   sink=sink, trigger=trigger, app_id=app),
             start(read_tagged(spark, late), "LateDataSink", sink=sink, trigger=trigger, app_id=app)]
 
@@ -112,6 +114,8 @@ def main(argv=None):
     ap.add_argument("--topic", default=None)
     ap.add_argument("--max-files", type=int, default=None)
     ap.add_argument("--available-now", action="store_true")
+    ap.add_argument("--trigger-ms", type=int, default=5000,
+                    help="micro-batch cadence; the watermark advances once per micro-batch")
     ap.add_argument("--sf-dir", default="/root/testdata/sf0.001")
     ap.add_argument("--out", default=None)
     ap.add_argument("--app-id", default="tidemark",

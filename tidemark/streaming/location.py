@@ -23,6 +23,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.records import clock_lag
 from tidemark.operators.decode import tolerant_decode
 from tidemark.operators.watermark import last_seen, watermark_trace, with_arrival_order
 from tidemark.operators.windows import EVENT_TIME, tumbling_sum_count, with_event_time
@@ -113,6 +114,17 @@ def read_tagged(spark, path: str, max_files_per_trigger: int | None = None) -> D
     return reader.parquet(path)
 
 
+def with_lag_gauge(windows: DataFrame, name: str = "eventTimeLag") -> DataFrame:
+    """Observed metric ``name`` per micro-batch over the emitted windows: lag
+    of the wall clock (fixed per micro-batch) behind each window end, as
+    count / min / max / mean / stddev in ms. The batch twin with quantiles is
+    :func:`tidemark.operators.stats.lag_histogram`."""
+    lag = clock_lag(F.unix_millis(F.current_timestamp()), F.col("windowEnd"))
+    return windows.observe(name, F.count(lag).alias("count"), F.min(lag).alias("min"),
+                           F.max(lag).alias("max"), F.avg(lag).alias("mean"),
+                           F.stddev_samp(lag).alias("stddev"))
+
+
 def on_time_windows(tagged_on_time: DataFrame, preset: Preset = REF,
                     metric_name: str = DECODE_METRIC) -> DataFrame:
     """Second stage: windows over on-time records only."""
