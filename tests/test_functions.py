@@ -89,3 +89,19 @@ def test_floor_to_negative_and_edges(spark):
 def test_clock_lag(spark):
     df = spark.createDataFrame([(1000,)], "e long")
     assert df.select(clock_lag(5000, "e")).first()[0] == 4000
+
+
+def test_registry_positions_lie_in_their_region(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.sources.registry import registry_of
+    ids = spark.range(0, 40_000, 7).select(F.col("id").alias("sensorId"))
+    big = spark.createDataFrame([(9_000_000_000_123,)], "sensorId long")
+    reg = registry_of(ids.unionByName(big))
+    rows = reg.select("sensorId", "region", "height",
+                      is_in_us("longitude", "latitude").alias("us"),
+                      is_in_de("longitude", "latitude").alias("de")).collect()
+    assert len(rows) == 40_000 // 7 + 2
+    for r in rows:
+        assert (r["us"], r["de"]) == ((True, False) if r["region"] == "US" else (False, True))
+        assert 0 <= r["height"] < 3000

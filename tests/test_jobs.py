@@ -38,3 +38,18 @@ def test_streaming_location_job_available_now(spark):
     on_time = spark.read.parquet(os.path.join(root, app, "location", "on_time"))
     batch = location_pipeline(kafka_records(spark, SMALL, REF.skew_ms), REF)
     assert on_time.count() + batch.late.count() == kafka_records(spark, SMALL, REF.skew_ms).count()
+
+
+def test_streaming_sensors_job_available_now(spark):
+    from tidemark.session import checkpoint_root
+    from tidemark.sources.fixtures import extended_measurements
+    from tidemark.streaming.sensors import flatten
+
+    work = tempfile.mkdtemp(prefix="tidemark-sensor-job-")
+    src = os.path.join(work, "src")
+    flatten(extended_measurements(spark, SMALL)).write.parquet(src)
+    app = os.path.basename(work)
+    jobs.main(["sensors", "--source", src, "--available-now", "--app-id", app, "--preset", "day"])
+    root = checkpoint_root(spark)
+    for query in ("TemperatureSink", "EmaSink", "SlidingSink", "WindSink"):
+        assert os.path.isdir(os.path.join(root, app, query, "commits")), query

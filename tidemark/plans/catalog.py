@@ -213,7 +213,8 @@ def q_lag_quantiles(spark, sf):
 
 # ---------------------------------------------------------------- registry
 def q_sensor_registry(spark, sf):
-    return registry_of(read_table(spark, sf, "events", ["user_id"]), "user_id", SENSORS_PER_INSTANCE)
+    reg = registry_of(read_table(spark, sf, "events", ["user_id"]), "user_id", SENSORS_PER_INSTANCE)
+    return reg.withColumn("longitude", _r("longitude")).withColumn("latitude", _r("latitude"))
 
 
 QUERIES = {

@@ -203,6 +203,28 @@ def _reflect() -> str:
     FROM em"""
 
 
+def _registry() -> str:
+    from tidemark.sources.registry import HASH_A, HASH_B, HASH_SPACE, MAX_HEIGHT
+    n = SENSORS_PER_INSTANCE
+    us = f"sensorId % {n} < {n // 2}"
+
+    def unit(f):
+        return f"(CAST(((sensorId % {1 << 31}) * {f}) % {HASH_SPACE} AS DOUBLE) / CAST({HASH_SPACE} AS DOUBLE))"
+
+    def inside(lo_us, hi_us, lo_de, hi_de, f):
+        return (f"CASE WHEN {us} THEN CAST({lo_us} AS DOUBLE) + {unit(f)} * CAST({hi_us - lo_us!r} AS DOUBLE) "
+                f"ELSE CAST({lo_de} AS DOUBLE) + {unit(f)} * CAST({hi_de - lo_de!r} AS DOUBLE) END")
+    return f"""
+            SELECT sensorId, sensorId // {n} AS instance, sensorId % {n} AS localIndex,
+              sensorId % 100 AS vendorId,
+              CASE WHEN ((sensorId % {n}) // 2) % 2 = 0 THEN 'Temperature' ELSE 'Wind' END AS sensorType,
+              CASE WHEN {us} THEN 'US' ELSE 'DE' END AS region,
+              {rnd(inside(-125.0011, -66.9326, 5.8663153, 15.0419319, HASH_A))} AS longitude,
+              {rnd(inside(24.9493, 49.5904, 47.2701114, 55.099161, HASH_B))} AS latitude,
+              CAST(((sensorId % {1 << 31}) * {HASH_B}) % {MAX_HEIGHT} AS DOUBLE) AS height
+            FROM (SELECT DISTINCT user_id AS sensorId FROM events)"""
+
+
 def oracles() -> dict[str, str]:
     n = SENSORS_PER_INSTANCE
     return {
@@ -277,10 +299,5 @@ def oracles() -> dict[str, str]:
               {rnd('max(normalizedMax) OVER w')} AS normalizedLifetimeMax
             FROM st WINDOW w AS (ORDER BY intervalStart ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
         "lag_quantiles": _lag(),
-        "sensor_registry": f"""
-            SELECT sensorId, sensorId // {n} AS instance, sensorId % {n} AS localIndex,
-              sensorId % 100 AS vendorId,
-              CASE WHEN ((sensorId % {n}) // 2) % 2 = 0 THEN 'Temperature' ELSE 'Wind' END AS sensorType,
-              CASE WHEN sensorId % {n} < {n // 2} THEN 'US' ELSE 'DE' END AS region
-            FROM (SELECT DISTINCT user_id AS sensorId FROM events)""",
+        "sensor_registry": _registry(),
     }
