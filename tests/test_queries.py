@@ -106,3 +106,16 @@ def test_keyed_reuse_adds_no_second_shuffle(spark):
         plan = _plan(df)          # includes the exchanges Spark inserts
         assert plan.count("Exchange hashpartitioning") == 1, plan
         assert "Exchange SinglePartition" not in plan and "rangepartitioning" not in plan
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    names = ["tumbling_sum_count_1d", "on_time_windows", "interval_stats_us"]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    got = {}
+    try:
+        for tz in ("UTC", "America/Los_Angeles"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            got[tz] = {n: sorted(map(tuple, QUERIES[n](spark, SMALL).collect())) for n in names}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got["UTC"] == got["America/Los_Angeles"]
