@@ -186,3 +186,24 @@ def test_late_tagger_resumes_after_restart(spark):
     got_late = sorted((r["seq"], r["watermark"]) for r in spark.read.parquet(late).collect())
     assert got_late == sorted((r["seq"], r["watermark"]) for r in batch.late.collect())
     assert spark.read.parquet(on_time).count() + len(got_late) == len(pdf)
+
+
+def test_stateless_fan_out_reads_each_batch_once(spark):
+    from tidemark.functions.records import localize_temperature, localize_wind
+    from tidemark.streaming.sensors import StatelessFanOut
+
+    em = extended_measurements(spark, SMALL)
+    pdf = flatten(em).toPandas()
+    pdf["accuracy"] = pdf["accuracy"].astype("float32")
+    work = tempfile.mkdtemp(prefix="tidemark-fan-")
+    write_numbered(pdf, os.path.join(work, "src"), 3)
+    stream = nest(spark.readStream.schema(FLAT_SCHEMA).option("maxFilesPerTrigger", 1)
+                  .parquet(os.path.join(work, "src")))
+    q = start_batches(stream, "fan_out", StatelessFanOut(os.path.join(work, "out")),
+                      checkpoint=os.path.join(work, "ck"), trigger=AVAILABLE_NOW)
+    q.awaitTermination(600)
+    key = lambda r: (r["seq"], round(r["value"], 9))
+    for name, expect in (("temperature", localize_temperature(em.filter("sensor.sensorType = 'Temperature'"))),
+                         ("wind", localize_wind(em.filter("sensor.sensorType = 'Wind'")))):
+        got = spark.read.parquet(os.path.join(work, "out", name))
+        assert sorted(map(key, flatten(got).collect())) == sorted(map(key, flatten(expect).collect())), name

@@ -8,10 +8,12 @@ a restart resumes the averages).
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass
 from typing import Iterator
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -113,3 +115,26 @@ def sensor_streams(records: DataFrame, sliding=SLIDING_REF, watermark_ms: int =
         wind=localize_wind(routed.wind),
         unrouted=routed.unrouted,
     )
+
+
+class StatelessFanOut:
+    """``foreachBatch`` handler writing the stateless sensor outputs from one
+    read of each micro-batch: localised temperature, localised wind and
+    ``unrouted``, each to ``<root>/<name>/batch=<id>`` (overwritten on
+    replay, so a retried batch leaves no duplicates). Stateful outputs (EMA,
+    sliding average) need their own streaming queries."""
+
+    def __init__(self, root: str):
+        self.root = root
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            routed = split_by_type(batch)
+            outputs = {"temperature": localize_temperature(routed.temperature),
+                       "wind": localize_wind(routed.wind),
+                       "unrouted": routed.unrouted}
+            for name, df in outputs.items():
+                df.write.mode("overwrite").parquet(os.path.join(self.root, name, f"batch={batch_id}"))
+        finally:
+            batch.unpersist()
