@@ -53,3 +53,21 @@ def test_streaming_sensors_job_available_now(spark):
     root = checkpoint_root(spark)
     for query in ("TemperatureSink", "EmaSink", "SlidingSink", "WindSink"):
         assert os.path.isdir(os.path.join(root, app, query, "commits")), query
+
+
+def test_sensors_job_fan_out(spark):
+    from tidemark.session import checkpoint_root
+    from tidemark.sources.fixtures import extended_measurements
+    from tidemark.streaming.sensors import flatten
+
+    work = tempfile.mkdtemp(prefix="tidemark-fan-job-")
+    src, out = os.path.join(work, "src"), os.path.join(work, "out")
+    em = extended_measurements(spark, SMALL)
+    flatten(em).write.parquet(src)
+    app = os.path.basename(work)
+    jobs.main(["sensors", "--source", src, "--available-now", "--app-id", app, "--fan-out-dir", out])
+    total = sum(spark.read.parquet(os.path.join(out, n)).count() for n in ("temperature", "wind"))
+    assert total == em.count()
+    root = checkpoint_root(spark)
+    assert os.path.isdir(os.path.join(root, app, "StatelessSink", "commits"))
+    assert not os.path.exists(os.path.join(root, app, "TemperatureSink"))

@@ -2,7 +2,7 @@
 
     python -m tidemark.jobs location --source DIR [--local] [--fsStatePath PATH]
     python -m tidemark.jobs location --kafka-servers HOST:PORT --topic T
-    python -m tidemark.jobs sensors  --source DIR [--local] [--objectReuse true]
+    python -m tidemark.jobs sensors  --source DIR [--local] [--objectReuse true] [--fan-out-dir DIR]
     python -m tidemark.jobs batch-location --sf-dir DIR --out DIR
     python -m tidemark.jobs batch-sensors  --sf-dir DIR --out DIR
 
@@ -24,7 +24,7 @@ from tidemark.session import build_session, checkpoint_root, ensure_dir, use_che
 from tidemark.sources.fixtures import DAY, REF, extended_measurements, kafka_records
 from tidemark.sources.kafka import KAFKA_ORDER, read_kafka, read_record_files
 from tidemark.streaming.location import LateTagger, on_time_windows, read_tagged, with_lag_gauge
-from tidemark.streaming.sensors import FLAT_SCHEMA, flatten, nest, sensor_streams
+from tidemark.streaming.sensors import FLAT_SCHEMA, StatelessFanOut, flatten, nest, sensor_streams
 from tidemark.streaming.sinks import start, start_batches
 
 PRESETS = {"ref": REF, "day": DAY}
@@ -82,9 +82,16 @@ def run_sensors(spark, args):
         raise SystemExit("--source is required for the sensor stream")
     streams = sensor_streams(records, SLIDING_REF if args.preset == "ref" else SLIDING_HOURS)
     sink = "console" if args.local else "noop"
-    return [start(flatten(getattr(streams, name)) if name != "sliding" else getattr(streams, name),
-                  name.capitalize() + "Sink", sink=sink, trigger=_trigger(args), app_id=args.app_id)
-            for name in ("temperature", "ema", "sliding", "wind")]
+    names = ("temperature", "ema", "sliding", "wind")
+    queries = []
+    if args.fan_out_dir:
+        # stateless outputs from one read per micro-batch, files per batch id
+        queries.append(start_batches(records, "StatelessSink", StatelessFanOut(args.fan_out_dir),
+                                     trigger=_trigger(args), app_id=args.app_id))
+        names = ("ema", "sliding")
+    return queries + [start(flatten(getattr(streams, name)) if name != "sliding" else getattr(streams, name),
+                            name.capitalize() + "Sink", sink=sink, trigger=_trigger(args), app_id=args.app_id)
+                      for name in names]
 
 
 def run_batch_location(spark, args):
@@ -118,6 +125,8 @@ def main(argv=None):
                     help="micro-batch cadence; the watermark advances once per micro-batch")
     ap.add_argument("--sf-dir", default="/root/testdata/sf0.001")
     ap.add_argument("--out", default=None)
+    ap.add_argument("--fan-out-dir", default=None,
+                    help="sensors job: write temperature / wind / unrouted here from one read per micro-batch")
     ap.add_argument("--app-id", default="tidemark",
                     help="sub-folder of the checkpoint root holding this deployment's query state")
     args = ap.parse_args(argv)
