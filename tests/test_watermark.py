@@ -165,3 +165,21 @@ def test_tagger_orders_kafka_frames_by_arrival(spark):
     got.update({(r["partition"], r["offset"]): False for r in spark.read.parquet(on_time).collect()})
     assert got == expect
     assert any(expect.values())
+
+
+def test_tagger_falls_back_to_latest_earlier_state(spark):
+    import os
+    import tempfile
+
+    from tidemark.sources.fixtures import Preset
+    from tidemark.streaming.location import LateTagger
+
+    rows = [(0, 5_000, 1, bytearray(b"{}")), (1, 3_000, 1, bytearray(b"{}"))]
+    df = spark.createDataFrame(rows, "seq long, timestamp long, partition int, value binary")
+    work = tempfile.mkdtemp(prefix="tidemark-fallback-")
+    late, on_time, state = (os.path.join(work, d) for d in ("late", "ontime", "state"))
+    tagger = LateTagger(Preset(1000, 0, 0, 1000), late, on_time, state)
+    tagger(df.filter("seq = 0"), 0)
+    tagger(df.filter("seq = 1"), 2)          # no state for batch 1: use batch 0's
+    got = {r["seq"]: r["watermark"] for r in spark.read.parquet(late).collect()}
+    assert got == {1: 5_000}

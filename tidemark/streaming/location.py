@@ -69,12 +69,18 @@ class LateTagger:
         self.order_cols = tuple(order_cols)
 
     def _previous(self, spark, batch_id: int) -> dict:
+        """State after batch ``id - 1``; if that folder is missing, the latest
+        earlier one (one row per batch, so the fallback scan stays small)."""
         if batch_id == 0:
             return {}
         try:
             row = spark.read.parquet(os.path.join(self.state_path, f"batch={batch_id - 1}")).first()
         except AnalysisException:
-            return {}
+            try:
+                row = (spark.read.parquet(self.state_path).filter(F.col("batch") < batch_id)
+                       .orderBy(F.col("batch").desc()).drop("batch").first())
+            except AnalysisException:
+                return {}
         return row.asDict() if row else {}
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
