@@ -183,3 +183,19 @@ def test_tagger_falls_back_to_latest_earlier_state(spark):
     tagger(df.filter("seq = 1"), 2)          # no state for batch 1: use batch 0's
     got = {r["seq"]: r["watermark"] for r in spark.read.parquet(late).collect()}
     assert got == {1: 5_000}
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(-3000, 0), st.sampled_from([1, 2, 3, 5, 6, 7])),
+                min_size=50, max_size=250),
+       st.integers(1, 40), st.integers(1, 5), st.sampled_from(["global", "partition"]),
+       st.integers(0, 500), st.sampled_from([100, 1000, 5000]))
+def test_trace_property(spark, jitter, bucket_rows, per_super, scope, delay, window):
+    rows = [(i, 100_000 + i * 37 + j, p) for i, (j, p) in enumerate(jitter)]
+    got = _got(watermark_trace(_df(spark, rows), delay, window, scope=scope, partitions=range(8),
+                               bucket_rows=bucket_rows, buckets_per_super=per_super))
+    assert got == _brute(rows, delay, window, scope)
