@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import decode_rows, encode, read_ranks
 from tidemark.llm.common import fold, in_fold, read
+from tidemark.llm.ctw import score
 from tidemark.llm.digest import neighbours
 from tidemark.llm.embedding_dedup import near_duplicates as near_duplicate_vectors
 from tidemark.llm.langid import language
@@ -45,6 +46,10 @@ def op6_byte_bpe(spark, sf_dir):
     return decode_rows(encode(docs, ranks, public_tokenizers.PATTERN), ranks)
 
 
+def op3_context_tree_scores(spark, sf_dir):
+    return score(read(spark, sf_dir, "documents").select("doc_id", "text"), in_fold("doc_id", 10, 0))
+
+
 def op4_quartile_digest(spark, sf_dir):
     return neighbours(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -80,8 +85,8 @@ def op10_quality_classifier(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_source_mixing, op2_secret_scan, op4_quartile_digest, op5_simhash_near_dedup, op6_byte_bpe,
-    op7_embedding_near_dedup, op8_language_id, op9_toxicity,
-    op10_quality_classifier)}
+    op1_source_mixing, op2_secret_scan, op3_context_tree_scores, op4_quartile_digest,
+    op5_simhash_near_dedup, op6_byte_bpe, op7_embedding_near_dedup, op8_language_id,
+    op9_toxicity, op10_quality_classifier)}
 
 ORACLES: dict[str, str] = {}
