@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, stage_table
+from tidemark.llm.common import stage_table
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -73,15 +73,14 @@ def allocate(leaves: DataFrame, levels: list[str], weights: list[Column], share:
     caps = leaves.withColumn("cap", (F.col("tokens") * max_epochs).cast("decimal(38,0)"))
     total = caps.agg(F.floor(F.coalesce(F.sum("tokens"), F.lit(0)) * F.lit(share)).cast("decimal(38,0)").alias("t"),
                      F.coalesce(F.sum("cap"), F.lit(0)).cast("decimal(38,0)").alias("c")).first()
-    budget = caps.sparkSession.range(1).select(F.lit(min(total["t"], total["c"])).cast("decimal(38,0)").alias("budget"))
-    given = None
+    budget, given = min(total["t"], total["c"]), None
     for k, level in enumerate(levels):
         path = levels[:k + 1]
         nodes = (caps.groupBy(*path).agg(F.sum("cap").cast("decimal(38,0)").alias("cap"))
                  .withColumn("weight", F.greatest(weights[k], F.lit(0)).cast("decimal(38,0)"))
                  .withColumn("name", F.col(level)))
         if k == 0:
-            nodes = nodes.withColumn("budget", F.lit(budget.first()["budget"]).cast("decimal(38,0)"))
+            nodes = nodes.withColumn("budget", F.lit(budget).cast("decimal(38,0)"))
         else:
             nodes = nodes.join(given, levels[:k])
         given = _share(nodes, levels[:k]).select(*path, F.col("given").alias("budget"))
@@ -93,12 +92,12 @@ def thresholds(rows: DataFrame, leaf: list[str]) -> DataFrame:
 
     ``rows``: leaf columns, ``key`` (48 bits), ``tokens``, ``target`` > 0."""
     sums = rows.groupBy(*leaf, "target", F.shiftright("key", 24).alias("r")).agg(F.sum("tokens").alias("tokens"))
-    sums = cut(sums)
+    sums = stage_table(sums, "mixing-ranges")
     found = None
     for level in (16, 8, 0):
         part = (sums.groupBy(*leaf, "target", F.shiftright("r", level).alias("r"))
                 .agg(F.sum("tokens").alias("tokens")))
-        found = _crossing(part, found, leaf, 8)
+        found = stage_table(_crossing(part, found, leaf, 8), "mixing-crossing")
     inside = (rows.join(found.withColumnRenamed("r", "_r"), leaf).where(F.shiftright("key", 24) == F.col("_r"))
               .groupBy(*leaf, "target", "key", "base").agg(F.sum("tokens").alias("tokens")))
     running = F.col("base") + F.sum("tokens").over(Window.partitionBy(*leaf).orderBy("key"))
@@ -134,16 +133,17 @@ def mix(documents: DataFrame, levels: dict[str, Column], weights: list[Column],
     narrow = stage_table(named.select(*leaf, F.col(id_col).cast("string").alias("id"),
                                       token_count(f"`{text_col}`").alias("tokens")), "mixing")
     leaves = narrow.groupBy(*leaf).agg(F.sum("tokens").alias("tokens")).where("tokens > 0")
-    given = cut(allocate(leaves, leaf, weights, share, max_epochs)
-                .withColumn("whole", F.expr("given div tokens"))
-                .withColumn("target", F.expr("given - (given div tokens) * tokens")))
+    # written tables have a known size: Spark broadcasts them only below its threshold
+    given = stage_table(allocate(leaves, leaf, weights, share, max_epochs)
+                        .withColumn("whole", F.expr("given div tokens"))
+                        .withColumn("target", F.expr("given - (given div tokens) * tokens")), "mixing-leaves")
     wanted = given.where("target > 0").select(*leaf, "whole", "target")
     keyed = narrow.join(wanted, leaf).select(*leaf, "target", "tokens",
                                              order_key(seed, F.col("whole"), F.col("id")).alias("key"))
     last = thresholds(keyed, leaf)
-    plan = cut(given.select(*leaf, "whole").join(last, leaf, "left")
-               .select(*[F.col(c).alias(f"_{c}") for c in leaf], F.col("whole").alias("_whole"),
-                       F.coalesce("last_key", F.lit(-1)).alias("_last")))
+    plan = stage_table(given.select(*leaf, "whole").join(last, leaf, "left")
+                       .select(*[F.col(c).alias(f"_{c}") for c in leaf], F.col("whole").alias("_whole"),
+                               F.coalesce("last_key", F.lit(-1)).alias("_last")), "mixing-plan")
     on = [F.col(c) == F.col(f"_{c}") for c in leaf]
     key = order_key(seed, F.col("_whole"), F.col(id_col))
     copies = F.col("_whole") + F.when(key <= F.col("_last"), 1).otherwise(0)
