@@ -98,7 +98,7 @@ def _context_sums(docs: list[np.ndarray], index: np.ndarray, words: int, reach:
 def _rows(words: list[str], vocabulary: dict) -> np.ndarray:
     size = len(vocabulary)
     return np.fromiter((vocabulary[w] if w in vocabulary else size + zlib.crc32(w.encode()) % POOL
-                        for w in words), dtype=np.int64, count=len(words))
+                        for w in words), dtype=np.int32, count=len(words))
 
 
 def _pool(core: np.ndarray, shape: np.ndarray, core_vectors, shape_vectors) -> np.ndarray:
@@ -109,15 +109,17 @@ def _pool(core: np.ndarray, shape: np.ndarray, core_vectors, shape_vectors) -> n
     return np.concatenate([a, b, [np.linalg.norm(a), np.linalg.norm(b), np.log1p(len(core))]])
 
 
-def _word_vectors(docs: list[list[str]], most: int, rng):
-    counts = Counter(w for d in docs for w in d)
+def _vocabulary(counts: Counter, most: int) -> dict:
     kept = sorted((w for w, n in counts.items() if n >= 5), key=lambda w: (-counts[w], w))[:most]
-    vocabulary = {w: k for k, w in enumerate(kept)}
-    index = _index_vectors(len(kept) + POOL, rng)
-    context = _context_sums([_rows(d, vocabulary) for d in docs], index, len(kept))
+    return {w: k for k, w in enumerate(kept)}
+
+
+def _word_vectors(docs: list[np.ndarray], vocabulary: dict, rng) -> np.ndarray:
+    index = _index_vectors(len(vocabulary) + POOL, rng)
+    context = _context_sums(docs, index, len(vocabulary))
     norm = np.linalg.norm(context, axis=1, keepdims=True)
-    index[:len(kept)] += context / np.maximum(norm, 1e-9)
-    return vocabulary, index
+    index[:len(vocabulary)] += context / np.maximum(norm, 1e-9)
+    return index
 
 
 def fit(rows: list[tuple[str, int]], seed: int = 7, hidden: int = 24, epochs: int = 60) -> QualityModel | None:
@@ -125,11 +127,20 @@ def fit(rows: list[tuple[str, int]], seed: int = 7, hidden: int = 24, epochs: in
     if len({label for _, label in rows}) < 2:
         return None
     rng = np.random.default_rng(seed)
-    split = [[split_token(t) for t in text.split()] for text, _ in rows]
-    cores, core_vectors = _word_vectors([[c for c, _ in d] for d in split], 20_000, rng)
-    shapes, shape_vectors = _word_vectors([[s for _, s in d] for d in split], 2_000, rng)
-    x = np.stack([_pool(_rows([c for c, _ in d], cores), _rows([s for _, s in d], shapes),
-                        core_vectors, shape_vectors) for d in split])
+    core_counts, shape_counts = Counter(), Counter()
+    for text, _ in rows:                            # two passes keep word numbers, not words
+        split = [split_token(t) for t in text.split()]
+        core_counts.update(c for c, _ in split)
+        shape_counts.update(s for _, s in split)
+    cores, shapes = _vocabulary(core_counts, 20_000), _vocabulary(shape_counts, 2_000)
+    del core_counts, shape_counts
+    core_rows, shape_rows = [], []
+    for text, _ in rows:
+        split = [split_token(t) for t in text.split()]
+        core_rows.append(_rows([c for c, _ in split], cores))
+        shape_rows.append(_rows([s for _, s in split], shapes))
+    core_vectors, shape_vectors = _word_vectors(core_rows, cores, rng), _word_vectors(shape_rows, shapes, rng)
+    x = np.stack([_pool(c, s, core_vectors, shape_vectors) for c, s in zip(core_rows, shape_rows)])
     y = np.array([label for _, label in rows], dtype=np.float64)
     mean, scale = x.mean(0), x.std(0) + 1e-6
     x = (x - mean) / scale

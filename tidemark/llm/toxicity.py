@@ -76,10 +76,10 @@ def swapped_sets(text: str, terms=IDENTITY_TERMS) -> list[tuple[set, set]]:
 class _Sparse:
     """Rows of word columns, with the two products a linear model needs."""
 
-    def __init__(self, rows: list[set], columns: dict):
+    def __init__(self, rows, columns: dict):
         at = [sorted(columns[w] for w in r if w in columns) for r in rows]
-        self.size = len(rows)
-        self.row = np.repeat(np.arange(len(rows)), [len(a) for a in at])
+        self.size = len(at)
+        self.row = np.repeat(np.arange(len(at)), [len(a) for a in at])
         self.col = np.array([c for a in at for c in a], dtype=np.int64)
 
     def dot(self, w):
@@ -97,10 +97,13 @@ def fit(rows: list[tuple[str, int]], swap_weight: float = 4.0, l2: float = 0.000
     it off."""
     if len({label for _, label in rows}) < 2:
         return None
-    sets = [features(t) for t, _ in rows]
     y = np.array([label for _, label in rows], dtype=np.float64)
-    df = Counter(w for s in sets for w in s)
-    toxic = Counter(w for s, label in zip(sets, y) if label for w in s)
+    df, toxic = Counter(), Counter()
+    for text, label in rows:                        # two passes: word sets are not kept
+        own = features(text)
+        df.update(own)
+        if label:
+            toxic.update(own)
 
     def z(w):               # of the number of toxic documents with the word, against chance
         expected = df[w] * y.mean()
@@ -111,8 +114,9 @@ def fit(rows: list[tuple[str, int]], swap_weight: float = 4.0, l2: float = 0.000
     columns = {w: k for k, w in enumerate(kept[:most_words])}
     for w in sorted(named - columns.keys()):
         columns[w] = len(columns)
+    del df, toxic, strength
     pairs = [p for t, _ in rows for p in swapped_sets(t, terms)]
-    x = _Sparse(sets, columns)
+    x = _Sparse((features(t) for t, _ in rows), columns)
     before, after = _Sparse([a for a, _ in pairs], columns), _Sparse([b for _, b in pairs], columns)
     width = len(columns)
     w, b = np.zeros(width), 0.0
