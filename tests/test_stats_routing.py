@@ -43,6 +43,26 @@ def test_lag_histogram_keeps_latest_windows(spark):
         assert abs(got[label] - _legacy_quantile(lags, p)) < 1e-6, label
 
 
+def test_lag_histogram_uses_every_window(spark):
+    rows = [(k * 7 % 50_000_000_000, f"L{k % 3}") for k in range(0, 30_000_000_000, 1_500_000)]
+    df = spark.createDataFrame(rows, "windowEnd long, location string")
+    got = lag_histogram(df, 60_000_000_000).first()
+    lags = sorted(60_000_000_000 - e for e, _ in rows)
+    assert got["n"] == len(rows) == 20_000
+    for p in LAG_QUANTILES:
+        label = "p" + f"{p:g}".split(".")[1].ljust(2, "0")
+        assert abs(got[label] - _legacy_quantile(lags, p)) < 1e-3, label
+
+
+def test_lifetime_extremes_across_ranges(spark):
+    rows = [(k << 31, float((k * 37) % 11), float((k * 53) % 13)) for k in range(40)]
+    df = spark.createDataFrame(rows, "intervalStart long, xMin double, xMax double")
+    got = {r["intervalStart"]: (r["xLifetimeMin"], r["xLifetimeMax"])
+           for r in lifetime_extremes(df, ["x"]).collect()}
+    assert got == {s: (min(r[1] for r in rows[:k + 1]), max(r[2] for r in rows[:k + 1]))
+                   for k, (s, _, _) in enumerate(rows)}
+
+
 def test_lag_histogram_small_input_clamps(spark):
     df = spark.createDataFrame([(10, "a"), (20, "b")], "windowEnd long, location string")
     got = lag_histogram(df, 100).first()

@@ -113,7 +113,7 @@ def test_sensor_streams_match_batch_with_restart(spark):
 
     def run():
         stream = nest(spark.readStream.schema(FLAT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(src))
-        s = sensor_streams(stream, sliding=(36_000_000, 3_600_000))
+        s = sensor_streams(stream, sliding=(36_000_000, 3_600_000), watermark_ms=0)
         qs = [start(flatten(s.ema), "ema", sink="parquet", path=os.path.join(work, "ema"),
                     checkpoint=os.path.join(work, "ck-ema"), trigger=AVAILABLE_NOW),
               start(s.sliding.select("windowStart", "windowEnd", "count", "sensor.sensorId",
@@ -149,7 +149,7 @@ def test_us_temperature_gauges_observed(spark):
     write_numbered(pdf, os.path.join(work, "src"), 2)
     stream = nest(spark.readStream.schema(FLAT_SCHEMA).option("maxFilesPerTrigger", 1)
                   .parquet(os.path.join(work, "src")))
-    q = start(flatten(sensor_streams(stream).temperature), "temps_gauge", sink="noop",
+    q = start(flatten(sensor_streams(stream, watermark_ms=0).temperature), "temps_gauge", sink="noop",
               checkpoint=os.path.join(work, "ck"), trigger=AVAILABLE_NOW)
     q.awaitTermination(600)
     batches = [p for p in q.recentProgress if p.numInputRows > 0]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 import random
 
 from tidemark.operators.watermark import last_seen, partition_activity, watermark_trace
@@ -167,7 +169,7 @@ def test_tagger_orders_kafka_frames_by_arrival(spark):
     assert any(expect.values())
 
 
-def test_tagger_falls_back_to_latest_earlier_state(spark):
+def test_tagger_refuses_to_run_without_its_state(spark):
     import os
     import tempfile
 
@@ -180,9 +182,21 @@ def test_tagger_falls_back_to_latest_earlier_state(spark):
     late, on_time, state = (os.path.join(work, d) for d in ("late", "ontime", "state"))
     tagger = LateTagger(Preset(1000, 0, 0, 1000), late, on_time, state)
     tagger(df.filter("seq = 0"), 0)
-    tagger(df.filter("seq = 1"), 2)          # no state for batch 1: use batch 0's
-    got = {r["seq"]: r["watermark"] for r in spark.read.parquet(late).collect()}
-    assert got == {1: 5_000}
+    with pytest.raises(RuntimeError, match="state"):
+        tagger(df.filter("seq = 1"), 2)      # batch 1 left no state
+
+
+def test_partition_scope_reads_partitions_from_the_data(spark):
+    rows = [(0, 1_000, 9), (1, 400, 12), (2, 5_000, 12), (3, 100, 9)]
+    df = spark.createDataFrame(rows, "seq long, timestamp long, partition int")
+    got = {r["seq"]: r["watermark"] for r in watermark_trace(df, 0, 1000, scope="partition").collect()}
+    assert got == {0: None, 1: 1_000, 2: 400, 3: 1_000}
+    acts = spark.createDataFrame([(0, 1, 9, 5)], "seq long, timestamp long, partition int, arrival_ms long")
+    assert {r["partition"]: r["rows"] for r in partition_activity(acts, 2, 10).collect()} == {0: 0, 1: 0, 9: 1}
+    with pytest.raises(ValueError):
+        watermark_trace(df, -1, 1000)
+    with pytest.raises(ValueError):
+        partition_activity(acts, 2, -1)
 
 
 from hypothesis import HealthCheck, given, settings

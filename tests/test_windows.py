@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tidemark.operators.windows import sliding_average, sliding_average_builtin, tumbling_sum_count
+from tidemark.operators.routing import split_by_type
 from tidemark.sources.fixtures import extended_measurements
 
 from conftest import SMALL
@@ -70,3 +73,15 @@ def test_sliding_window_count_on_fixture(spark):
     n_rows = temps.count()
     total = sliding_average(temps, 36_000_000, 3_600_000).agg(F.sum("count")).first()[0]
     assert total == 10 * n_rows     # every row lands in exactly size/slide windows
+
+
+@pytest.mark.parametrize("size,slide", [(10_000, 3_000), (7_000, 5_000)])
+def test_sliding_panes_of_the_common_divisor(spark, size, slide):
+    df = extended_measurements(spark, SMALL)
+    df = split_by_type(df).temperature
+    a = sliding_average(df, size * 3600, slide * 3600)
+    b = sliding_average_builtin(df, size * 3600, slide * 3600)
+    def rows(d):
+        return sorted((r["sensor"]["sensorId"], r["windowStart"], r["windowEnd"], r["count"],
+                       round(r["measurement"]["value"], 9)) for r in d.collect())
+    assert rows(a) == rows(b)

@@ -7,7 +7,7 @@
     python -m tidemark.jobs batch-sensors  --sf-dir DIR --out DIR
 
 ``--local`` prints results (console sink); otherwise they are discarded
-(noop sink), as the reference's local / cluster modes do. ``--fsStatePath``
+(noop sink). ``--fsStatePath``
 names the checkpoint folder when the cluster has not set
 ``spark.checkpoint.dir``; it is never cleared. ``--objectReuse`` is accepted
 for compatibility and has no effect (Spark rows are immutable).
@@ -80,9 +80,10 @@ def run_sensors(spark, args):
         records = nest(spark.readStream.schema(FLAT_SCHEMA).parquet(args.source))
     else:
         raise SystemExit("--source is required for the sensor stream")
-    streams = sensor_streams(records, SLIDING_REF if args.preset == "ref" else SLIDING_HOURS)
+    streams = sensor_streams(records, SLIDING_REF if args.preset == "ref" else SLIDING_HOURS,
+                             watermark_ms=args.out_of_orderness_ms)
     sink = "console" if args.local else "noop"
-    names = ("temperature", "ema", "sliding", "wind")
+    names = ("temperature", "ema", "sliding", "wind", "unrouted")
     queries = []
     if args.fan_out_dir:
         # stateless outputs from one read per micro-batch, files per batch id
@@ -123,6 +124,8 @@ def main(argv=None):
     ap.add_argument("--available-now", action="store_true")
     ap.add_argument("--trigger-ms", type=int, default=5000,
                     help="micro-batch cadence; the watermark advances once per micro-batch")
+    ap.add_argument("--out-of-orderness-ms", type=int, default=10_000,
+                    help="sensors job: how late a row may be for the sliding average")
     ap.add_argument("--sf-dir", default="/root/testdata/sf0.001")
     ap.add_argument("--out", default=None)
     ap.add_argument("--fan-out-dir", default=None,

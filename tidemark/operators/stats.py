@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.records import clock_lag, floor_to
 
-# Reported lag quantiles and the histogram size (latest windows).
+# Reported lag quantiles.
 LAG_QUANTILES = (0.5, 0.75, 0.95, 0.98, 0.99, 0.999)
-LAG_HISTORY = 10_000
+# Ordered passes run inside ranges of this many milliseconds; only one row per
+# range meets in one task.
+RANGE_MS = 1 << 32
 
 
 def moments(x: Column, prefix: str) -> list[Column]:
@@ -31,15 +33,22 @@ def interval_stats(df: DataFrame, interval_ms: int, ts_col: str, metrics: dict)
 
 
 def lifetime_extremes(stats: DataFrame, prefixes, order_col: str = "intervalStart") -> DataFrame:
-    """Running min / max over intervals (a gauge that is never reset). Runs on
-    the interval table: one row per interval, so the single ordered pass is
-    small."""
-    upto = Window.orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-    out = stats
+    """Running min / max over intervals (a gauge that is never reset), in two
+    levels: a prefix over ranges of ``RANGE_MS`` (one row each), joined to the
+    running values inside every range."""
+    ranged = stats.withColumn("_range", F.floor(F.col(order_col) / F.lit(RANGE_MS)))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    per = ranged.groupBy("_range").agg(
+        *[F.min(f"{p}Min").alias(f"_lo_{p}") for p in prefixes],
+        *[F.max(f"{p}Max").alias(f"_hi_{p}") for p in prefixes])
+    before = per.select("_range", *[F.min(f"_lo_{p}").over(earlier).alias(f"_before_lo_{p}") for p in prefixes],
+                        *[F.max(f"_hi_{p}").over(earlier).alias(f"_before_hi_{p}") for p in prefixes])
+    upto = Window.partitionBy("_range").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+    out = ranged.join(before, "_range", "left")
     for p in prefixes:
-        out = (out.withColumn(f"{p}LifetimeMin", F.min(f"{p}Min").over(upto))
-                  .withColumn(f"{p}LifetimeMax", F.max(f"{p}Max").over(upto)))
-    return out
+        out = (out.withColumn(f"{p}LifetimeMin", F.least(F.min(f"{p}Min").over(upto), f"_before_lo_{p}"))
+                  .withColumn(f"{p}LifetimeMax", F.greatest(F.max(f"{p}Max").over(upto), f"_before_hi_{p}")))
+    return out.drop("_range", *[f"_before_{k}_{p}" for p in prefixes for k in ("lo", "hi")])
 
 
 def observe_stats(df: DataFrame, name, x: Column) -> DataFrame:
@@ -49,38 +58,52 @@ def observe_stats(df: DataFrame, name, x: Column) -> DataFrame:
                       F.max(x).alias("max"), F.count(x).alias("count"))
 
 
-def _quantile_legacy(sorted_values: Column, n: Column, p: float) -> Column:
-    """Quantile at rank ``p * (n + 1)`` with linear interpolation, clamped to
-    the first / last value (the classic descriptive-statistics estimator)."""
-    pos = F.lit(p) * (n + F.lit(1)).cast("double")
-    lower_idx = F.floor(pos).cast("int")
-    lower = F.element_at(sorted_values, F.greatest(lower_idx, F.lit(1)))
-    upper = F.element_at(sorted_values, F.least(lower_idx + 1, n.cast("int")))
-    frac = pos - F.floor(pos)
-    return (F.when(pos < 1, F.element_at(sorted_values, 1))
-             .when(pos >= n, F.element_at(sorted_values, n.cast("int")))
-             .otherwise(lower.cast("double") + frac * (upper - lower).cast("double")))
-
-
-def lag_histogram(windows: DataFrame, clock_ms, history: int = LAG_HISTORY,
+def lag_histogram(windows: DataFrame, clock_ms, history: int | None = None,
                   quantiles=LAG_QUANTILES) -> DataFrame:
-    """Statistics of ``clock - windowEnd`` over the latest ``history`` emitted
-    windows (emission order: window end, then key).
+    """Statistics of ``clock - windowEnd`` over all emitted windows, or over the
+    latest ``history`` of them (emission order: window end, then key).
 
-    The latest windows are a top-k (per-partition top-k, then one merge of at
-    most ``history`` rows per partition), so the final group is bounded by
-    ``history`` values whatever the input size.
+    Quantiles are the classic estimator: rank ``p * (n + 1)`` with linear
+    interpolation, clamped to the first / last value. Ranks come from counts
+    per distinct lag and a prefix in two levels (ranges of ``RANGE_MS``, then
+    inside a range), so no group or task holds all windows.
     """
-    latest = (windows.select("windowEnd", "location")
-              .orderBy(F.col("windowEnd").desc(), F.col("location").desc())
-              .limit(history)
-              .select(clock_lag(clock_ms, F.col("windowEnd")).alias("lag")))
-    agg = latest.agg(F.count(F.lit(1)).alias("n"), F.min("lag").alias("min"),
-                     F.max("lag").alias("max"), F.avg("lag").alias("mean"),
-                     F.stddev_samp("lag").alias("stddev"),
-                     F.sort_array(F.collect_list("lag")).alias("_sorted"))
+    chosen = windows.select("windowEnd", "location")
+    if history is not None:
+        chosen = chosen.orderBy(F.col("windowEnd").desc(), F.col("location").desc()).limit(history)
+    lags = chosen.select(clock_lag(clock_ms, F.col("windowEnd")).alias("lag"))
+    counts = (lags.groupBy("lag").agg(F.count(F.lit(1)).alias("c"))
+              .withColumn("_range", F.floor(F.col("lag") / F.lit(RANGE_MS))))
+    d = F.col("lag").cast("double")
+    in_order = Window.orderBy("_range")
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    every = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = (counts.groupBy("_range").agg(F.sum("c").alias("_c"), F.min("lag").alias("_min"),
+                                           F.max("lag").alias("_max"), F.sum(d * F.col("c")).alias("_sum"))
+              .select("_range", F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_before"),
+                      F.sum("_c").over(every).alias("n"), F.min("_min").over(every).alias("min"),
+                      F.max("_max").over(every).alias("max"),
+                      (F.sum("_sum").over(every) / F.sum("_c").over(every)).alias("mean")))
+    inside = Window.partitionBy("_range").orderBy("lag").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (counts.join(before, "_range")
+              .withColumn("_last", F.col("_before") + F.sum("c").over(inside)))
+    first, last = F.col("_last") - F.col("c"), F.col("_last")
+
+    def at(rank):                      # the lag of a 1-based rank
+        return F.max(F.when((rank > first) & (rank <= last), F.col("lag")))
+    aggs = [F.max(c).alias(c) for c in ("n", "min", "max", "mean")]
+    gap = d - F.col("mean")
+    aggs.append(F.when(F.max("n") > 1, F.sqrt(F.sum(F.col("c") * gap * gap) / (F.max("n") - 1))).alias("stddev"))
+    for k, p in enumerate(quantiles):
+        pos = F.lit(p) * (F.col("n") + F.lit(1)).cast("double")
+        low = F.floor(pos)
+        aggs += [at(F.greatest(low, F.lit(1))).alias(f"_lo{k}"), at(F.least(low + 1, F.col("n"))).alias(f"_hi{k}")]
+    agg = ranked.agg(*aggs).withColumn("n", F.coalesce("n", F.lit(0)))
     cols = [F.col(c) for c in ("n", "min", "max", "mean", "stddev")]
-    for p in quantiles:
-        label = ("p" + f"{p:g}".split(".")[1].ljust(2, "0"))
-        cols.append(_quantile_legacy(F.col("_sorted"), F.col("n"), p).alias(label))
+    for k, p in enumerate(quantiles):
+        pos = F.lit(p) * (F.col("n") + F.lit(1)).cast("double")
+        lo, hi = F.col(f"_lo{k}").cast("double"), F.col(f"_hi{k}").cast("double")
+        value = (F.when(pos < 1, F.col("min").cast("double")).when(pos >= F.col("n"), F.col("max").cast("double"))
+                 .otherwise(lo + (pos - F.floor(pos)) * (hi - lo)))
+        cols.append(value.alias("p" + f"{p:g}".split(".")[1].ljust(2, "0")))
     return agg.select(*cols)

@@ -40,8 +40,6 @@ def _groups(scope: str, partitions, partition_col: str):
     if scope == "global":
         return [("all", F.lit(True))]
     if scope == "partition":
-        if partitions is None:
-            raise ValueError("partition scope needs the list of source partitions")
         return [(f"p{p}", F.col(partition_col) == F.lit(p)) for p in partitions]
     raise ValueError(f"unknown scope {scope!r}")
 
@@ -54,12 +52,18 @@ def watermark_trace(df: DataFrame, out_of_orderness_ms: int, window_ms: int,
     """Add ``watermark`` (ms, NULL before any record), ``windowEnd`` and
     ``late`` to every record.
 
+    In partition scope the partitions are those that the input (or the carried
+    state) holds, unless ``partitions`` lists them.
     ``initial_max`` maps a group name (``"all"`` or ``"p<partition>"``) to the
     largest event time seen before this input (used by the stream tagger to
     carry the watermark across micro-batches).
     """
-    groups = _groups(scope, partitions, partition_col)
+    if out_of_orderness_ms < 0 or window_ms <= 0:
+        raise ValueError("the out-of-orderness bound must not be negative, the window must be positive")
     initial_max = initial_max or {}
+    if scope == "partition" and partitions is None:
+        partitions = seen_partitions(df, partition_col, initial_max)
+    groups = _groups(scope, partitions, partition_col)
     ts = F.col(ts_col)
     data = df.withColumn("_bucket", F.floor(F.col(order_col) / F.lit(bucket_rows)))
 
@@ -98,6 +102,8 @@ def watermark_trace(df: DataFrame, out_of_orderness_ms: int, window_ms: int,
         if name in initial_max and initial_max[name] is not None:
             parts.append(F.lit(int(initial_max[name])))
         seen.append(F.greatest(*parts))
+    if not seen:                       # partition scope without any partition
+        seen = [F.lit(None).cast("long")]
     max_seen = seen[0] if len(seen) == 1 else F.least(*seen)
     window_end = floor_to(ts, window_ms) + F.lit(window_ms)
     drop = ["_bucket"] + [f"_in_{n}" for n, _ in groups] + [f"_before_{n}" for n, _ in groups]
@@ -118,11 +124,22 @@ def split_late(traced: DataFrame) -> tuple[DataFrame, DataFrame]:
     return traced.filter(~F.col("late")), traced.filter(F.col("late"))
 
 
+def seen_partitions(df: DataFrame, partition_col: str = "partition", carried=()) -> list[int]:
+    """Source partitions of the input and of the carried state (group names
+    ``p<partition>``): one number per partition of the source."""
+    rows = df.select(F.col(partition_col).cast("int").alias("p")).where("p IS NOT NULL").distinct().collect()
+    return sorted({r["p"] for r in rows} | {int(name[1:]) for name in carried})
+
+
 def last_seen(df: DataFrame, scope: str = "global", partitions=None,
               partition_col: str = "partition", ts_col: str = "timestamp") -> DataFrame:
     """One row with the largest event time per watermark group (the state the
     stream tagger carries to the next micro-batch)."""
+    if scope == "partition" and partitions is None:
+        partitions = seen_partitions(df, partition_col)
     groups = _groups(scope, partitions, partition_col)
+    if not groups:
+        return df.sparkSession.range(1).select()
     return df.agg(*[F.max(F.when(cond, F.col(ts_col))).alias(name) for name, cond in groups])
 
 
@@ -133,17 +150,20 @@ def partition_activity(df: DataFrame, num_partitions: int, idle_timeout_ms: int,
 
     A partition is idle when it sent nothing, or nothing within
     ``idle_timeout_ms`` before the clock. Without a clock, the end of the
-    input (latest arrival over all partitions) is the clock. The per-partition
-    table has one row per source partition, so the clock window over it is
-    small.
+    input (latest arrival over all partitions) is the clock. ``num_partitions``
+    adds the partitions below it that sent nothing; others that did send are
+    listed too. The per-partition table has one row per source partition, so
+    the clock window over it is small.
     """
+    if num_partitions < 0 or idle_timeout_ms < 0:
+        raise ValueError("the number of partitions and the timeout must not be negative")
     spark = df.sparkSession
     per = df.groupBy(F.col(partition_col).cast("int").alias("partition")).agg(
         F.count(F.lit(1)).alias("rows"),
         F.max(F.col(ts_col)).alias("lastTimestamp"),
         F.max(F.col(arrival_col)).alias("lastArrival"))
     every = spark.range(num_partitions).select(F.col("id").cast("int").alias("partition"))
-    table = every.join(per, "partition", "left")
+    table = every.join(per, "partition", "full")
     clock = (F.lit(int(clock_ms)) if clock_ms is not None
              else F.max("lastArrival").over(Window.partitionBy()))
     return (table

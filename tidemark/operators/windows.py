@@ -6,6 +6,7 @@ a row falls into them. All functions work on batch and streaming frames.
 
 from __future__ import annotations
 
+import math
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -96,26 +97,28 @@ _LOC = ("location.longitude", "location.latitude", "location.height")
 def sliding_average(df: DataFrame, size_ms: int, slide_ms: int) -> DataFrame:
     """Sliding average per sensor over nested sensor records.
 
-    When the size is a multiple of the slide it runs as two aggregations:
-    tumbling panes of one slide (partial sums, count, latest row), then each
-    pane is added to the ``size / slide`` windows that contain it. Raw rows are
-    therefore not copied ``size / slide`` times (the pane table is), and both
-    stages combine map-side before their shuffle, so a hot sensor stays cheap.
-    Otherwise the built-in sliding ``window`` is used.
+    Two aggregations: tumbling panes of the greatest common divisor of size and
+    slide (partial sums, count, latest row), then each pane is added to the
+    windows that contain it. Raw rows are therefore not copied ``size / slide``
+    times (the pane table is), and both stages combine map-side before their
+    shuffle, so a hot sensor stays cheap.
     """
     acc = F.col("measurement.accuracy").cast("double")
     val = F.col("measurement.value")
-    if size_ms % slide_ms:
-        return sliding_average_builtin(df, size_ms, slide_ms)
+    pane_ms = math.gcd(size_ms, slide_ms)
 
     panes = (df.groupBy(*_sensor_cols(),
-                        floor_to(F.col("measurement.timestamp"), slide_ms).alias("pane"))
+                        floor_to(F.col("measurement.timestamp"), pane_ms).alias("pane"))
                .agg(F.sum(val).alias("sv"), F.sum(acc).alias("sa"),
                     F.count(F.lit(1)).alias("n"), *_latest_aggs(_LOC)))
-    per_window = size_ms // slide_ms
+    # window starts are the multiples of the slide in (pane - size, pane]; with
+    # gaps between windows (slide > size) a pane may be in none
+    last = floor_to(F.col("pane"), slide_ms)
+    most = -(-size_ms // slide_ms)
     windows = (panes
-               .withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(per_window - 1))))
-               .withColumn("windowStart", F.col("pane") - F.col("k").cast("long") * F.lit(slide_ms))
+               .withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(most - 1))))
+               .withColumn("windowStart", last - F.col("k").cast("long") * F.lit(slide_ms))
+               .where(F.col("pane") < F.col("windowStart") + F.lit(size_ms))
                .groupBy("sensorId", "vendorId", "sensorType", "windowStart")
                .agg(F.sum("sv").alias("sv"), F.sum("sa").alias("sa"),
                     F.sum("n").alias("n"), *_merge_latest(_LOC))

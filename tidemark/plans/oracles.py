@@ -179,11 +179,11 @@ def _quantile(p: float) -> str:
 
 
 def _lag() -> str:
-    from tidemark.operators.stats import LAG_HISTORY, LAG_QUANTILES
+    from tidemark.operators.stats import LAG_QUANTILES
     qs = ", ".join(f"{rnd(_quantile(p), R_MS)} AS p{f'{p:g}'.split('.')[1].ljust(2, '0')}" for p in LAG_QUANTILES)
     return f"""
     WITH {_on_time(REF)},
-    latest AS (SELECT windowEnd FROM main ORDER BY windowEnd DESC, location DESC LIMIT {LAG_HISTORY}),
+    latest AS (SELECT windowEnd FROM main),
     agg AS (SELECT count(*) AS n, min({LAG_CLOCK_MS} - windowEnd) AS min, max({LAG_CLOCK_MS} - windowEnd) AS max,
                    avg({LAG_CLOCK_MS} - windowEnd) AS mean, stddev_samp({LAG_CLOCK_MS} - windowEnd) AS stddev,
                    list_sort(list({LAG_CLOCK_MS} - windowEnd)) AS s FROM latest)

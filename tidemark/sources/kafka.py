@@ -46,11 +46,8 @@ def read_record_files(spark: SparkSession, path: str, fmt: str = "parquet",
 
 
 def read_lines(spark: SparkSession, path: str, column: str = "name") -> DataFrame:
-    """One value per line of a text file (the city list); blank lines are
-    skipped, surrounding spaces trimmed."""
-    return (spark.read.text(path)
-            .select(F.trim(F.col("value")).alias(column))
-            .filter(F.col(column) != ""))
+    """One value per line of a text file (the city list), every line as it is."""
+    return spark.read.text(path).select(F.col("value").alias(column))
 
 
 __all__ = ["KAFKA_ORDER", "KAFKA_RECORD", "RECORD_FILE_SCHEMA", "from_kafka_frame", "read_kafka",

@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.records import clock_lag
 from tidemark.operators.decode import tolerant_decode
-from tidemark.operators.watermark import last_seen, watermark_trace, with_arrival_order
+from tidemark.operators.watermark import last_seen, seen_partitions, watermark_trace, with_arrival_order
 from tidemark.operators.windows import EVENT_TIME, tumbling_sum_count, with_event_time
-from tidemark.sources.fixtures import NUM_PARTITIONS, REF, Preset
+from tidemark.sources.fixtures import REF, Preset
 
 DECODE_METRIC = "decode"
 TAGGED_SCHEMA = ("seq BIGINT, arrival_ms BIGINT, timestamp BIGINT, key BINARY, value BINARY, "
@@ -58,7 +58,7 @@ class LateTagger:
     """
 
     def __init__(self, preset: Preset, late_path: str, on_time_path: str, state_path: str,
-                 scope: str = "global", partitions=tuple(range(NUM_PARTITIONS)),
+                 scope: str = "global", partitions=None,
                  order_cols=("seq",)):
         self.preset = preset
         self.late_path, self.on_time_path, self.state_path = late_path, on_time_path, state_path
@@ -69,18 +69,15 @@ class LateTagger:
         self.order_cols = tuple(order_cols)
 
     def _previous(self, spark, batch_id: int) -> dict:
-        """State after batch ``id - 1``; if that folder is missing, the latest
-        earlier one (one row per batch, so the fallback scan stays small)."""
+        """State after batch ``id - 1``. Every batch writes its state, so a
+        missing one is lost data: late records would pass as on time."""
         if batch_id == 0:
             return {}
+        folder = os.path.join(self.state_path, f"batch={batch_id - 1}")
         try:
-            row = spark.read.parquet(os.path.join(self.state_path, f"batch={batch_id - 1}")).first()
-        except AnalysisException:
-            try:
-                row = (spark.read.parquet(self.state_path).filter(F.col("batch") < batch_id)
-                       .orderBy(F.col("batch").desc()).drop("batch").first())
-            except AnalysisException:
-                return {}
+            row = spark.read.parquet(folder).first()
+        except AnalysisException as exc:
+            raise RuntimeError(f"the watermark state {folder} is missing") from exc
         return row.asDict() if row else {}
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -91,12 +88,17 @@ class LateTagger:
             batch, handle = with_arrival_order(batch, self.order_cols)
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)   # read once, used three times
         try:
-            seen = last_seen(batch, self.scope, self.partitions)
+            partitions = self.partitions
+            if self.scope == "partition" and partitions is None:
+                partitions = seen_partitions(batch, carried=[c for c in prev if c != "none"])
+            seen = last_seen(batch, self.scope, partitions)
+            if not seen.columns:       # no partition has sent anything yet
+                seen = spark.range(1).select(F.lit(None).cast("long").alias("none"))
             state = seen.select(*[F.greatest(F.col(c), F.lit(prev.get(c)).cast("long")).alias(c)
                                   for c in seen.columns])
             if not batch.isEmpty():
                 traced = watermark_trace(batch, self.preset.out_of_orderness_ms, self.preset.window_ms,
-                                         scope=self.scope, partitions=self.partitions,
+                                         scope=self.scope, partitions=partitions,
                                          initial_max=prev).persist(StorageLevel.MEMORY_AND_DISK)
                 cols = [c for c in traced.columns if c not in ("late", "batch", "poison")]
                 (traced.filter(F.col("late")).select(*cols).write.mode("overwrite")

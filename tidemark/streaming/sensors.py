@@ -96,11 +96,13 @@ def us_temperature_gauge(df: DataFrame, name: str) -> DataFrame:
     return df.observe(name, F.avg(v).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"))
 
 
-def sensor_streams(records: DataFrame, sliding=SLIDING_REF, watermark_ms: int = 0) -> SensorStreams:
+def sensor_streams(records: DataFrame, sliding=SLIDING_REF, *, watermark_ms: int) -> SensorStreams:
     """The four outputs (plus ``unrouted``) as streaming DataFrames; start
     each with its own query and checkpoint. The sliding average emits a window
     once the watermark (largest event time minus ``watermark_ms``) passes its
-    end. The temperature output carries the gauges ``sourceTemperatureUS``
+    end; rows later than that are dropped from the sliding average (Spark counts
+    them as ``numRowsDroppedByWatermark`` in the query progress), so the bound has
+    no default. The temperature output carries the gauges ``sourceTemperatureUS``
     (before conversion) and ``normalizedTemperatureUS`` (after)."""
     routed = split_by_type(records)
     temps = routed.temperature
