@@ -6,7 +6,7 @@ import collections
 import hashlib
 
 import corpus_pipeline
-from conftest import SMALL, rows
+from hard_rows import SMALL
 from tidemark.llm.common import read
 
 
