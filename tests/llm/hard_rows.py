@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 SMALL = "/root/testdata/sf0.001"
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, "
           "score double, fp long, role string, key string")
@@ -19,3 +21,13 @@ def rows():
     out += [out[4], out[4], (None, "the cat sat on the mat", None, None, 3, None, None, None, None),
             (None, None, None, None, None, None, None, None, None)]
     return out
+
+
+@pytest.fixture(scope="session")
+def hard(spark):
+    return spark.createDataFrame(rows(), SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from hard_rows import SMALL, rows
+from hard_rows import SMALL, empty, hard, rows  # noqa: F401
 from tidemark.llm import bpe, ctw, digest, embedding_dedup, langid, mixing, quality, secret_scan, simhash, toxicity
 from tidemark.llm.common import in_fold, read
 

@@ -6,7 +6,7 @@ import collections
 import hashlib
 
 import corpus_pipeline
-from hard_rows import SMALL
+from hard_rows import SMALL, hard  # noqa: F401
 from tidemark.llm.common import read
 
 
