@@ -109,3 +109,46 @@ def test_rank_branches_share_one_range_shuffle(spark):
     top = plan.split("InMemoryRelation")[0]
     assert "rangepartitioning" not in top
     spark.catalog.clearCache()
+
+
+@pytest.mark.parametrize("seed", [1e25, 1e300, -1e300, float("nan"), float("inf"), 5e-324, 1e-310])
+def test_seed_is_never_forgotten(spark, seed):
+    """The plain recursion over a long key, far past any fixed depth."""
+    rows = [(i, 1, i, 1e-12 if i else seed, 0.5) for i in range(1500)]
+    expect = _exact(rows)
+    df = _records(spark, rows)
+    for got in (_got(ema_window(df, SENSOR_KEY)), _got(ema_chunked(df, SENSOR_KEY, chunk_rows=700))):
+        assert set(got) == set(expect)
+        for s, (v, a, _) in expect.items():
+            assert got[s][0] == pytest.approx(v, rel=1e-13, nan_ok=True), s
+            assert got[s][1] == a
+
+
+def test_wide_ranges_and_specials_match_recursion(spark):
+    rnd = random.Random(8)
+    rows, seq = [], 0
+    for key in range(4):
+        for i in range(5000 if key == 0 else 900):
+            v = rnd.choice([-1, 1]) * 10.0 ** rnd.uniform(-300, 300)
+            a = rnd.choice([-1, 1]) * 10.0 ** rnd.uniform(-30, 30)
+            if key == 2 and i == 100:
+                v = float("inf")
+            if key == 2 and i == 600:
+                v = float("-inf")
+            if key == 3 and i == 200:
+                a = float("nan")
+            rows.append((seq, key, i // 3, v, float(np.float32(a))))
+            seq += 1
+    expect = _exact(rows)
+    got = _got(ema_chunked(_records(spark, rows), SENSOR_KEY, chunk_rows=2000))
+    assert set(got) == set(expect)
+    for s, (v, a, ts) in expect.items():
+        assert got[s][0] == pytest.approx(v, rel=1e-12, nan_ok=True), s
+        assert got[s][1] == pytest.approx(a, rel=0, nan_ok=True), s
+        assert got[s][2] == ts
+
+
+def test_null_readings_count_as_zero(spark):
+    rows = [(0, 1, 0, 8.0, 1.0), (1, 1, 1, None, None), (2, 1, 2, 1.0, 0.5)]
+    got = _got(ema_window(_records(spark, rows), SENSOR_KEY))
+    assert got == {1: (4.0, 0.5, 1), 2: (2.5, 0.5, 2)}

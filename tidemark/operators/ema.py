@@ -3,20 +3,26 @@
 Per key, in ``(timestamp, seq)`` order: the first row only seeds the average
 and is not emitted; every later row emits ``avg = (avg + x) / 2`` for the value
 (double) and the accuracy (float arithmetic), with the row's own timestamp.
-
-The seed of row ``i`` weighs ``2**-i``, so the average over the last 64 rows
-(folded from the oldest of them) equals the full recursion to double
-precision. Each output row therefore needs a frame of 64 rows, never the
-whole key.
+A NULL value or accuracy counts as 0, as in the decoder.
+
+The recursion runs over blocks of 64 consecutive rows: inside a block it is
+folded row by row from the state that the earlier rows left. A block changes
+the state from ``s`` to ``s * 2**-n + fold from 0``, so that state is composed
+from the 34 blocks before it: what is older weighs less than ``2**-2176``,
+which is nothing for any finite double. NaN and infinities never fade; the
+first position of each is found per key and added to the state. The accuracy
+narrows to float at every step, so its state is folded once more over the
+previous block. Exceptions: values beyond half the double range, whose plain
+sum would overflow (the composed state does not), and a last bit of the
+accuracy where 64 roundings in a row keep two neighbouring floats apart.
 
 Two plans are offered:
 
-* ``window``: one window partitioned by the key. Simple, one shuffle, but a
-  hot key is sorted in one task.
+* ``window``: rows are ranked by one window partitioned by the key. Simple,
+  but a hot key is sorted in one task.
 * ``chunked`` (default): rows get their exact rank within the key, are cut
-  into chunks of ``chunk_rows`` ranks, and each chunk also receives the 63
-  rows that precede it (a halo). The frame then runs per (key, chunk): a key of
-  any size spreads over many tasks and the result is the same row for row.
+  into chunks of ``chunk_rows`` ranks, and each chunk also receives the 2,240
+  rows that precede it (a halo). A key of any size spreads over many tasks.
 
 Ranks come from Spark's range partitioner: ``repartitionByRange(key, ts, seq)``
 samples the input and cuts it into balanced sorted ranges, splitting a hot key
@@ -36,17 +42,17 @@ from pyspark.sql import functions as F
 
 from tidemark.session import checkpoint_root
 
-
-DEPTH = 64
+BLOCK = 64
+BLOCKS_BACK = 34                      # 34 * 64 halvings reach below every double
+HALO = BLOCK * (BLOCKS_BACK + 1)      # one block more: the first may be cut short
 
 
-def _fold_value(values: Column) -> Column:
-    return F.aggregate(F.slice(values, 2, DEPTH), values[0], lambda a, x: (a + x) / F.lit(2.0))
+def _next_value(avg: Column, x: Column) -> Column:
+    return (avg + x) / F.lit(2.0)
 
 
-def _fold_accuracy(values: Column) -> Column:
-    return F.aggregate(F.slice(values, 2, DEPTH), values[0].cast("float"),
-                       lambda a, x: ((a + x) / F.lit(2.0)).cast("float"))
+def _next_accuracy(avg: Column, x: Column) -> Column:
+    return ((avg + x) / F.lit(2.0)).cast("float")
 
 
 def _flat_key(df: DataFrame, key_cols) -> tuple[DataFrame, list[str]]:
@@ -58,28 +64,88 @@ def _flat_key(df: DataFrame, key_cols) -> tuple[DataFrame, list[str]]:
     return df, names
 
 
-def _emit(df: DataFrame, frame: Window) -> DataFrame:
-    # both frame lists in one select: one Window operator
-    df = df.select("*", F.col("measurement.value").alias("_v"), F.col("measurement.accuracy").alias("_a"))
-    vs = F.collect_list(F.col("_v")).over(frame)
-    accs = F.collect_list(F.col("_a")).over(frame)
-    return (df.select("*", vs.alias("_vs"), accs.alias("_as")).drop("_v", "_a")
-              .withColumn("measurement", F.struct(
-                  _fold_value(F.col("_vs")).alias("value"),
-                  _fold_accuracy(F.col("_as")).alias("accuracy"),
-                  F.col("measurement.timestamp").alias("timestamp")))
-              .drop("_vs", "_as"))
+def _specials(ranked: DataFrame, keys) -> DataFrame:
+    """Per key that has any: rank of the first NaN, infinity and negative
+    infinity among its values and accuracies."""
+    bad = {"nan": float("nan"), "up": float("inf"), "down": float("-inf")}
+    # Spark holds NaN equal to NaN
+    firsts = [F.min(F.when(F.col(c) == F.lit(x), F.col("_rank"))).alias(f"{c}_{name}")
+              for c in ("_v", "_a") for name, x in bad.items()]
+    special = [F.col(c).isin(*bad.values()) for c in ("_v", "_a")]
+    return ranked.where(special[0] | special[1]).groupBy(*keys).agg(*firsts)
+
+
+def _left_by_specials(c: str, before: Column) -> Column:
+    """0, or what NaN and infinities of the rows ranked below ``before`` made of the state."""
+    def part(name, x):
+        return F.when(F.col(f"{c}_{name}") < before, F.lit(x)).otherwise(F.lit(0.0))
+    return part("nan", float("nan")) + part("up", float("inf")) + part("down", float("-inf"))
+
+
+def _average(ranked: DataFrame, spread: DataFrame, keys, columns) -> DataFrame:
+    """The averaged rows of ``spread``, which holds the rows of ``ranked``
+    dealt to ``_chunk`` with ``_halo`` marking copies."""
+    rows = F.sort_array(F.collect_list(F.struct("_rank", "_halo", "_v", "_a", F.struct(*columns).alias("row"))))
+    blocks = (spread.repartition(*keys, "_chunk")
+              .groupBy(*keys, "_chunk", F.floor((F.col("_rank") - 1) / F.lit(BLOCK)).alias("_block"))
+              .agg(rows.alias("_rows"), F.min("_halo").alias("_copy")))
+    order = Window.partitionBy(*keys, "_chunk").orderBy("_block")
+    blocks = blocks.select("*", F.lag("_block").over(order).isNull().alias("_first"))
+    # the first block is seeded by its first row, the others start from 0 here
+    first = F.col("_rows")[0]
+    blocks = blocks.withColumn("_fold", F.when(F.col("_first"), F.slice("_rows", 2, BLOCK)).otherwise(F.col("_rows")))
+
+    def from_zero(c):
+        zero = F.when(F.col("_first"), first[c].cast("double")).otherwise(F.lit(0.0))
+        return F.aggregate("_fold", zero, lambda s, r: _next_value(s, r[c].cast("double")))
+    blocks = blocks.withColumn("_own", F.struct(
+        F.pow(F.lit(2.0), -F.size("_rows").cast("double")).alias("w"),
+        from_zero("_v").alias("_v"), from_zero("_a").alias("_a")))
+    blocks = blocks.withColumn("_past", F.collect_list("_own").over(order.rowsBetween(-BLOCKS_BACK, -1)))
+    if keys:
+        blocks = blocks.join(_specials(ranked, keys), keys, "left")
+
+    def composed(c):
+        past = F.aggregate("_past", F.lit(0.0), lambda s, b: s * b["w"] + b[c])
+        return past + _left_by_specials(c, F.col("_rows")[0]["_rank"])
+    blocks = blocks.withColumn("_state_v", composed("_v")).withColumn("_state_a", composed("_a").cast("float"))
+    blocks = blocks.select("*", F.lag(F.struct("_state_a", "_fold", "_first", first["_a"].alias("seed")))
+                           .over(order).alias("_prev")).where(~F.col("_copy"))
+    seed_a = F.aggregate(
+        "_prev._fold", F.when(F.col("_prev._first"), F.col("_prev.seed")).otherwise(F.col("_prev._state_a")),
+        lambda s, r: _next_accuracy(s, r["_a"]))
+    kind = "array<struct<v:double,a:float>>"
+    start = F.when(F.col("_first"), F.struct(first["_v"].alias("v"), first["_a"].alias("a"))).otherwise(
+        F.struct(F.col("_state_v").alias("v"), seed_a.alias("a")))
+
+    def step(states, r):
+        last = F.element_at(states, -1)
+        return F.concat(states, F.array(F.struct(
+            _next_value(last["v"], r["_v"]).alias("v"), _next_accuracy(last["a"], r["_a"]).alias("a")))).cast(kind)
+    states = F.aggregate("_fold", F.array(start).cast(kind), step)
+    states = F.when(F.col("_first"), states).otherwise(F.slice(states, 2, BLOCK))
+    out = (blocks.select("_rows", states.alias("_states"))
+           .select(F.explode(F.arrays_zip("_rows", "_states")).alias("_z"))
+           .where(~F.col("_z._rows._halo") & (F.col("_z._rows._rank") > 1))
+           .select("_z._rows.row.*", F.col("_z._states").alias("_state")))
+    return out.withColumn("measurement", F.struct(
+        F.col("_state.v").alias("value"), F.col("_state.a").alias("accuracy"),
+        F.col("measurement.timestamp").alias("timestamp"))).drop("_state")
+
+
+def _with_readings(df: DataFrame) -> DataFrame:
+    return (df.withColumn("_v", F.coalesce(F.col("measurement.value").cast("double"), F.lit(0.0)))
+              .withColumn("_a", F.coalesce(F.col("measurement.accuracy").cast("float"), F.lit(0.0).cast("float"))))
 
 
 def ema_window(df: DataFrame, key_cols, order_cols=("measurement.timestamp", "seq")) -> DataFrame:
-    """EMA with one window partitioned by the key."""
+    """EMA with ranks from one window partitioned by the key."""
+    columns = df.columns
     df, keys = _flat_key(df, key_cols)
-    order = [F.col(c) for c in order_cols]
-    by_key = Window.partitionBy(*keys).orderBy(*order)
-    out = (df.withColumn("_rn", F.row_number().over(by_key))
-             .transform(lambda d: _emit(d, by_key.rowsBetween(-(DEPTH - 1), 0)))
-             .filter(F.col("_rn") > 1))
-    return out.drop("_rn", *keys)
+    by_key = Window.partitionBy(*keys).orderBy(*[F.col(c) for c in order_cols])
+    ranked = _with_readings(df.withColumn("_rank", F.row_number().over(by_key).cast("bigint")))
+    spread = ranked.withColumn("_chunk", F.lit(0)).withColumn("_halo", F.lit(False))
+    return _average(ranked, spread, keys, columns)
 
 
 def rank_within_key(df: DataFrame, keys, order_cols, materialize: str = "persist") -> DataFrame:
@@ -128,26 +194,18 @@ def rank_with_handle(df: DataFrame, keys, order_cols, materialize: str = "persis
 def ema_chunked(df: DataFrame, key_cols, order_cols=("measurement.timestamp", "seq"),
                 chunk_rows: int = 1 << 20, materialize: str = "persist") -> DataFrame:
     """EMA with exact ranks and overlapping chunks (see module doc)."""
-    if chunk_rows < DEPTH:
-        raise ValueError("chunk_rows must be at least the frame depth")
+    if chunk_rows < 1:
+        raise ValueError("chunk_rows must be positive")
+    columns = df.columns
     df, keys = _flat_key(df, key_cols)
     df = df.withColumn("_o0", F.col(order_cols[0])).withColumn("_o1", F.col(order_cols[1]))
-    ranked = rank_within_key(df, keys, ["_o0", "_o1"], materialize).drop("_o0", "_o1")
+    ranked = _with_readings(rank_within_key(df, keys, ["_o0", "_o1"], materialize).drop("_o0", "_o1"))
     pos = F.col("_rank") - F.lit(1)
-    chunk = F.floor(pos / F.lit(chunk_rows))
-    in_halo = F.pmod(pos, F.lit(chunk_rows)) >= F.lit(chunk_rows - (DEPTH - 1))
-    copies = F.when(in_halo, F.array(
-        F.struct(chunk.alias("c"), F.lit(False).alias("h")),
-        F.struct((chunk + 1).alias("c"), F.lit(True).alias("h"))
-    )).otherwise(F.array(F.struct(chunk.alias("c"), F.lit(False).alias("h"))))
-    spread = (ranked.withColumn("_cp", F.explode(copies))
-                    .withColumn("_chunk", F.col("_cp.c")).withColumn("_halo", F.col("_cp.h"))
-                    .drop("_cp"))
-    frame = (Window.partitionBy(*keys, "_chunk").orderBy("_rank")
-             .rowsBetween(-(DEPTH - 1), 0))
-    out = (_emit(spread, frame)
-           .filter(~F.col("_halo") & (F.col("_rank") > 1)))
-    return out.drop("_rank", "_chunk", "_halo", *keys)
+    own = F.floor(pos / F.lit(chunk_rows))
+    # a row goes to its chunk and, as a copy, to those that start within the next HALO rows
+    spread = (ranked.withColumn("_chunk", F.explode(F.sequence(own, F.floor((pos + F.lit(HALO)) / F.lit(chunk_rows)))))
+                    .withColumn("_halo", F.col("_chunk") != own))
+    return _average(ranked, spread, keys, columns)
 
 
 def ema(df: DataFrame, key_cols, method: str = "chunked", **kw) -> DataFrame:

@@ -45,7 +45,8 @@ def nest(df: DataFrame) -> DataFrame:
 class EmaProcessor(StatefulProcessor):
     """EMA with coefficient 1/2 per sensor key. The first row of a key only
     seeds the state. Rows of one micro-batch are taken in (timestamp, seq)
-    order; batches in arrival order. Accuracy uses float arithmetic."""
+    order; batches in arrival order. Accuracy uses float arithmetic. A NULL
+    value or accuracy counts as 0."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("ema", EMA_STATE_SCHEMA)
@@ -57,11 +58,11 @@ class EmaProcessor(StatefulProcessor):
             acc = np.float32(acc)
         else:
             first, batch = batch[0], batch[1:]
-            acc, val = np.float32(first["accuracy"]), first["value"]
+            acc, val = np.float32(first["accuracy"] or 0.0), first["value"] or 0.0
         half = np.float32(2.0)
         for r in batch:
-            val = (val + r["value"]) / 2.0
-            acc = np.float32(np.float32(acc + np.float32(r["accuracy"])) / half)
+            val = (val + (r["value"] or 0.0)) / 2.0
+            acc = np.float32(np.float32(acc + np.float32(r["accuracy"] or 0.0)) / half)
             out = r.asDict()
             out["value"], out["accuracy"] = float(val), float(acc)
             yield Row(**out)
