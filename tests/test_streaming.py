@@ -207,3 +207,46 @@ def test_stateless_fan_out_reads_each_batch_once(spark):
                          ("wind", localize_wind(em.filter("sensor.sensorType = 'Wind'")))):
         got = spark.read.parquet(os.path.join(work, "out", name))
         assert sorted(map(key, flatten(got).collect())) == sorted(map(key, flatten(expect).collect())), name
+
+
+def _emitting_tagger(work):
+    names = ("late", "ontime", "state", "windows", "invalid")
+    late, on_time, state, windows, invalid = (os.path.join(work, d) for d in names)
+    return LateTagger(DAY, late, on_time, state, windows_path=windows, invalid_path=invalid), windows, invalid
+
+
+def test_emitted_windows_survive_replay_and_split(spark):
+    """Every batch twice, once failing before its state is written; the windows
+    equal the batch pipeline's, each emitted once."""
+    rec = kafka_records(spark, SMALL, DAY.skew_ms).drop("poison").cache()
+    n = rec.count()
+    far = spark.createDataFrame([(10 ** 9, FAR, FAR, None, bytearray(b'{"location": "FUTURE"}'), 1)],
+                                "seq long, arrival_ms long, timestamp long, key binary, value binary, partition int")
+    tagger, windows, invalid = _emitting_tagger(tempfile.mkdtemp(prefix="tidemark-emit-"))
+    cuts = [0, n // 4, n // 4, n // 2, n]          # the second batch is empty
+    low = rec.selectExpr("min(seq)").first()[0]
+    batches = [rec.where(f"seq - {low} >= {lo} AND seq - {low} < {hi}") for lo, hi in zip(cuts, cuts[1:])]
+    for i, batch in enumerate([*batches, far.select(*rec.columns)]):
+        keep, tagger.state_path = tagger.state_path, "/proc/nowhere" if i == 0 else tagger.state_path
+        if i == 0:
+            with pytest.raises(Exception):
+                tagger(batch, i)                   # all outputs written, the state not
+        tagger.state_path = keep
+        tagger(batch, i)
+        tagger(batch, i)
+    expect = location_pipeline(kafka_records(spark, SMALL, DAY.skew_ms), DAY)
+    assert _windows(spark.read.parquet(windows).collect()) == _windows(expect.main.collect())
+    bad = {r["seq"] for r in expect.invalid.collect()} - {r["seq"] for r in expect.late.collect()}
+    assert {r["seq"] for r in spark.read.parquet(invalid).collect()} == bad
+    rec.unpersist()
+
+
+def test_lost_open_windows_raise(spark):
+    rec = kafka_records(spark, SMALL, DAY.skew_ms).drop("poison").limit(5)
+    tagger, _, _ = _emitting_tagger(tempfile.mkdtemp(prefix="tidemark-lost-"))
+    tagger(rec, 0)
+    tagger.open_path += "-elsewhere"
+    with pytest.raises(RuntimeError, match="open windows"):
+        tagger(rec, 1)
+    with pytest.raises(ValueError):
+        LateTagger(DAY, "a", "b", "c", scope="partition", windows_path="d")

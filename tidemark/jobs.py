@@ -23,7 +23,7 @@ from tidemark.plans.sensors import SLIDING_HOURS, SLIDING_REF, sensor_pipeline
 from tidemark.session import build_session, checkpoint_root, ensure_dir, use_checkpoint_root
 from tidemark.sources.fixtures import DAY, REF, extended_measurements, kafka_records
 from tidemark.sources.kafka import KAFKA_ORDER, read_kafka, read_record_files
-from tidemark.streaming.location import LateTagger, on_time_windows, read_tagged, with_lag_gauge
+from tidemark.streaming.location import LateTagger, read_tagged, read_windows, with_lag_gauge
 from tidemark.streaming.sensors import FLAT_SCHEMA, StatelessFanOut, flatten, nest, sensor_streams
 from tidemark.streaming.sinks import start, start_batches
 
@@ -49,9 +49,10 @@ def _trigger(args):
 
 
 def run_location(spark, args):
-    """Tagger (late / on-time split) -> windows over on-time records; late
-    records are printed or discarded by a third query. Under
-    ``--available-now`` the stages run one after the other."""
+    """Tagger: late and on-time records, on-time windows and undecodable records
+    as tables under the application's folder. Two more queries print or discard
+    windows and late records. Under ``--available-now`` the stages run one
+    after the other."""
     preset = PRESETS[args.preset]
     root = os.path.join(checkpoint_root(spark), args.app_id, "location")
     order = ("seq",)
@@ -59,18 +60,20 @@ def run_location(spark, args):
         records, order = read_kafka(spark, args.kafka_servers, args.topic), KAFKA_ORDER
     else:
         records = read_record_files(spark, args.source, max_files_per_trigger=args.max_files)
-    late, on_time, state = (os.path.join(root, d) for d in ("late", "on_time", "tagger_state"))
-    for folder in (late, on_time):
+    late, on_time, state, windows, invalid = (
+        os.path.join(root, d) for d in ("late", "on_time", "tagger_state", "windows", "invalid"))
+    for folder in (late, windows):
         ensure_dir(spark, folder)
     sink = "console" if args.local else "noop"
     trigger, app = _trigger(args), args.app_id
     tagger = start_batches(records, "LateTagger",
-                           LateTagger(preset, late, on_time, state, order_cols=order),
+                           LateTagger(preset, late, on_time, state, order_cols=order,
+                                      windows_path=windows, invalid_path=invalid),
                            trigger=trigger, app_id=app)
     if args.available_now:
         tagger.awaitTermination()
     return [tagger,
-            start(with_lag_gauge(on_time_windows(read_tagged(spark, on_time), preset)), "NormalOutput",
+            start(with_lag_gauge(read_windows(spark, windows)), "NormalOutput",
                   sink=sink, trigger=trigger, app_id=app),
             start(read_tagged(spark, late), "LateDataSink", sink=sink, trigger=trigger, app_id=app)]
 

@@ -5,13 +5,18 @@ Two forms:
 * :func:`location_windows` - one query: watermark, tolerant decode (counted
   through ``observe``), tumbling sum/count per location in append mode. Spark
   drops rows behind the watermark silently.
-* :class:`LateTagger` + :func:`on_time_windows` - late rows as a separate
-  output. A ``foreachBatch`` query tags each record with the watermark it met
-  (largest event time of earlier records, carried across micro-batches in a
-  one-row state table), writes late records to the late output and on-time
-  records to an intermediate table, one folder per batch id, overwritten on
-  replay. A second query aggregates the intermediate table; its own watermark
-  never passes an on-time record's window, so it drops nothing.
+* :class:`LateTagger` - late rows as a separate output. A ``foreachBatch``
+  query tags each record with the watermark it met (largest event time of
+  earlier records, carried across micro-batches in a one-row state table) and
+  writes late and on-time records, one folder per batch id, overwritten on
+  replay. With ``windows_path`` it also emits the windows that the batch
+  closed: the sums of open windows are carried in a table per batch, so a batch
+  only depends on its own rows and on tables of the batch before it, and a
+  replay gives the same folders again.
+
+:func:`on_time_windows` aggregates the tagger's on-time table in a second
+query. It suits a finished table: it reads a replayed folder twice, and its own
+watermark can pass rows of a batch that it reads in parts.
 """
 
 from __future__ import annotations
@@ -25,13 +30,14 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.records import clock_lag
 from tidemark.operators.decode import tolerant_decode
-from tidemark.operators.watermark import last_seen, seen_partitions, watermark_trace, with_arrival_order
+from tidemark.operators.watermark import is_late, last_seen, seen_partitions, watermark_trace, with_arrival_order
 from tidemark.operators.windows import EVENT_TIME, tumbling_sum_count, with_event_time
 from tidemark.sources.fixtures import REF, Preset
 
 DECODE_METRIC = "decode"
 TAGGED_SCHEMA = ("seq BIGINT, arrival_ms BIGINT, timestamp BIGINT, key BINARY, value BINARY, "
                  "partition INT, watermark BIGINT, windowEnd BIGINT, batch BIGINT")
+WINDOW_SCHEMA = "windowStart BIGINT, windowEnd BIGINT, location STRING, eventsPerWindow BIGINT, sumPerWindow DOUBLE"
 
 
 def _ms(ms: int) -> str:
@@ -55,11 +61,20 @@ class LateTagger:
     State: ``<state_path>/batch=<id>`` holds, after batch ``id``, the largest
     event time per watermark group. It is written for every batch (also
     empty ones), so batch ``id`` only reads ``batch=<id - 1>``.
+
+    ``windows_path`` (global scope, whose watermark never falls): on-time
+    windows, each written once, in the folder of the batch that closed it. Open
+    windows wait in ``<state_path>-open/batch=<id>``, one row per window and
+    location. ``invalid_path``: on-time records that do not decode.
     """
 
     def __init__(self, preset: Preset, late_path: str, on_time_path: str, state_path: str,
                  scope: str = "global", partitions=None,
-                 order_cols=("seq",)):
+                 order_cols=("seq",), windows_path: str | None = None, invalid_path: str | None = None):
+        if windows_path and scope != "global":
+            raise ValueError("windows are emitted under the global watermark only")
+        self.windows_path, self.invalid_path = windows_path, invalid_path
+        self.open_path = f"{state_path}-open"
         self.preset = preset
         self.late_path, self.on_time_path, self.state_path = late_path, on_time_path, state_path
         self.scope, self.partitions = scope, partitions
@@ -80,6 +95,31 @@ class LateTagger:
             raise RuntimeError(f"the watermark state {folder} is missing") from exc
         return row.asDict() if row else {}
 
+    def _emit_windows(self, on_time: DataFrame, batch_id: int, watermark: int | None) -> None:
+        """Add the batch's sums to the open windows; write those that
+        ``watermark`` closes and those that stay open."""
+        spark = on_time.sparkSession
+        decoded = tolerant_decode(on_time, streaming=False)
+        sums = tumbling_sum_count(decoded.valid, self.preset.window_ms)
+        if batch_id > 0:
+            folder = os.path.join(self.open_path, f"batch={batch_id - 1}")
+            try:
+                carried = spark.read.schema(WINDOW_SCHEMA).parquet(folder)
+            except AnalysisException as exc:
+                raise RuntimeError(f"the open windows {folder} are missing") from exc
+            sums = sums.unionByName(carried)
+        merged = sums.groupBy("windowStart", "windowEnd", "location").agg(
+            F.sum("eventsPerWindow").alias("eventsPerWindow"), F.sum("sumPerWindow").alias("sumPerWindow")
+        ).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            closed = is_late(F.col("windowEnd"), F.lit(watermark).cast("long"))
+            for rows, path in ((merged.where(closed), self.windows_path), (merged.where(~closed), self.open_path)):
+                rows.write.mode("overwrite").parquet(os.path.join(path, f"batch={batch_id}"))
+        finally:
+            merged.unpersist()
+        if self.invalid_path:
+            decoded.invalid.write.mode("overwrite").parquet(os.path.join(self.invalid_path, f"batch={batch_id}"))
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         prev = self._previous(spark, batch_id)
@@ -96,6 +136,7 @@ class LateTagger:
                 seen = spark.range(1).select(F.lit(None).cast("long").alias("none"))
             state = seen.select(*[F.greatest(F.col(c), F.lit(prev.get(c)).cast("long")).alias(c)
                                   for c in seen.columns])
+            traced = None
             if not batch.isEmpty():
                 traced = watermark_trace(batch, self.preset.out_of_orderness_ms, self.preset.window_ms,
                                          scope=self.scope, partitions=partitions,
@@ -105,6 +146,13 @@ class LateTagger:
                        .parquet(os.path.join(self.late_path, f"batch={batch_id}")))
                 (traced.filter(~F.col("late")).select(*cols).write.mode("overwrite")
                        .parquet(os.path.join(self.on_time_path, f"batch={batch_id}")))
+            if self.windows_path:
+                latest = state.first()["all"]
+                watermark = None if latest is None else latest - self.preset.out_of_orderness_ms
+                on_time = batch if traced is None else traced.filter(~F.col("late"))
+                self._emit_windows(on_time.select(*[c for c in batch.columns if c not in ("late", "batch", "poison")]),
+                                   batch_id, watermark)
+            if traced is not None:
                 traced.unpersist()
             # last, so a replay after a failure finds the previous state unchanged
             state.write.mode("overwrite").parquet(os.path.join(self.state_path, f"batch={batch_id}"))
@@ -122,6 +170,13 @@ def read_tagged(spark, path: str, max_files_per_trigger: int | None = None) -> D
     return reader.parquet(path)
 
 
+def read_windows(spark, path: str) -> DataFrame:
+    """Stream over the windows that the tagger emitted. A consumer of this
+    stream sees the windows of a replayed batch again; the table itself holds
+    each window once."""
+    return spark.readStream.schema(WINDOW_SCHEMA).parquet(path)
+
+
 def with_lag_gauge(windows: DataFrame, name: str = "eventTimeLag") -> DataFrame:
     """Observed metric ``name`` per micro-batch over the emitted windows: lag
     of the wall clock (fixed per micro-batch) behind each window end, as
@@ -135,5 +190,5 @@ def with_lag_gauge(windows: DataFrame, name: str = "eventTimeLag") -> DataFrame:
 
 def on_time_windows(tagged_on_time: DataFrame, preset: Preset = REF,
                     metric_name: str = DECODE_METRIC) -> DataFrame:
-    """Second stage: windows over on-time records only."""
+    """Windows over a finished on-time table (see the module doc)."""
     return location_windows(tagged_on_time.drop("watermark", "windowEnd", "batch"), preset, metric_name)
