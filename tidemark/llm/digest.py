@@ -145,7 +145,9 @@ def neighbours(documents: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 yield emit([(doc, None, None, to_hex(own), None, None, None)], role, text)
 
     fields = ", ".join(f"{n} {t}" for n, t, _ in OUT)
-    made = stage_table(source.repartitionByRange("id", "text").sortWithinPartitions("id", "text")
+    # Spark samples the range keys to the driver: a short prefix of the text keeps
+    # the order of (id, text), and whole texts stay with the executors
+    made = stage_table(source.repartitionByRange("id", F.substring("text", 1, 32)).sortWithinPartitions("id", "text")
                        .mapInArrow(stream, f"id {id_sql}, {fields}, role string, part int, text string"), "digest")
     ends = made.where("role IS NOT NULL")
     parts = ends.where("role = 'first'").select("part")        # one row per partition
