@@ -140,12 +140,13 @@ def test_wide_ranges_and_specials_match_recursion(spark):
             rows.append((seq, key, i // 3, v, float(np.float32(a))))
             seq += 1
     expect = _exact(rows)
-    got = _got(ema_chunked(_records(spark, rows), SENSOR_KEY, chunk_rows=2000))
-    assert set(got) == set(expect)
-    for s, (v, a, ts) in expect.items():
-        assert got[s][0] == pytest.approx(v, rel=1e-12, nan_ok=True), s
-        assert got[s][1] == pytest.approx(a, rel=0, nan_ok=True), s
-        assert got[s][2] == ts
+    df = _records(spark, rows)
+    for got in (_got(ema_chunked(df, SENSOR_KEY, chunk_rows=2000)), _got(ema_window(df, SENSOR_KEY))):
+        assert set(got) == set(expect)
+        for s, (v, a, ts) in expect.items():
+            assert got[s][0] == pytest.approx(v, rel=1e-12, nan_ok=True), s
+            assert got[s][1] == pytest.approx(a, rel=0, nan_ok=True), s
+            assert got[s][2] == ts
 
 
 def test_null_readings_count_as_zero(spark):

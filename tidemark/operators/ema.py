@@ -82,12 +82,12 @@ def _left_by_specials(c: str, before: Column) -> Column:
     return part("nan", float("nan")) + part("up", float("inf")) + part("down", float("-inf"))
 
 
-def _average(ranked: DataFrame, spread: DataFrame, keys, columns) -> DataFrame:
-    """The averaged rows of ``spread``, which holds the rows of ``ranked``
-    dealt to ``_chunk`` with ``_halo`` marking copies."""
+def _average(spread: DataFrame, keys, columns, specials: DataFrame | None = None) -> DataFrame:
+    """The averaged rows of ``spread``: rows dealt to ``_chunk``, ``_halo``
+    marking copies. Without ``specials`` a chunk holds its whole key, and NaN
+    and infinities are summed over its earlier blocks."""
     rows = F.sort_array(F.collect_list(F.struct("_rank", "_halo", "_v", "_a", F.struct(*columns).alias("row"))))
-    blocks = (spread.repartition(*keys, "_chunk")
-              .groupBy(*keys, "_chunk", F.floor((F.col("_rank") - 1) / F.lit(BLOCK)).alias("_block"))
+    blocks = (spread.groupBy(*keys, "_chunk", F.floor((F.col("_rank") - 1) / F.lit(BLOCK)).alias("_block"))
               .agg(rows.alias("_rows"), F.min("_halo").alias("_copy")))
     order = Window.partitionBy(*keys, "_chunk").orderBy("_block")
     blocks = blocks.select("*", F.lag("_block").over(order).isNull().alias("_first"))
@@ -102,12 +102,19 @@ def _average(ranked: DataFrame, spread: DataFrame, keys, columns) -> DataFrame:
         F.pow(F.lit(2.0), -F.size("_rows").cast("double")).alias("w"),
         from_zero("_v").alias("_v"), from_zero("_a").alias("_a")))
     blocks = blocks.withColumn("_past", F.collect_list("_own").over(order.rowsBetween(-BLOCKS_BACK, -1)))
-    if keys:
-        blocks = blocks.join(_specials(ranked, keys), keys, "left")
+    if specials is not None:
+        blocks = blocks.join(specials, keys, "left")
+        left = {c: _left_by_specials(c, F.col("_rows")[0]["_rank"]) for c in ("_v", "_a")}
+    else:
+        def bad_sum(c):
+            return F.aggregate("_rows", F.lit(0.0), lambda s, r: s + F.when(
+                F.abs(r[c]) >= F.lit(float("inf")), r[c].cast("double")).otherwise(F.lit(0.0)))
+        earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+        blocks = blocks.withColumn("_bad_v", bad_sum("_v")).withColumn("_bad_a", bad_sum("_a"))
+        left = {c: F.coalesce(F.sum(f"_bad{c}").over(earlier), F.lit(0.0)) for c in ("_v", "_a")}
 
     def composed(c):
-        past = F.aggregate("_past", F.lit(0.0), lambda s, b: s * b["w"] + b[c])
-        return past + _left_by_specials(c, F.col("_rows")[0]["_rank"])
+        return F.aggregate("_past", F.lit(0.0), lambda s, b: s * b["w"] + b[c]) + left[c]
     blocks = blocks.withColumn("_state_v", composed("_v")).withColumn("_state_a", composed("_a").cast("float"))
     blocks = blocks.select("*", F.lag(F.struct("_state_a", "_fold", "_first", first["_a"].alias("seed")))
                            .over(order).alias("_prev")).where(~F.col("_copy"))
@@ -145,7 +152,7 @@ def ema_window(df: DataFrame, key_cols, order_cols=("measurement.timestamp", "se
     by_key = Window.partitionBy(*keys).orderBy(*[F.col(c) for c in order_cols])
     ranked = _with_readings(df.withColumn("_rank", F.row_number().over(by_key).cast("bigint")))
     spread = ranked.withColumn("_chunk", F.lit(0)).withColumn("_halo", F.lit(False))
-    return _average(ranked, spread, keys, columns)
+    return _average(spread, keys, columns)
 
 
 def rank_within_key(df: DataFrame, keys, order_cols, materialize: str = "persist") -> DataFrame:
@@ -205,7 +212,7 @@ def ema_chunked(df: DataFrame, key_cols, order_cols=("measurement.timestamp", "s
     # a row goes to its chunk and, as a copy, to those that start within the next HALO rows
     spread = (ranked.withColumn("_chunk", F.explode(F.sequence(own, F.floor((pos + F.lit(HALO)) / F.lit(chunk_rows)))))
                     .withColumn("_halo", F.col("_chunk") != own))
-    return _average(ranked, spread, keys, columns)
+    return _average(spread.repartition(*keys, "_chunk"), keys, columns, _specials(ranked, keys))
 
 
 def ema(df: DataFrame, key_cols, method: str = "chunked", **kw) -> DataFrame:
