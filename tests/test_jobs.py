@@ -7,7 +7,8 @@ import tempfile
 
 from tidemark import jobs
 from tidemark.plans.location import location_pipeline
-from tidemark.sources.fixtures import REF, kafka_records
+from tidemark.presets import REF
+from tidemark.sources.fixtures import kafka_records
 
 from conftest import SMALL
 

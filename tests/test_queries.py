@@ -122,3 +122,26 @@ def test_results_do_not_depend_on_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got["UTC"] == got["America/Los_Angeles"]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_payload_is_parsed_once_and_stays_out_of_the_exchanges(spark):
+    """Decoding comes before the watermark's shuffle; the quarantine's filter stays above the parse."""
+    from tidemark.operators.decode import tolerant_decode
+    from tidemark.plans.location import location_pipeline
+    from tidemark.presets import DAY
+    rows = spark.range(50).selectExpr("id AS seq", "id AS timestamp", "cast(1 as int) AS partition",
+                                      "cast(concat('{\"location\":\"x\",\"value\":', id, '}') as binary) AS value")
+    bad = tolerant_decode(rows).invalid
+    tree = bad._jdf.queryExecution().optimizedPlan()
+    filters = [line for line in tree.toString().splitlines() if "Filter" in line]
+    assert filters and not any("from_json" in line for line in filters), filters
+    out = location_pipeline(rows, DAY)
+    exchanges = [line for line in _plan(out.main).splitlines() if "Window [" in line or "Sort [" in line]
+    assert exchanges
+    parses = [line for line in out.main._jdf.queryExecution().optimizedPlan().toString().splitlines()
+              if "from_json" in line]
+    assert len(parses) == 1, parses

@@ -14,7 +14,8 @@ from tidemark.operators.ema import ema_window
 from tidemark.operators.windows import sliding_average
 from tidemark.plans.location import location_pipeline
 from tidemark.schemas import SENSOR_KEY
-from tidemark.sources.fixtures import DAY, extended_measurements, kafka_records
+from tidemark.presets import DAY
+from tidemark.sources.fixtures import extended_measurements, kafka_records
 from tidemark.sources.kafka import read_record_files
 from tidemark.streaming.location import (LateTagger, location_windows, on_time_windows, read_tagged,
                                          with_lag_gauge)

@@ -8,7 +8,8 @@ import random
 
 from tidemark.operators.watermark import last_seen, partition_activity, watermark_trace
 from tidemark.plans.location import location_pipeline
-from tidemark.sources.fixtures import DAY, kafka_records
+from tidemark.presets import DAY
+from tidemark.sources.fixtures import kafka_records
 
 from conftest import MEDIUM
 
@@ -103,7 +104,7 @@ def test_tagger_batches_equal_one_trace_both_scopes(spark):
     import os
     import tempfile
 
-    from tidemark.sources.fixtures import Preset
+    from tidemark.presets import Preset
     from tidemark.streaming.location import LateTagger
 
     rnd = random.Random(21)
@@ -139,7 +140,7 @@ def test_tagger_orders_kafka_frames_by_arrival(spark):
     from pyspark.sql import Window
 
     from tidemark.operators.watermark import with_arrival_order
-    from tidemark.sources.fixtures import Preset
+    from tidemark.presets import Preset
     from tidemark.sources.kafka import KAFKA_ORDER
     from tidemark.streaming.location import LateTagger
 
@@ -173,7 +174,7 @@ def test_tagger_refuses_to_run_without_its_state(spark):
     import os
     import tempfile
 
-    from tidemark.sources.fixtures import Preset
+    from tidemark.presets import Preset
     from tidemark.streaming.location import LateTagger
 
     rows = [(0, 5_000, 1, bytearray(b"{}")), (1, 3_000, 1, bytearray(b"{}"))]
@@ -213,3 +214,38 @@ def test_trace_property(spark, jitter, bucket_rows, per_super, scope, delay, win
     got = _got(watermark_trace(_df(spark, rows), delay, window, scope=scope, partitions=range(8),
                                bucket_rows=bucket_rows, buckets_per_super=per_super))
     assert got == _brute(rows, delay, window, scope)
+
+
+def _brute_idle(rows, delay, window, idle):
+    """rows: (seq, event time, partition, arrival), in order."""
+    out, largest, last = {}, {}, {}
+    for seq, ts, p, now in rows:
+        vals = [max(m, now) if now - last[q] > idle else m for q, m in largest.items()]
+        wm = min(vals) - delay if vals else None
+        end = ts - ts % window + window
+        out[seq] = (wm, end, wm is not None and end - 1 <= wm)
+        event = max(ts, now) if p in last and now - last[p] > idle else ts
+        largest[p] = max(largest.get(p, event), event)
+        last[p] = now
+    return out
+
+
+def test_silent_partition_stops_holding_the_watermark(spark):
+    rnd = random.Random(3)
+    rows = []
+    for i in range(400):
+        p = rnd.choice([1, 2, 12]) if i < 100 or i >= 300 else rnd.choice([1, 2])   # 12 pauses
+        rows.append((i, 5_000 + i * 20 - rnd.randint(0, 600), p, 5_000 + i * 20))
+    df = spark.createDataFrame(rows, "seq long, timestamp long, partition int, arrival_ms long")
+    for idle in (0, 200, 1_000, 10**9):
+        for bucket_rows in (1 << 13, 7):
+            got = _got(watermark_trace(df, 250, 1000, scope="partition", idle_timeout_ms=idle,
+                                       bucket_rows=bucket_rows, buckets_per_super=3))
+            assert got == _brute_idle(rows, 250, 1000, idle), (idle, bucket_rows)
+    held = _got(watermark_trace(df, 250, 1000, scope="partition"))
+    free = _got(watermark_trace(df, 250, 1000, scope="partition", idle_timeout_ms=1_000))
+    assert held[299][0] < 7_000 < free[299][0]
+    with pytest.raises(ValueError):
+        watermark_trace(df, 0, 1000, idle_timeout_ms=-1)
+    with pytest.raises(ValueError):
+        watermark_trace(df, 0, 1000, idle_timeout_ms=1, initial_max={"all": 1})

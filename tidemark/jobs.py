@@ -3,8 +3,14 @@
     python -m tidemark.jobs location --source DIR [--local] [--fsStatePath PATH]
     python -m tidemark.jobs location --kafka-servers HOST:PORT --topic T
     python -m tidemark.jobs sensors  --source DIR [--local] [--objectReuse true] [--fan-out-dir DIR]
-    python -m tidemark.jobs batch-location --sf-dir DIR --out DIR
-    python -m tidemark.jobs batch-sensors  --sf-dir DIR --out DIR
+    python -m tidemark.jobs batch-location --source TABLE --out DIR
+    python -m tidemark.jobs batch-sensors  --source TABLE --out DIR
+
+The batch jobs read a Parquet table of records (``seq``, ``timestamp``,
+``partition`` and the JSON bytes ``value``; the flat sensor columns of
+``streaming/sensors.FLAT_SCHEMA``), or, with ``--sf-dir`` in place of
+``--source``, records made from the events table. ``--scope partition`` takes
+the watermark from the slowest partition.
 
 ``--local`` prints results (console sink); otherwise they are discarded
 (noop sink). ``--fsStatePath``
@@ -21,7 +27,7 @@ import os
 from tidemark.plans.location import location_pipeline
 from tidemark.plans.sensors import SLIDING_HOURS, SLIDING_REF, sensor_pipeline
 from tidemark.session import build_session, checkpoint_root, ensure_dir, use_checkpoint_root
-from tidemark.sources.fixtures import DAY, REF, extended_measurements, kafka_records
+from tidemark.presets import DAY, REF
 from tidemark.sources.kafka import KAFKA_ORDER, read_kafka, read_record_files
 from tidemark.streaming.location import LateTagger, read_tagged, read_windows, with_lag_gauge
 from tidemark.streaming.sensors import FLAT_SCHEMA, StatelessFanOut, flatten, nest, sensor_streams
@@ -100,7 +106,12 @@ def run_sensors(spark, args):
 
 def run_batch_location(spark, args):
     preset = PRESETS[args.preset]
-    out = location_pipeline(kafka_records(spark, args.sf_dir, preset.skew_ms), preset)
+    if args.source:
+        records = spark.read.parquet(args.source)
+    else:
+        from tidemark.sources.fixtures import kafka_records
+        records = kafka_records(spark, args.sf_dir, preset.skew_ms)
+    out = location_pipeline(records, preset, scope=args.scope)
     out.main.write.mode("overwrite").parquet(os.path.join(args.out, "main"))
     out.late.write.mode("overwrite").parquet(os.path.join(args.out, "late"))
     out.invalid.write.mode("overwrite").parquet(os.path.join(args.out, "invalid"))
@@ -108,7 +119,12 @@ def run_batch_location(spark, args):
 
 def run_batch_sensors(spark, args):
     sliding = SLIDING_REF if args.preset == "ref" else SLIDING_HOURS
-    outs = sensor_pipeline(extended_measurements(spark, args.sf_dir), sliding=sliding, share_input=True)
+    if args.source:
+        records = nest(spark.read.schema(FLAT_SCHEMA).parquet(args.source))
+    else:
+        from tidemark.sources.fixtures import extended_measurements
+        records = extended_measurements(spark, args.sf_dir)
+    outs = sensor_pipeline(records, sliding=sliding, share_input=True)
     for name in ("temperature", "ema", "sliding", "wind", "unrouted"):
         getattr(outs, name).write.mode("overwrite").parquet(os.path.join(args.out, name))
 
@@ -121,6 +137,8 @@ def main(argv=None):
     ap.add_argument("--fsStatePath", default=None)
     ap.add_argument("--preset", choices=sorted(PRESETS), default="ref")
     ap.add_argument("--source", default=None)
+    ap.add_argument("--scope", choices=["global", "partition"], default="global",
+                    help="batch-location: watermark over all partitions or of the slowest one")
     ap.add_argument("--kafka-servers", default=None)
     ap.add_argument("--topic", default=None)
     ap.add_argument("--max-files", type=int, default=None)

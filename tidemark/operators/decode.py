@@ -100,7 +100,8 @@ def tolerant_decode(df: DataFrame, payload_col: str = "value", fields=PRUNED_FIE
     an action on ``valid``), in a stream through the query progress
     (``observedMetrics[metric_name]``).
     """
-    decoded = with_decoded(df, payload_col, fields, keep)
+    typed, broken = parse_payload(F.col(payload_col), fields)
+    decoded = df.select("*", typed.alias("_m"), broken.alias("_invalid"))
     counter = F.count_if(F.col("_invalid")).alias("numInvalidRecords")
     streaming = df.isStreaming if streaming is None else streaming
     observation = None
@@ -109,9 +110,10 @@ def tolerant_decode(df: DataFrame, payload_col: str = "value", fields=PRUNED_FIE
     else:
         observation = Observation(metric_name)
         decoded = decoded.observe(observation, counter)
-    valid = decoded.filter(~F.col("_invalid")).drop("_invalid")
-    quarantine = (df.withColumn("_invalid", parse_payload(F.col(payload_col), fields)[1])
-                    .filter(F.col("_invalid")).drop("_invalid"))
+    # both outputs filter the counted frame: the counter keeps the filter above
+    # the parse, which therefore runs once per row
+    valid = decoded.filter(~F.col("_invalid")).select(*[c for c in keep if c in df.columns], "_m.*")
+    quarantine = decoded.filter(F.col("_invalid")).select(*df.columns)
     return Decoded(valid, quarantine, observation)
 
 

@@ -11,7 +11,8 @@ Two scopes:
   partitions, as a Spark stream has);
 * ``partition``: every partition tracks its own maximum and the source
   watermark is the smallest of them. A partition that has not sent anything
-  yet (an idle one) does not hold it back.
+  yet does not hold it back; one that falls silent stops holding it back after
+  an idle timeout, if one is given.
 
 A prefix maximum over arrival order is a global ordering problem. It is split
 so that no task sees more than ``bucket_rows`` records: arrival order is cut
@@ -44,11 +45,43 @@ def _groups(scope: str, partitions, partition_col: str):
     raise ValueError(f"unknown scope {scope!r}")
 
 
+def prefix_max(df: DataFrame, masked: dict[str, Column], order_col: str = "seq",
+               bucket_rows: int = BUCKET_ROWS, buckets_per_super: int = BUCKETS_PER_SUPER) -> DataFrame:
+    """Add, per name in ``masked``, the largest value of that expression over the
+    earlier rows (NULL if there is none)."""
+    names = list(masked)
+    data = df.select("*", F.floor(F.col(order_col) / F.lit(bucket_rows)).alias("_bucket"),
+                     *[value.alias(f"_v_{n}") for n, value in masked.items()])
+
+    # one row per bucket: largest value inside it
+    per_bucket = (data.groupBy("_bucket").agg(*[F.max(f"_v_{n}").alias(f"_bm_{n}") for n in names])
+                  .withColumn("_super", F.floor(F.col("_bucket") / F.lit(buckets_per_super))))
+    # prefix over earlier super-buckets (the only unpartitioned step, tiny)
+    per_super = per_bucket.groupBy("_super").agg(*[F.max(f"_bm_{n}").alias(f"_sm_{n}") for n in names])
+    earlier_super = Window.orderBy("_super").rowsBetween(Window.unboundedPreceding, -1)
+    super_prefix = per_super.select(
+        "_super", *[F.max(f"_sm_{n}").over(earlier_super).alias(f"_sp_{n}") for n in names])
+    # prefix over earlier buckets of the same super-bucket, then both combined
+    earlier = Window.partitionBy("_super").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    prefix = (per_bucket
+              .select("_bucket", "_super", *[F.max(f"_bm_{n}").over(earlier).alias(f"_bp_{n}") for n in names])
+              .join(super_prefix, "_super", "left")
+              .select("_bucket", *[F.greatest(f"_bp_{n}", f"_sp_{n}").alias(f"_before_{n}") for n in names]))
+
+    # running maximum inside the bucket, excluding the record itself: every
+    # maximum in one select, so one Window operator (one sorted pass) for all
+    inside = Window.partitionBy("_bucket").orderBy(F.col(order_col)).rowsBetween(Window.unboundedPreceding, -1)
+    data = data.select("*", *[F.max(f"_v_{n}").over(inside).alias(f"_in_{n}") for n in names])
+    joined = data.join(prefix, "_bucket", "left")
+    return joined.select(*df.columns, *[F.greatest(f"_in_{n}", f"_before_{n}").alias(n) for n in names])
+
+
 def watermark_trace(df: DataFrame, out_of_orderness_ms: int, window_ms: int,
                     order_col: str = "seq", ts_col: str = "timestamp",
                     scope: str = "global", partitions=None, partition_col: str = "partition",
                     bucket_rows: int = BUCKET_ROWS, buckets_per_super: int = BUCKETS_PER_SUPER,
-                    initial_max: dict | None = None) -> DataFrame:
+                    initial_max: dict | None = None, idle_timeout_ms: int | None = None,
+                    arrival_col: str = "arrival_ms") -> DataFrame:
     """Add ``watermark`` (ms, NULL before any record), ``windowEnd`` and
     ``late`` to every record.
 
@@ -57,61 +90,48 @@ def watermark_trace(df: DataFrame, out_of_orderness_ms: int, window_ms: int,
     ``initial_max`` maps a group name (``"all"`` or ``"p<partition>"``) to the
     largest event time seen before this input (used by the stream tagger to
     carry the watermark across micro-batches).
+
+    With ``idle_timeout_ms`` a group that has sent nothing for longer than that
+    follows the clock, which is the arrival time of the record in hand: it no
+    longer holds the watermark back, and what it sends after such a gap meets a
+    maximum that has moved up to the end of the gap. A record without an arrival
+    time moves no clock.
     """
     if out_of_orderness_ms < 0 or window_ms <= 0:
         raise ValueError("the out-of-orderness bound must not be negative, the window must be positive")
+    if idle_timeout_ms is not None and idle_timeout_ms < 0:
+        raise ValueError("the idle timeout must not be negative")
+    if idle_timeout_ms is not None and initial_max:
+        raise ValueError("idle groups need the whole input: no carried state")
     initial_max = initial_max or {}
     if scope == "partition" and partitions is None:
         partitions = seen_partitions(df, partition_col, initial_max)
     groups = _groups(scope, partitions, partition_col)
-    ts = F.col(ts_col)
-    data = df.withColumn("_bucket", F.floor(F.col(order_col) / F.lit(bucket_rows)))
+    ts, now = F.col(ts_col), F.col(arrival_col)
+    buckets = {"order_col": order_col, "bucket_rows": bucket_rows, "buckets_per_super": buckets_per_super}
 
-    # one row per bucket: largest event time per group inside it
-    per_bucket = (data.groupBy("_bucket").agg(
-        *[F.max(F.when(cond, ts)).alias(f"_bm_{name}") for name, cond in groups])
-        .withColumn("_super", F.floor(F.col("_bucket") / F.lit(buckets_per_super))))
-    # prefix over earlier super-buckets (the only unpartitioned step, tiny)
-    per_super = per_bucket.groupBy("_super").agg(
-        *[F.max(f"_bm_{name}").alias(f"_sm_{name}") for name, _ in groups])
-    earlier_super = Window.orderBy("_super").rowsBetween(Window.unboundedPreceding, -1)
-    super_prefix = per_super.select(
-        "_super", *[F.max(f"_sm_{name}").over(earlier_super).alias(f"_sp_{name}") for name, _ in groups])
-    # prefix over earlier buckets of the same super-bucket, then both combined
-    earlier = Window.partitionBy("_super").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    prefix = (per_bucket
-              .select("_bucket", "_super",
-                      *[F.max(f"_bm_{name}").over(earlier).alias(f"_bp_{name}") for name, _ in groups])
-              .join(super_prefix, "_super", "left")
-              .select("_bucket", *[F.greatest(f"_bp_{name}", f"_sp_{name}").alias(f"_before_{name}")
-                                   for name, _ in groups]))
-
-    # running maximum inside the bucket, excluding the record itself
-    inside = Window.partitionBy("_bucket").orderBy(F.col(order_col)).rowsBetween(
-        Window.unboundedPreceding, -1)
-    # masked copies first, then every running maximum in one select: one
-    # Window operator (one sorted pass) for all groups
-    data = data.select("*", *[F.when(cond, ts).alias(f"_ts_{name}") for name, cond in groups])
-    data = data.select("*", *[F.max(f"_ts_{name}").over(inside).alias(f"_in_{name}")
-                              for name, _ in groups]).drop(*[f"_ts_{n}" for n, _ in groups])
+    data, event = df, ts
+    if idle_timeout_ms is not None:
+        data = prefix_max(data, {f"_last_{n}": F.when(cond, now) for n, cond in groups}, **buckets)
+        gap = F.coalesce(*[F.when(cond, now - F.col(f"_last_{n}")) for n, cond in groups], F.lit(None).cast("long"))
+        event = F.when(gap > idle_timeout_ms, F.greatest(ts, now)).otherwise(ts)
+    data = prefix_max(data, {f"_max_{n}": F.when(cond, event) for n, cond in groups}, **buckets)
 
-    joined = data.join(prefix, "_bucket", "left")
     seen = []
     for name, _ in groups:
-        parts = [F.col(f"_in_{name}"), F.col(f"_before_{name}")]
-        if name in initial_max and initial_max[name] is not None:
-            parts.append(F.lit(int(initial_max[name])))
-        seen.append(F.greatest(*parts))
+        largest = F.col(f"_max_{name}")
+        if initial_max.get(name) is not None:
+            largest = F.greatest(largest, F.lit(int(initial_max[name])))
+        if idle_timeout_ms is not None:
+            largest = F.when(now - F.col(f"_last_{name}") > idle_timeout_ms,
+                             F.greatest(largest, now)).otherwise(largest)
+        seen.append(largest)
     if not seen:                       # partition scope without any partition
         seen = [F.lit(None).cast("long")]
     max_seen = seen[0] if len(seen) == 1 else F.least(*seen)
-    window_end = floor_to(ts, window_ms) + F.lit(window_ms)
-    drop = ["_bucket"] + [f"_in_{n}" for n, _ in groups] + [f"_before_{n}" for n, _ in groups]
-    return (joined
-            .withColumn("watermark", max_seen - F.lit(out_of_orderness_ms))
-            .withColumn("windowEnd", window_end)
-            .withColumn("late", is_late(F.col("windowEnd"), F.col("watermark")))
-            .drop(*drop))
+    end = floor_to(ts, window_ms) + F.lit(window_ms)
+    return (data.select(*df.columns, (max_seen - F.lit(out_of_orderness_ms)).alias("watermark"), end.alias("windowEnd"))
+                .withColumn("late", is_late(F.col("windowEnd"), F.col("watermark"))))
 
 
 def is_late(window_end: Column, watermark: Column) -> Column:

@@ -14,7 +14,7 @@ from tidemark.functions.geo import is_in_de, is_in_us
 from tidemark.functions.records import localize_temperature, localize_wind, range_reflect
 from tidemark.functions.units import (celsius_to_fahrenheit, fahrenheit_to_celsius,
                                       kph_to_mph, mph_to_kph)
-from tidemark.operators.decode import dynamic_decode, invalid_count, tolerant_decode, variant_double
+from tidemark.operators.decode import FULL_FIELDS, dynamic_decode, invalid_count, tolerant_decode, variant_double
 from tidemark.operators.ema import ema
 from tidemark.operators.routing import route_counts, split_by_type
 from tidemark.operators.stats import interval_stats, lag_histogram, lifetime_extremes
@@ -23,8 +23,8 @@ from tidemark.operators.windows import sliding_average, tumbling_sum_count
 from tidemark.plans.location import location_pipeline
 from tidemark.plans.sensors import SLIDING_HOURS, SLIDING_REF
 from tidemark.schemas import SENSOR_KEY
-from tidemark.sources.fixtures import (DAY, NUM_PARTITIONS, REF, extended_measurements,
-                                       flatten_measurements, kafka_records)
+from tidemark.presets import DAY, REF
+from tidemark.sources.fixtures import NUM_PARTITIONS, extended_measurements, flatten_measurements, kafka_records
 from tidemark.sources.registry import SENSORS_PER_INSTANCE, registry_of
 from tidemark.sources.tables import read_table
 
@@ -32,7 +32,7 @@ from tidemark.sources.tables import read_table
 STATS_INTERVAL_MS = 86_400_000           # one gauge interval per day
 LAG_CLOCK_MS = 1_706_745_600_000         # 2024-02-01T00:00:00Z, after all input
 REFLECT_BOUNDS = {"Temperature": (-10.0, 35.0), "Wind": (0.0, 335.0)}
-PARTITIONS = tuple(range(NUM_PARTITIONS))
+SILENT_FROM_MS = 1_705_363_200_000       # 2024-01-16T00:00:00Z: partition 7 sends nothing from here on
 
 R = 6    # digits kept of doubles
 R2 = 3   # digits kept of second moments (large magnitudes)
@@ -63,6 +63,17 @@ def q_decode_quarantine(spark, sf):
     return bad.select("seq", "timestamp", "partition", F.length("value").alias("payloadBytes"))
 
 
+def q_decode_full(spark, sf):
+    return tolerant_decode(kafka_records(spark, sf, REF.skew_ms), fields=FULL_FIELDS).valid
+
+
+def q_decode_props(spark, sf):
+    """The JSON column of the events table itself."""
+    events = read_table(spark, sf, "events", ["event_id", "props"])
+    d = dynamic_decode(events, payload_col="props", keep=("event_id",))
+    return d.select("event_id", F.try_variant_get("payload", "$.k", "int").alias("k"))
+
+
 def q_dynamic_decode(spark, sf):
     d = dynamic_decode(kafka_records(spark, sf, REF.skew_ms))
     return d.select("seq", "timestamp",
@@ -153,8 +164,7 @@ def q_ema_temperature(spark, sf):
 # ---------------------------------------------------------------- watermarks
 def _trace(spark, sf, scope):
     rec = kafka_records(spark, sf, DAY.skew_ms)
-    return watermark_trace(rec, DAY.out_of_orderness_ms, DAY.window_ms,
-                           scope=scope, partitions=PARTITIONS)
+    return watermark_trace(rec, DAY.out_of_orderness_ms, DAY.window_ms, scope=scope)
 
 
 def q_watermark_trace(spark, sf):
@@ -167,6 +177,16 @@ def q_watermark_trace_min_partition(spark, sf):
                                                  "windowEnd", "late")
 
 
+def q_watermark_trace_idle(spark, sf):
+    """Partition 7 falls silent midway (6 takes its records over)."""
+    gone = (F.col("partition") == 7) & (F.col("arrival_ms") >= SILENT_FROM_MS)
+    rec = (kafka_records(spark, sf, DAY.skew_ms)
+           .withColumn("partition", F.when(gone, F.lit(6)).otherwise(F.col("partition"))))
+    out = watermark_trace(rec, DAY.out_of_orderness_ms, DAY.window_ms, scope="partition",
+                          idle_timeout_ms=DAY.idle_timeout_ms)
+    return out.select("seq", "partition", "timestamp", "watermark", "windowEnd", "late")
+
+
 def q_late_rows(spark, sf):
     out = location_pipeline(kafka_records(spark, sf, DAY.skew_ms), DAY)
     return out.late.select("seq", "partition", "timestamp", "watermark")
@@ -221,6 +241,8 @@ QUERIES = {
     "decode_valid": q_decode_valid,
     "decode_invalid_count": q_decode_invalid_count,
     "decode_quarantine": q_decode_quarantine,
+    "decode_full": q_decode_full,
+    "decode_props": q_decode_props,
     "dynamic_decode": q_dynamic_decode,
     "tumbling_sum_count_1s": q_tumbling_1s,
     "tumbling_sum_count_1d": q_tumbling_1d,
@@ -235,6 +257,7 @@ QUERIES = {
     "ema_temperature": q_ema_temperature,
     "watermark_trace": q_watermark_trace,
     "watermark_trace_min_partition": q_watermark_trace_min_partition,
+    "watermark_trace_idle": q_watermark_trace_idle,
     "late_rows": q_late_rows,
     "on_time_windows": q_on_time_windows,
     "idle_partitions": q_idle_partitions,

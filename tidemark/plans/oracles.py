@@ -7,12 +7,15 @@ sliding windows. Tables ``events`` and ``nation`` are DuckDB views.
 
 from __future__ import annotations
 
-from tidemark.plans.catalog import (LAG_CLOCK_MS, PARTITIONS, R, R2, R_MS, REFLECT_BOUNDS,
+from tidemark.plans.catalog import (LAG_CLOCK_MS, R, R2, R_MS, REFLECT_BOUNDS, SILENT_FROM_MS,
                                     STATS_INTERVAL_MS)
 from tidemark.plans.sensors import SLIDING_HOURS, SLIDING_REF
-from tidemark.sources.fixtures import DAY, NUM_PARTITIONS, POISON_EVERY, REF
+from tidemark.presets import DAY, REF
+from tidemark.sources.fixtures import NUM_PARTITIONS, POISON_EVERY
 from tidemark.sources.registry import SENSORS_PER_INSTANCE
 
+PARTITIONS = range(NUM_PARTITIONS)
+
 MS = "(epoch_us(e.ts) // 1000)"
 
 
@@ -149,6 +152,27 @@ def _trace(preset, scope: str) -> str:
     tl AS (SELECT tr.*, COALESCE(windowEnd - 1 <= watermark, false) AS late FROM tr)"""
 
 
+def _trace_idle(preset) -> str:
+    w = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    idle, win = preset.idle_timeout_ms, preset.window_ms
+    parts = ", ".join(
+        f"max(CASE WHEN partition = {p} THEN arrival_ms END) OVER (ORDER BY seq {w}) AS last{p}, "
+        f"max(CASE WHEN partition = {p} THEN event END) OVER (ORDER BY seq {w}) AS max{p}" for p in PARTITIONS)
+    seen = "least(" + ", ".join(
+        f"CASE WHEN arrival_ms - last{p} > {idle} THEN greatest(max{p}, arrival_ms) ELSE max{p} END"
+        for p in PARTITIONS) + ")"
+    return f"""
+    WITH kr AS (SELECT * REPLACE (CASE WHEN partition = 7 AND arrival_ms >= {SILENT_FROM_MS} THEN 6
+                                       ELSE partition END AS partition) FROM ({kafka_sql(preset.skew_ms)})),
+    ev AS (SELECT *, CASE WHEN arrival_ms - max(arrival_ms) OVER (PARTITION BY partition ORDER BY seq {w}) > {idle}
+                          THEN greatest(timestamp, arrival_ms) ELSE timestamp END AS event FROM kr),
+    st AS (SELECT *, {parts} FROM ev),
+    tr AS (SELECT *, {seen} - {preset.out_of_orderness_ms} AS watermark,
+                  timestamp - timestamp % {win} + {win} AS windowEnd FROM st)
+    SELECT seq, CAST(partition AS INTEGER) AS partition, timestamp, watermark, windowEnd,
+           COALESCE(windowEnd - 1 <= watermark, false) AS late FROM tr"""
+
+
 def _on_time(preset) -> str:
     w = preset.window_ms
     return f"""{_trace(preset, 'global')},
@@ -237,6 +261,13 @@ def oracles() -> dict[str, str]:
         "decode_quarantine": f"""
             WITH kr AS ({kafka_sql(REF.skew_ms)})
             SELECT seq, timestamp, partition, 10 AS payloadBytes FROM kr WHERE poison""",
+        "decode_full": f"""
+            WITH kr AS ({kafka_sql(REF.skew_ms)})
+            SELECT seq, timestamp, partition, sensorId, value, location, 'm' || seq AS measurementInformation
+            FROM kr WHERE NOT poison""",
+        "decode_props": """
+            SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
+            FROM events WHERE json_valid(props)""",
         "dynamic_decode": f"""
             WITH kr AS ({kafka_sql(REF.skew_ms)})
             SELECT seq, timestamp, sensorId, value, location FROM kr WHERE NOT poison""",
@@ -267,6 +298,7 @@ def oracles() -> dict[str, str]:
         "watermark_trace_min_partition": f"""
             WITH {_trace(DAY, 'partition')}
             SELECT seq, partition, timestamp, watermark, windowEnd, late FROM tl""",
+        "watermark_trace_idle": _trace_idle(DAY),
         "late_rows": f"""
             WITH {_trace(DAY, 'global')}
             SELECT seq, partition, timestamp, watermark FROM tl WHERE late""",

@@ -12,12 +12,11 @@ Every input row is used; nothing is filtered away to make a test cheaper.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.records import epoch_millis
+from tidemark.presets import REF
 from tidemark.sources.tables import read_table
 
 # Fixed values of the record source: partition count, silent partitions,
@@ -28,22 +27,6 @@ POISON_EVERY = 97
 CORRUPT_PREFIX_BYTES = 10
 
 
-@dataclass(frozen=True)
-class Preset:
-    """Window size, watermark bound, per-partition event-time skew and idle
-    timeout, all in milliseconds."""
-    window_ms: int
-    out_of_orderness_ms: int
-    skew_ms: int
-    idle_timeout_ms: int
-
-
-# 1 s windows, 250 ms bound, 50 ms skew per partition, 1 s idle
-# timeout; DAY scales every one of them by 86,400 to suit the sparse fixture.
-REF = Preset(1_000, 250, 50, 1_000)
-DAY = Preset(86_400_000, 21_600_000, 4_320_000, 86_400_000)
-
-
 def active_partition(seq) -> F.Column:
     """Spread records over the active partitions 1, 2, 3, 5, 6, 7 (0 and 4
     are silent) by arrival order."""

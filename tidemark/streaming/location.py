@@ -32,7 +32,7 @@ from tidemark.functions.records import clock_lag
 from tidemark.operators.decode import tolerant_decode
 from tidemark.operators.watermark import is_late, last_seen, seen_partitions, watermark_trace, with_arrival_order
 from tidemark.operators.windows import EVENT_TIME, tumbling_sum_count, with_event_time
-from tidemark.sources.fixtures import REF, Preset
+from tidemark.presets import REF, Preset
 
 DECODE_METRIC = "decode"
 TAGGED_SCHEMA = ("seq BIGINT, arrival_ms BIGINT, timestamp BIGINT, key BINARY, value BINARY, "
