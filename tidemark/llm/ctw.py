@@ -2,22 +2,26 @@
 
 A text is its lower-case (A-Z) words and one end. Each word is coded as its
 bytes and a closing space, the end as one newline; every byte is split into its
-eight bits, and each bit has a tree over the bytes before it, up to ``depth`` of
-them, starting from a space at the beginning of a word. A node holds the counts
+eight bits, and each bit has a tree over the bytes before it in the running text,
+up to ``depth`` of them, starting from spaces at the beginning of a text (with
+``across=False`` at the beginning of every word). A node holds the counts
 of zeros and ones seen after its context; its Krichevsky-Trofimov probability
 ``Pe`` and that of its children are mixed as ``Pw = (Pe + prod Pw(child)) / 2``.
 A bit's probability then mixes the estimates of all depths on its path, each
 weighted by how well stopping there codes the training text. Nodes without
 counts are part of the same tree and predict 1/2.
 
-Counting and weighting are aggregations and joins of node tables. Since a word's
-code length does not depend on its neighbours, it is computed once per distinct
-word: blocks of documents send their distinct words to hash buckets, buckets
-merge the counts of all training documents, score their words and send counts
-and code lengths back. Blocks are read twice, as in ``bpe``; a checksum guards
-against an input that changes between reads. Memory is bounded by one block and
-by the distinct words of one bucket.
-
+Counting and weighting are aggregations and joins of node tables. Blocks of
+documents count their distinct grams (the bytes before a byte and the byte), once
+per distinct pair of a context and a word; the grams' probabilities are joined
+back by block. For the unigram score blocks send their distinct words to hash
+buckets, which merge the counts of all training documents and send them back.
+Blocks are read twice, as in ``bpe``; a checksum guards against an input that
+changes between reads. Memory is bounded by one block and by the distinct words
+of one bucket.
+
+``n_bytes`` counts the coded bytes and ``bits_per_byte`` is the code length of a
+text, ``-score`` in bits, per coded byte.
 ``base_score`` is the add-0.1 unigram score over the same tokens. NULL and empty
 texts are the end alone. Rows with a NULL id are scored, not learnt from.
 Repeated rows count and are repeated. With no training text the base score is
@@ -57,7 +61,8 @@ class _Blocks:
         self.block_chars, self.buckets = block_chars, buckets
 
     def __call__(self, batches):
-        """Yields (block, ids, held, places per document, [(bucket, words, counts)], checksum)."""
+        """Yields (block, ids, held, places per document, words in order of place,
+        [(bucket, words, counts)], checksum)."""
         base, number = TaskContext.get().partitionId() << 24, 0
         held = [[], [], [], {}, 0]
         for batch in batches:
@@ -92,26 +97,83 @@ class _Blocks:
             own = [words[k] for k in order[a:b]]
             check = zlib.crc32(b" ".join(own), check)
             packed.append((int(inside[a]), pack(own), count[order[a:b]].astype("<i8").tobytes()))
-        return [place[r] for r in rows], packed, check
+        return [place[r] for r in rows], [words[k] for k in order], packed, check
 
 
 # --- the context tree -------------------------------------------------------
 
-def word_grams(words: list[bytes], counts: np.ndarray, depth: int):
-    """(gram, count, word, place in word order) of all bytes of all words: a
+def _coded(words: list[bytes]) -> list[bytes]:
+    return [w if w == END else w + b" " for w in words]
+
+
+def context_pairs(coded: list[bytes], rows: list[np.ndarray], depth: int, across: bool):
+    """(context, word, pair of every token): the distinct pairs of the ``depth``
+    bytes before a token, as one number, and the token's place in ``coded``."""
+    word = np.concatenate(rows).astype(np.int64) if rows else np.zeros(0, dtype=np.int64)
+    spaces = int.from_bytes(b" " * depth)
+    if across and depth:
+        tail = np.fromiter((int.from_bytes(c[-depth:]) for c in coded), dtype=np.int64, count=len(coded))
+        size = np.fromiter((min(len(c), depth) for c in coded), dtype=np.int64, count=len(coded))
+        sizes = np.fromiter(map(len, rows), dtype=np.int64, count=len(rows))
+        inside = np.arange(len(word)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        context, have, back = np.zeros(len(word), dtype=np.int64), np.zeros(len(word), dtype=np.int64), 0
+        open_ = np.arange(len(word))
+        while len(open_):                       # one token further back, until depth bytes are known
+            back += 1
+            begun = open_[inside[open_] < back]
+            context[begun] |= spaces << 8 * have[begun]
+            open_ = open_[inside[open_] >= back]
+            before = word[open_ - back]
+            context[open_] |= tail[before] << 8 * have[open_]
+            have[open_] += size[before]
+            open_ = open_[have[open_] < depth]
+        context &= _mask(depth)
+    else:
+        context = np.full(len(word), spaces, dtype=np.int64)
+    known, number = np.unique(context, return_inverse=True)
+    pairs, pair = np.unique(number * max(1, len(coded)) + word, return_inverse=True)
+    return known[pairs // max(1, len(coded))], pairs % max(1, len(coded)), pair
+
+
+def pair_grams(coded: list[bytes], context: np.ndarray, word: np.ndarray, depth: int, most: int = 2_000_000):
+    """(gram, pair) of all bytes of all pairs, about ``most`` bytes at a time: a
     gram is the ``depth`` bytes before a byte and the byte, as one number."""
-    coded = [w if w == END else w + b" " for w in words]
-    sizes = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded))
-    pad = b" " * depth
-    flat = np.frombuffer(b"".join(pad + c for c in coded), dtype=np.uint8).astype(np.int64)
-    gram = np.zeros(len(flat) - depth if len(flat) else 0, dtype=np.int64)
-    for k in range(depth + 1):
-        gram = gram << 8 | flat[k:len(flat) - depth + k]
-    ends = np.cumsum(sizes + depth)
-    owner = np.repeat(np.arange(len(coded)), sizes)
-    first = ends - sizes - depth
-    at = np.arange(len(owner)) + np.repeat(first - (np.cumsum(sizes) - sizes), sizes)
-    return gram[at], counts[owner], owner
+    size = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded))
+    first = np.cumsum(size) - size
+    text = np.frombuffer(b"".join(coded), dtype=np.uint8)
+    ends, lo = np.cumsum(size[word]), 0
+    while lo < len(word):
+        hi = max(lo + 1, int(np.searchsorted(ends, most + (ends[lo - 1] if lo else 0), side="right")))
+        n = size[word[lo:hi]]
+        inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        start = np.cumsum(n + depth) - (n + depth)
+        at = np.repeat(start, n) + inside
+        flat = np.empty(len(inside) + depth * len(n), dtype=np.uint8)
+        for k in range(depth):
+            flat[start + k] = context[lo:hi] >> 8 * (depth - 1 - k) & 255
+        flat[at + depth] = text[np.repeat(first[word[lo:hi]], n) + inside]
+        gram = np.zeros(len(inside), dtype=np.int64)
+        for k in range(depth + 1):
+            gram = gram << 8 | flat[at + k]
+        yield gram, np.repeat(np.arange(lo, hi), n)
+        lo = hi
+
+
+def block_grams(words: list[bytes], rows: list[np.ndarray], held: list, depth: int, across: bool):
+    """The distinct grams of a block, ascending, and their training occurrences."""
+    coded = _coded(words)
+    context, word, pair = context_pairs(coded, rows, depth, across)
+    learnt = np.repeat([not h for h in held], list(map(len, rows)))
+    times = np.bincount(pair[learnt], minlength=len(word))
+    gram, n = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    for more, owner in pair_grams(coded, context, word, depth):
+        merged, at = np.unique(more, return_inverse=True)
+        both, where = np.unique(np.concatenate([gram, merged]), return_inverse=True)
+        total = np.zeros(len(both), dtype=np.int64)
+        np.add.at(total, where[:len(gram)], n)
+        np.add.at(total, where[len(gram):], np.bincount(at, times[owner], len(merged)).astype(np.int64))
+        gram, n = both, total
+    return gram, n
 
 
 def _log_gamma(x: Column) -> Column:
@@ -132,19 +194,20 @@ def _mask(depth: int) -> int:
     return (1 << 8 * depth) - 1
 
 
-def _bits(grams: DataFrame, *keep: str) -> DataFrame:
-    """Eight rows per gram: context, tree of the bit (a one and the bits before it), bit."""
+def _bits(grams: DataFrame) -> DataFrame:
+    """Eight rows per gram: context, tree of the bit (a one and the bits before it),
+    bit, n. Grams are dealt out by context (at most 256 each) before they are copied."""
     sym = "(gram & 255)"
-    return (grams.select("*", F.explode(F.expr("sequence(0, 7)")).alias("k"))
-            .select(*keep, F.expr("shiftright(gram, 8)").alias("ctx"),
-                    F.expr(f"cast(shiftleft(1L, k) | shiftright({sym}, 8 - k) as int)").alias("node"),
-                    F.expr(f"cast(shiftright({sym}, 7 - k) & 1 as int)").alias("bit")))
+    return (grams.select(F.expr("shiftright(gram, 8)").alias("ctx"), "gram", "n").repartition("ctx")
+            .select("*", F.explode(F.expr("sequence(0, 7)")).alias("k"))
+            .select("ctx", F.expr(f"cast(shiftleft(1L, k) | shiftright({sym}, 8 - k) as int)").alias("node"),
+                    F.expr(f"cast(shiftright({sym}, 7 - k) & 1 as int)").alias("bit"), "n"))
 
 
 def gram_scores(grams: DataFrame, depth: int) -> DataFrame:
     """(gram, lp): log10 probability of each gram's byte after its context,
     from (gram, n) with ``n`` training occurrences (0 for grams only to score)."""
-    bits = _bits(grams, "n")
+    bits = _bits(grams)
     level = stage_table(bits.groupBy("ctx", "node").agg(
         F.sum(F.when(F.col("bit") == 0, F.col("n")).otherwise(0)).alias("n0"),
         F.sum(F.when(F.col("bit") == 1, F.col("n")).otherwise(0)).alias("n1"))
@@ -170,19 +233,24 @@ def gram_scores(grams: DataFrame, depth: int) -> DataFrame:
                           & (F.col("node") == F.col("anode")))
                 .select("ctx", "node", (F.col("ap1") + F.col("arest") * F.col("beta") * ones).alias("p1"),
                         (F.col("arest") * (1 - F.col("beta"))).alias("rest")))
-    path = path.select(F.col("ctx").alias("pctx"), F.col("node").alias("pnode"), "p1")
-    p = F.when(F.col("bit") == 1, F.col("p1")).otherwise(1 - F.col("p1"))
-    return (_bits(grams.select("gram"), "gram")
-            .join(path, (F.col("ctx") == F.col("pctx")) & (F.col("node") == F.col("pnode")))
-            .groupBy("gram").agg(F.sum(F.log10(p)).alias("lp")))
+    # one row per context, its at most 255 trees in a map
+    path = path.groupBy(F.col("ctx").alias("pctx")).agg(
+        F.map_from_entries(F.collect_list(F.struct("node", "p1"))).alias("p1s"))
+    node = "cast(shiftleft(1L, k) | shiftright(gram & 255, 8 - k) as int)"
+    one = "shiftright(gram & 255, 7 - k) & 1 = 1"
+    total = f"aggregate(sequence(0, 7), 0D, (a, k) -> a + log10(CASE WHEN {one} THEN p1s[{node}] ELSE 1 - p1s[{node}] END))"
+    return (grams.select("gram").join(path, F.expr("shiftright(gram, 8)") == F.col("pctx"))
+            .select("gram", F.expr(total).alias("lp")))
 
 
 # --- the corpus ---------------------------------------------------------------
 
 def score(documents: DataFrame, held_out: Column, *, depth: int = 5, id_col: str = "doc_id",
-          text_col: str = "text", block_chars: int = 24_000_000, docs_per_row: int = 128) -> DataFrame:
+          text_col: str = "text", block_chars: int = 24_000_000, docs_per_row: int = 128,
+          across: bool = False) -> DataFrame:
     """Per row of ``documents``: id, n_tokens, n_known, train_tokens, base_score,
-    score. Rows where ``held_out`` is true (or NULL) are scored only."""
+    score, n_bytes, bits_per_byte. Rows where ``held_out`` is true (or NULL) are
+    scored only. ``across`` lets contexts run over the spaces between words."""
     if not 0 <= depth <= 6:
         raise ValueError("contexts hold at most 6 bytes")
     spark = documents.sparkSession
@@ -195,62 +263,45 @@ def score(documents: DataFrame, held_out: Column, *, depth: int = 5, id_col: str
     id_type = pa.string() if id_sql == "string" else pa.int64()
     blocks = _Blocks(block_chars, buckets)
 
-    def dictionaries(batches):
-        for block, _, _, _, packed, check in blocks(batches):
-            yield pa.RecordBatch.from_pydict({
-                "block": pa.array([block] * len(packed), pa.int64()), "sum": pa.array([check] * len(packed), pa.int64()),
-                "bucket": pa.array([p[0] for p in packed], pa.int32()),
-                "words": pa.array([p[1] for p in packed], pa.binary()),
-                "counts": pa.array([p[2] for p in packed], pa.binary())})
-
-    own = "block bigint, sum bigint, bucket int, words binary, counts binary"
-    local = stage_table(source.mapInArrow(dictionaries, own), "lm-words")
+    def counted(batches):
+        for block, _, outs, rows, words, packed, check in blocks(batches):
+            k = len(packed)
+            gram, n = block_grams(words, rows, outs, depth, across)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.full(k, block), pa.int64()), pa.array(np.full(k, check), pa.int64()),
+                pa.array([p[0] for p in packed], pa.int32()), pa.array([p[1] for p in packed], pa.binary()),
+                pa.array([p[2] for p in packed], pa.binary()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())], names)
+            k = len(gram)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.full(k, block), pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()),
+                pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary()), pa.array(gram, pa.int64()), pa.array(n, pa.int64())], names)
+
+    names = ["block", "sum", "bucket", "words", "counts", "gram", "n"]
+    both = stage_table(source.mapInArrow(counted, "block bigint, sum bigint, bucket int, words binary, "
+                                                  "counts binary, gram bigint, n bigint"), "lm-words")
+    local = both.where("gram IS NULL").select("block", "sum", "bucket", "words", "counts")
+    grams = both.where("gram IS NOT NULL").select("block", "gram", "n")
     merged = stage_table(local.select("bucket", "words", "counts").repartition(buckets, "bucket")
                          .sortWithinPartitions("bucket")
                          .mapInArrow(_merge, "bucket int, words binary, counts binary, total bigint, seen bigint"),
                          "lm-counts")
     sums = merged.agg(F.sum("total").alias("n"), F.sum("seen").alias("v")).first()
     total, distinct = sums["n"] or 0, sums["v"] or 0
-
-    def grams_of(batches):
-        for batch in batches:
-            for bucket, words, counts in zip(*(c.to_pylist() for c in batch.columns)):
-                gram, n, _ = word_grams(unpack(words), np.frombuffer(counts, "<i8"), depth)
-                order = np.argsort(gram, kind="stable")
-                gram, n = gram[order], n[order]
-                starts = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
-                yield pa.RecordBatch.from_pydict({
-                    "bucket": pa.array(np.full(len(starts), bucket), pa.int32()), "gram": pa.array(gram[starts]),
-                    "n": pa.array(np.add.reduceat(n, starts))})
-
-    table = merged.select("bucket", "words", "counts")
-    grams = stage_table(table.mapInArrow(grams_of, "bucket int, gram bigint, n bigint"), "lm-grams")
     scores = gram_scores(stage_table(grams.groupBy("gram").agg(F.sum("n").alias("n")), "lm-gram-counts"), depth)
-    back = grams.select("bucket", "gram").join(scores.withColumnRenamed("gram", "g"), F.col("gram") == F.col("g"))
+    back = grams.select("block", "gram").join(scores.withColumnRenamed("gram", "g"), F.col("gram") == F.col("g"))
 
-    def word_scores(words: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        known = known.sort_values("gram")
-        at, lp = known["gram"].to_numpy(), known["lp"].to_numpy()
-        out = []
-        for blob, counts in zip(words["words"], words["counts"]):
-            own_words = unpack(blob)
-            gram, _, owner = word_grams(own_words, np.frombuffer(counts, "<i8"), depth)
-            sums_ = np.bincount(owner, lp[np.searchsorted(at, gram)], minlength=len(own_words))
-            out.append(sums_.astype("<f8").tobytes())
-        return pd.DataFrame({"bucket": words["bucket"], "words": words["words"], "counts": words["counts"],
-                             "lps": out})
-
-    scored = (table.groupBy("bucket").cogroup(back.select("bucket", "gram", "lp").groupBy("bucket"))
-              .applyInPandas(word_scores, "bucket int, words binary, counts binary, lps binary"))
-    asked = scored.select("bucket", F.lit(-1).cast("bigint").alias("block"), F.lit(0).cast("bigint").alias("sum"),
-                          "words", "counts", "lps").unionByName(
-        local.select("bucket", "block", "sum", "words", F.lit(None).cast("binary").alias("counts"),
-                     F.lit(None).cast("binary").alias("lps")))
+    asked = merged.select("bucket", F.lit(-1).cast("bigint").alias("block"), F.lit(0).cast("bigint").alias("sum"),
+                          "words", "counts").unionByName(
+        local.select("bucket", "block", "sum", "words", F.lit(None).cast("binary").alias("counts")))
     answers = (asked.repartition(buckets, "bucket").sortWithinPartitions("bucket", "block")
-               .mapInArrow(_answer, "block bigint, bucket int, sum bigint, counts binary, lps binary"))
+               .mapInArrow(_answer, "block bigint, bucket int, sum bigint, words binary, counts binary"))
+    # a block's words (with a bucket) and its grams (bucket -1)
+    known = answers.select("*", F.lit(0).cast("bigint").alias("gram"), F.lit(0.0).alias("lp")).unionByName(
+        back.select("block", F.lit(-1).alias("bucket"), F.lit(0).cast("bigint").alias("sum"),
+                    F.lit(None).cast("binary").alias("words"), F.lit(None).cast("binary").alias("counts"), "gram", "lp"))
 
     def positions(batches):
-        for block, ids, outs, rows, _, check in blocks(batches):
+        for block, ids, outs, rows, _, _, check in blocks(batches):
             for lo in range(0, len(ids), docs_per_row):
                 hi = lo + docs_per_row
                 yield pa.RecordBatch.from_pydict({
@@ -260,31 +311,41 @@ def score(documents: DataFrame, held_out: Column, *, depth: int = 5, id_col: str
 
     placed = source.mapInArrow(positions, f"block bigint, sum bigint, ids array<{id_sql}>, held array<boolean>, places binary")
 
-    def assemble(words: pd.DataFrame, docs: pd.DataFrame) -> pd.DataFrame:
-        words = words.sort_values("bucket", kind="stable")
+    def assemble(known: pd.DataFrame, docs: pd.DataFrame) -> pd.DataFrame:
+        found = known[known["bucket"] < 0].sort_values("gram")
+        at, lp = found["gram"].to_numpy(), found["lp"].to_numpy()
+        words = known[known["bucket"] >= 0].sort_values("bucket", kind="stable")
         if len(set(words["sum"]) | set(docs["sum"])) > 1:
             raise RuntimeError("the input changed between two reads: write it to a table first")
+        coded = _coded([w for blob in words["words"] for w in unpack(blob)])
+        size = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded))
         count = np.frombuffer(b"".join(words["counts"]), "<i8")
-        lp = np.frombuffer(b"".join(words["lps"]), "<f8")
         base = np.log10((count + 0.1) / (total + 0.1 * (distinct + 1)))
-        out = {"id": [], "held": [], "n_tokens": [], "n_known": [], "base_score": [], "score": []}
-        for ids, held, blob in zip(docs["ids"], docs["held"], docs["places"]):
-            for doc, is_held, raw in zip(ids, held, unpack(blob)):
-                at = np.frombuffer(raw, "<u4")
-                out["id"].append(doc)
-                out["held"].append(bool(is_held))
-                out["n_tokens"].append(len(at))
-                out["n_known"].append(int((count[at] > 0).sum()))
-                out["base_score"].append(float(base[at].sum()))
-                out["score"].append(float(lp[at].sum()))
+        rows = [np.frombuffer(raw, "<u4") for blob in docs["places"] for raw in unpack(blob)]
+        context, word, pair = context_pairs(coded, rows, depth, across)
+        own = np.zeros(len(word))
+        for gram, owner in pair_grams(coded, context, word, depth):
+            own += np.bincount(owner, lp[np.searchsorted(at, gram)], minlength=len(word))
+        out = {"id": [doc for ids in docs["ids"] for doc in ids], "held": [bool(h) for held in docs["held"] for h in held],
+               "n_tokens": list(map(len, rows)), "n_known": [], "base_score": [], "score": [], "n_bytes": [],
+               "bits_per_byte": []}
+        lo = 0
+        for row in rows:                        # every text has its end, so no row is empty
+            score_ = float(own[pair[lo:lo + len(row)]].sum())
+            lo += len(row)
+            out["n_known"].append(int((count[row] > 0).sum()))
+            out["base_score"].append(float(base[row].sum()))
+            out["score"].append(score_)
+            out["n_bytes"].append(int(size[row].sum()))
+            out["bits_per_byte"].append(-score_ * math.log2(10) / out["n_bytes"][-1])
         out["id"] = pd.array(out["id"], dtype="Int64" if id_sql == "bigint" else object)
         return pd.DataFrame(out)
 
-    done = (answers.groupBy("block").cogroup(placed.groupBy("block"))
+    done = (known.groupBy("block").cogroup(placed.groupBy("block"))
             .applyInPandas(assemble, f"id {id_sql}, held boolean, n_tokens bigint, n_known bigint, "
-                                     "base_score double, score double"))
+                                     "base_score double, score double, n_bytes bigint, bits_per_byte double"))
     return done.select(F.col("id").alias(id_col), F.col("held").alias("held_out"), "n_tokens", "n_known",
-                       F.lit(total).cast("bigint").alias("train_tokens"), "base_score", "score")
+                       F.lit(total).cast("bigint").alias("train_tokens"), "base_score", "score", "n_bytes", "bits_per_byte")
 
 
 def _merge(batches):
@@ -310,20 +371,20 @@ def _merge(batches):
 
 
 def _answer(batches):
-    """Rows sorted by bucket, its table (block -1) first: the table's counts and
-    scores in the order of each block's words."""
-    place, count, lp = {}, None, None
+    """Rows sorted by bucket, its table (block -1) first: each block's words and
+    the table's counts in their order."""
+    place, count = {}, None
     for batch in batches:
         out = []
-        for bucket, block, check, words, counts, lps in zip(*(c.to_pylist() for c in batch.columns)):
+        for bucket, block, check, words, counts in zip(*(c.to_pylist() for c in batch.columns)):
+            own = unpack(words)
             if block < 0:
-                place = {w: k for k, w in enumerate(unpack(words))}
-                count, lp = np.frombuffer(counts, "<i8"), np.frombuffer(lps, "<f8")
+                place = {w: k for k, w in enumerate(own)}
+                count = np.frombuffer(counts, "<i8")
                 continue
-            own = unpack(words)
             at = np.fromiter((place[w] for w in own), dtype=np.int64, count=len(own))
-            out.append((block, bucket, check, count[at].tobytes(), lp[at].tobytes()))
+            out.append((block, bucket, check, words, count[at].tobytes()))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
                 zip(*out), (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
-                names=["block", "bucket", "sum", "counts", "lps"])
+                names=["block", "bucket", "sum", "words", "counts"])

@@ -47,7 +47,7 @@ def op6_byte_bpe(spark, sf_dir):
 
 
 def op3_context_tree_scores(spark, sf_dir):
-    return score(read(spark, sf_dir, "documents").select("doc_id", "text"), in_fold("doc_id", 10, 0))
+    return score(read(spark, sf_dir, "documents").select("doc_id", "text"), in_fold("doc_id", 10, 0), across=True)
 
 
 def op4_quartile_digest(spark, sf_dir):
