@@ -53,7 +53,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every stretch of text that a secret span covers becomes ``[SECRET]``."""
     base, added, spans = (fresh(docs, n) for n in ("_base", "_added", "_spans"))
     clean = redacted("text", spans)
-    out = (with_spans(docs, base, added).withColumn(spans, F.concat(base, added))
+    out = (with_spans(docs, base, added, keep_rest=True).withColumn(spans, F.concat(base, added))
            .withColumn("text", clean))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.size(spans) > 0, F.length("text")).otherwise(F.col("n_chars"))

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import base64
 import collections
+import hashlib
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from hard_rows import rows
-from tidemark.llm import ctw
+from tidemark.llm import ctw, secret_scan
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -74,3 +78,45 @@ def test_context_runs_over_the_spaces(spark, depth):
     if depth == 5:
         score = {r["doc_id"]: r["score"] for r in got}
         assert abs(score[100] - score[101]) > 0.1            # the same words in another order
+
+
+# --- secret scan ------------------------------------------------------------------
+def rest_spans(t):
+    """Windows of the candidates that no allow-list match overlaps, merged."""
+    out = []
+    for kind, (letters, _, width, bits) in secret_scan.CLASSES.items():
+        for m in re.finditer(f"[{letters}]{{{width},}}", t):
+            s = m[0]
+            allowed = [a.span() for a in re.finditer(secret_scan.ALLOW_PARTS, s)]
+            spans = []
+            for i in range(len(s) - width + 1):
+                if any(a < i + width and b > i for a, b in allowed):
+                    continue
+                c = collections.Counter(s[i:i + width])
+                if -sum(n / width * math.log2(n / width) for n in c.values()) >= bits - 1e-9:
+                    if spans and spans[-1][1] >= i:
+                        spans[-1][1] = i + width
+                    else:
+                        spans.append([i, i + width])
+            out += [(m.start() + a, secret_scan.KINDS.index(kind), m.start() + b) for a, b in spans]
+    return sorted(out)
+
+
+def test_allow_list_drops_only_what_it_overlaps(spark):
+    key = "aB3dE5fG7hI9jK1lM2nO4pQ6rS8tU0vWxYz"
+    noise = base64.b64encode(b"".join(hashlib.sha256(str(k).encode()).digest() for k in range(60))).decode().rstrip("=")
+    ssh = base64.b64encode(b"openssh-key-v1\0\0\0\0\4none\0\0\0\4none\0\0\0\0\0\0\0\1\0\0\0\x33"
+                           + hashlib.sha512(b"k").digest() * 2).decode().rstrip("=")
+    texts = [None, "", f"see /sample/{key} here", "A" * 24 + key, f"é {ssh} tail", f"{noise}/example/{noise}AAAAAAAAA{noise}",
+             f"{key}EXAMPLE", f"{key[:20]}example{key[:20]}", "00000000-1111-2222-3333-444444444444",
+             f"{hashlib.sha1(b'1').hexdigest().upper()}00000000000{hashlib.sha1(b'2').hexdigest().upper()}",
+             f"x {key} y", "ABCDEF0123456789ABCDEF9876543210FEDC"] + [r[1] for r in rows()]
+    assert "AAAAAAAAA" in ssh
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = secret_scan.with_spans(df, "base", "added", keep_rest=True).collect()
+    for r in got:
+        assert sorted(map(tuple, r["added"])) == rest_spans(r["text"] or ""), r["text"]
+    found = {r["doc_id"]: r["added"] for r in got}
+    assert all(found[k] for k in (2, 3, 4, 5, 6, 9)) and not found[7] and not found[8]
+    clean = {r["doc_id"]: r["text"] for r in corpus_pipeline.secret_scan(spark, df, "").collect()}
+    assert clean[2] == "see /sample[SECRET] here" and ssh[-60:] not in clean[4] and noise not in clean[5]

@@ -30,7 +30,7 @@ def op1_source_mixing(spark, sf_dir):
 
 
 def op2_secret_scan(spark, sf_dir):
-    docs = with_spans(read(spark, sf_dir, "documents").select("doc_id", "text"), "base", "added")
+    docs = with_spans(read(spark, sf_dir, "documents").select("doc_id", "text"), "base", "added", keep_rest=True)
 
     def count(kind):
         return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")

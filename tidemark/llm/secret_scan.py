@@ -6,7 +6,9 @@ lower-case hex runs). The entropy scan adds spans: candidate strings of a
 character class are read by a sliding window whose character counts, and with
 them the sum of n*log2(n), are updated by the one character that enters and the
 one that leaves; windows at or above the class's entropy threshold are merged.
-Candidates on the allow list add nothing; base spans are never suppressed.
+With ``keep_rest`` an allow-list match drops the windows it overlaps and the rest
+of its candidate is scanned on; without it the whole candidate adds nothing. Base
+spans are never suppressed.
 
 Spans are in code points, end exclusive, and cover the whole match. NULL and
 empty texts have no spans; spans of different kinds may overlap. Candidates are
@@ -33,6 +35,9 @@ CLASSES = {
 # Candidates that only look like secrets.
 ALLOW = (r"(?i)example|sample|dummy|placeholder|changeme", r"(.)\1{7,}", r"(?i)0123456789|1234567890|abcdefghijkl",
          r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$")
+# The allow list as one expression, for its leftmost non-overlapping matches in a candidate.
+ALLOW_PARTS = (r"^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$|(?i:example|sample|dummy|placeholder|changeme)"
+               r"|(.)\1{7,}|(?i:0123456789|1234567890|abcdefghijkl)")
 CHUNK = 512
 BLOCK = 512
 SPAN = "array<struct<start:bigint,kind:int,end:bigint>>"
@@ -93,7 +98,19 @@ def _window_hits(chunk: str, alphabet: str, window: int, bits: float) -> str:
             f"'total', 0D, 'hits', CAST(array() AS array<int>)), (st, i) -> {step}, st -> st.hits)")
 
 
-def _entropy(text: str, kind: int, letters: str, alphabet: str, window: int, bits: float) -> str:
+def _without_allowed(text: str, candidate: str) -> str:
+    """``text`` with every allow-list match inside a candidate replaced by as many
+    spaces, so that positions stay and no window reaches over it."""
+    pat, parts = _text(candidate), _text(ALLOW_PARTS)
+    blank = (f"array_join(zip_with(split(c, {parts}, -1), concat(regexp_extract_all(c, {parts}, 0), array('')), "
+             f"(p, m) -> concat(p, repeat(' ', length(m)))), '')")
+    joined = (f"array_join(zip_with(split({text}, {pat}, -1), concat(transform(found, c -> CASE WHEN c RLIKE {parts} "
+              f"THEN {blank} ELSE c END), array('')), (p, c) -> concat(p, c)), '')")
+    return _let("found", f"regexp_extract_all({text}, {pat}, 0)",
+                f"CASE WHEN exists(found, c -> c RLIKE {parts}) THEN {joined} ELSE {text} END")
+
+
+def _entropy(text: str, kind: int, letters: str, alphabet: str, window: int, bits: float, keep_rest: bool) -> str:
     stride = CHUNK - window + 1
     chunk = f"substring(found[k], cast(c * {stride} as int) + 1, {CHUNK})"
     hits = (f"flatten(transform(sequence(0, (length(found[k]) - {window}) div {stride}), c -> "
@@ -105,16 +122,20 @@ def _entropy(text: str, kind: int, letters: str, alphabet: str, window: int, bit
               f"'kind', {kind}, 'end', ends[k] - length(found[k]) + b + {window}))")
     allowed = " OR ".join(f"found[k] RLIKE {_text(p)}" for p in ALLOW)
     per = f"CASE WHEN {allowed} THEN CAST(array() AS {SPAN}) ELSE {_let('hits', hits, merged)} END"
-    return _matches(text, f"[{letters}]{{{window},}}", f"flatten(transform(sequence(0, size(found) - 1), k -> {per}))")
+    candidate = f"[{letters}]{{{window},}}"
+    if keep_rest:
+        return _let("rest", _without_allowed(text, candidate), _matches(
+            "rest", candidate, f"flatten(transform(sequence(0, size(found) - 1), k -> {_let('hits', hits, merged)}))"))
+    return _matches(text, candidate, f"flatten(transform(sequence(0, size(found) - 1), k -> {per}))")
 
 
-def secret_spans(text_col: str) -> tuple[Column, Column]:
+def secret_spans(text_col: str, keep_rest: bool = False) -> tuple[Column, Column]:
     """(base spans, added spans) of a text column, each an array of
     (start, kind, end), where kind is an index into ``KINDS``."""
     t = f"coalesce(`{text_col}`, '')"
     value = f"length(regexp_extract(found[i], {_text(ASSIGN)}, 2)) >= 6"
     base = F.expr(f"concat({_base(t, 0, ASSIGN, value)}, {_base(t, 1, ACCESS)}, {_base(t, 2, HEX)})")
-    added = F.expr("concat(" + ", ".join(_entropy(t, KINDS.index(k), *spec) for k, spec in CLASSES.items()) + ")")
+    added = F.expr("concat(" + ", ".join(_entropy(t, KINDS.index(k), *spec, keep_rest) for k, spec in CLASSES.items()) + ")")
     return base, added
 
 
@@ -125,8 +146,9 @@ def spans_text(spans: Column) -> Column:
         ":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))))
 
 
-def with_spans(documents: DataFrame, base_col: str, added_col: str, text_col: str = "text") -> DataFrame:
-    base, added = secret_spans(text_col)
+def with_spans(documents: DataFrame, base_col: str, added_col: str, text_col: str = "text",
+               keep_rest: bool = False) -> DataFrame:
+    base, added = secret_spans(text_col, keep_rest)
     return documents.withColumn(base_col, base).withColumn(added_col, added)
 
 
