@@ -8,12 +8,14 @@ import hashlib
 import math
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from hard_rows import rows
-from tidemark.llm import ctw, secret_scan
+from tidemark.llm import ctw, quality, secret_scan, toxicity
+from tidemark.llm.common import labelled_sample
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -120,3 +122,32 @@ def test_allow_list_drops_only_what_it_overlaps(spark):
     assert all(found[k] for k in (2, 3, 4, 5, 6, 9)) and not found[7] and not found[8]
     clean = {r["doc_id"]: r["text"] for r in corpus_pipeline.secret_scan(spark, df, "").collect()}
     assert clean[2] == "see /sample[SECRET] here" and ssh[-60:] not in clean[4] and noise not in clean[5]
+
+
+# --- classifiers ---------------------------------------------------------------------
+def test_long_training_texts_are_read_whole(spark):
+    filler = [f"w{k}" for k in range(50)]
+    rng = np.random.default_rng(1)
+
+    def text(word):                       # 20,000 characters and more, the word at about 4,600
+        own = list(rng.choice(filler, 6_000))
+        own[1_250] = word
+        return " ".join(own)
+    data = [(k, text("idiot" if k % 2 else "plain"), k % 2, k % 2) for k in range(80)]
+    assert all(len(t) > 16_000 and 4_000 < t.find("idiot") < 5_000 for _, t, label, _ in data if label)
+    docs = spark.createDataFrame(data, "doc_id long, text string, toxic int, quality int")
+    labels = docs.select("doc_id", "toxic", "quality")
+    for r in toxicity.toxic_scores(docs.select("doc_id", "text", F.col("toxic").alias("label")), labels, F.lit(True)).collect():
+        assert (r["score"] > 0.5) == (r["label"] == 1)
+    sample = labelled_sample(docs, labels, "quality", F.lit(True), 100)
+    model = quality.fit(sample, epochs=1)
+    assert model.mean[-1] == pytest.approx(np.log1p(6_000))
+
+
+def test_fit_in_tasks_equals_the_fit_in_memory(spark):
+    rng = np.random.default_rng(3)
+    data = [(k, " ".join([*rng.choice([f"w{j}" for j in range(40)], 8), *(["idiot", "muslim"] if k % 3 == 0 else ["christian"])]) + ".",
+             int(k % 3 == 0)) for k in range(120)]
+    df = spark.createDataFrame(data, "_id long, _text string, _label int")
+    want, got = toxicity.fit([d[1:] for d in data], least_z=1.0), toxicity.fit_sample(df, least_z=1.0)
+    assert got.weights == pytest.approx(want.weights, abs=1e-6) and got.bias == pytest.approx(want.bias)

@@ -59,8 +59,9 @@ def spread_windows(text: Column, most: int = 16_000, windows: int = 4) -> Column
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, usable: Column,
-                    rows: int, id_col: str = "doc_id", text_col: str = "text") -> list:
-    """At most ``rows`` pairs (text, label) for a classifier's fit, in id-hash order.
+                    rows: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """At most ``rows`` rows (_id, _text, _label) for a classifier's fit, first in
+    id-hash order, with whole texts; a table, so that features are made in tasks.
 
     ``usable`` is a condition on the label table's id. Labels of a repeated id
     are merged with ``max``; NULL ids and labels are left out; a NULL text is
@@ -71,10 +72,10 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, usable:
               .groupBy(F.col(id_col).alias("_id")).agg(F.max(label).cast("int").alias("_label"))
               .orderBy(F.xxhash64("_id"), "_id").limit(rows))
     texts = documents.select(F.col(id_col).alias("_doc"),
-                             spread_windows(F.coalesce(F.col(text_col), F.lit(""))).alias("_text"))
+                             F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     joined = texts.join(F.broadcast(picked), F.col("_doc") == F.col("_id"))
     out = joined.groupBy("_id").agg(F.min("_text").alias("_text"), F.max("_label").alias("_label"))
-    return [(r["_text"], r["_label"]) for r in out.orderBy("_id").collect()]
+    return stage_table(out, "labelled-sample")
 
 
 def add_columns(df: DataFrame, text_col: str, fields: dict[str, str],

@@ -10,8 +10,10 @@ the mean of its core vectors and of its shape vectors, their norms and its
 length; a two-layer network turns that into a logit, which a temperature fitted
 on held-back sample rows calibrates.
 
-Fitting reads a bounded sample (``max_rows`` labelled rows). Scoring runs over
-whole texts, one Arrow batch at a time. NULL and empty texts have no words and
+Fitting reads a bounded sample (``max_rows`` labelled rows) of whole texts: words,
+neighbour sums and pooled rows are made in tasks, and the driver gets the
+vocabulary, one sum per word and one row per document. Scoring runs over whole
+texts, one Arrow batch at a time. NULL and empty texts have no words and
 get the score of an all-zero document. Repeated rows get equal scores; with no
 usable labels every score is 0.5.
 """
@@ -25,7 +27,9 @@ from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.llm.common import add_columns, labelled_sample, sigmoid
 
@@ -109,39 +113,90 @@ def _pool(core: np.ndarray, shape: np.ndarray, core_vectors, shape_vectors) -> n
     return np.concatenate([a, b, [np.linalg.norm(a), np.linalg.norm(b), np.log1p(len(core))]])
 
 
-def _vocabulary(counts: Counter, most: int) -> dict:
-    kept = sorted((w for w, n in counts.items() if n >= 5), key=lambda w: (-counts[w], w))[:most]
-    return {w: k for k, w in enumerate(kept)}
+def _word_rows(text: str, cores: dict, shapes: dict) -> tuple[np.ndarray, np.ndarray]:
+    split = [split_token(t) for t in text.split()]
+    return _rows([c for c, _ in split], cores), _rows([k for _, k in split], shapes)
+
+
+def _vocabularies(sample: DataFrame, most: tuple[int, int] = (20_000, 2_000)) -> list[dict]:
+    """The commonest cores and shapes met at least five times: word -> row."""
+    def count(batches):
+        for batch in batches:
+            seen = Counter()
+            for text in batch.column(0).to_pylist():
+                for core, shape in map(split_token, text.split()):
+                    seen[0, core] += 1
+                    seen[1, shape] += 1
+            yield pa.RecordBatch.from_pydict({"kind": pa.array([k for k, _ in seen], pa.int32()),
+                                              "word": pa.array([w for _, w in seen], pa.string()),
+                                              "n": pa.array(list(seen.values()), pa.int64())})
+    counts = (sample.select("_text").mapInArrow(count, "kind int, word string, n bigint")
+              .groupBy("kind", "word").agg(F.sum("n").alias("n")).where("n >= 5").persist())
+    out = []
+    for kind, size in enumerate(most):
+        kept = counts.where(F.col("kind") == kind).orderBy(F.desc("n"), "word").limit(size).collect()
+        out.append({r["word"]: k for k, r in enumerate(kept)})
+    counts.unpersist()
+    return out
 
 
-def _word_vectors(docs: list[np.ndarray], vocabulary: dict, rng) -> np.ndarray:
-    index = _index_vectors(len(vocabulary) + POOL, rng)
-    context = _context_sums(docs, index, len(vocabulary))
-    norm = np.linalg.norm(context, axis=1, keepdims=True)
-    index[:len(vocabulary)] += context / np.maximum(norm, 1e-9)
+def _word_vectors(sample: DataFrame, words: list[dict], rng) -> list[np.ndarray]:
+    """Index vectors plus normalised neighbour sums; these are sums of halves, so
+    they are exact in any order."""
+    index = [_index_vectors(len(known) + POOL, rng) for known in words]
+    shared = sample.sparkSession.sparkContext.broadcast((words, index))
+
+    def emit(total):
+        for kind, sums in enumerate(total):
+            at = np.flatnonzero(sums.any(axis=1))
+            yield pa.RecordBatch.from_pydict({"kind": pa.array(np.full(len(at), kind), pa.int32()),
+                                              "word": pa.array(at, pa.int32()),
+                                              "sums": pa.array([sums[k].tobytes() for k in at], pa.binary())})
+
+    def near(batches):
+        own, vectors = shared.value
+        total = [np.zeros((len(known), DIM)) for known in own]
+        for batch in batches:
+            docs = [_word_rows(text, *own) for text in batch.column(0).to_pylist()]
+            for kind, known in enumerate(own):
+                total[kind] += _context_sums([doc[kind] for doc in docs], vectors[kind], len(known))
+        yield from emit(total)
+
+    def add(batches):
+        total = [np.zeros((len(known), DIM)) for known in shared.value[0]]
+        for batch in batches:
+            for kind, word, sums in zip(*(c.to_pylist() for c in batch.columns)):
+                total[kind][word] += np.frombuffer(sums)
+        yield from emit(total)
+    schema = "kind int, word int, sums binary"
+    context = [np.zeros((len(known), DIM), dtype=np.float32) for known in words]
+    for r in sample.select("_text").mapInArrow(near, schema).repartition(8, "word").mapInArrow(add, schema).collect():
+        context[r["kind"]][r["word"]] = np.frombuffer(r["sums"])
+    for vectors, sums in zip(index, context):
+        vectors[:len(sums)] += sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
     return index
 
 
-def fit(rows: list[tuple[str, int]], seed: int = 7, hidden: int = 24, epochs: int = 60) -> QualityModel | None:
-    """Fit on (text, label) pairs; ``None`` when one of the classes is missing."""
-    if len({label for _, label in rows}) < 2:
+def fit(sample: DataFrame, seed: int = 7, hidden: int = 24, epochs: int = 60) -> QualityModel | None:
+    """Fit on a table of ``labelled_sample``; ``None`` when one of the classes is missing."""
+    if sample.select("_label").distinct().count() < 2:
         return None
     rng = np.random.default_rng(seed)
-    core_counts, shape_counts = Counter(), Counter()
-    for text, _ in rows:                            # two passes keep word numbers, not words
-        split = [split_token(t) for t in text.split()]
-        core_counts.update(c for c, _ in split)
-        shape_counts.update(s for _, s in split)
-    cores, shapes = _vocabulary(core_counts, 20_000), _vocabulary(shape_counts, 2_000)
-    del core_counts, shape_counts
-    core_rows, shape_rows = [], []
-    for text, _ in rows:
-        split = [split_token(t) for t in text.split()]
-        core_rows.append(_rows([c for c, _ in split], cores))
-        shape_rows.append(_rows([s for _, s in split], shapes))
-    core_vectors, shape_vectors = _word_vectors(core_rows, cores, rng), _word_vectors(shape_rows, shapes, rng)
-    x = np.stack([_pool(c, s, core_vectors, shape_vectors) for c, s in zip(core_rows, shape_rows)])
-    y = np.array([label for _, label in rows], dtype=np.float64)
+    cores, shapes = words = _vocabularies(sample)
+    core_vectors, shape_vectors = vectors = _word_vectors(sample, words, rng)
+    shared = sample.sparkSession.sparkContext.broadcast((words, vectors))
+
+    def pool(batches):
+        own, both = shared.value
+        for batch in batches:
+            made = [_pool(*_word_rows(t, *own), *both).tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(made, pa.binary())],
+                                             names=["_id", "_label", "x"])
+    id_sql = sample.schema["_id"].dataType.simpleString()
+    rows = (sample.select("_id", "_text", "_label").mapInArrow(pool, f"_id {id_sql}, _label int, x binary")
+            .orderBy("_id").collect())
+    x = np.stack([np.frombuffer(r["x"]) for r in rows])
+    y = np.array([r["_label"] for r in rows], dtype=np.float64)
     mean, scale = x.mean(0), x.std(0) + 1e-6
     x = (x - mean) / scale
     order = rng.permutation(len(y))

@@ -20,7 +20,9 @@ from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.llm.common import add_columns, labelled_sample, sigmoid
 
@@ -76,11 +78,10 @@ def swapped_sets(text: str, terms=IDENTITY_TERMS) -> list[tuple[set, set]]:
 class _Sparse:
     """Rows of word columns, with the two products a linear model needs."""
 
-    def __init__(self, rows, columns: dict):
-        at = [sorted(columns[w] for w in r if w in columns) for r in rows]
+    def __init__(self, at: list):
         self.size = len(at)
         self.row = np.repeat(np.arange(len(at)), [len(a) for a in at])
-        self.col = np.array([c for a in at for c in a], dtype=np.int64)
+        self.col = np.concatenate([np.zeros(0, dtype=np.int64), *at]).astype(np.int64)
 
     def dot(self, w):
         return np.bincount(self.row, w[self.col], minlength=self.size)
@@ -89,9 +90,29 @@ class _Sparse:
         return np.bincount(self.col, g[self.row], minlength=width)
 
 
+def _at(own: set, columns: dict) -> np.ndarray:
+    return np.array(sorted(columns[w] for w in own if w in columns), dtype="<i4")
+
+
+def _moves(text: str, columns: dict, terms) -> Counter:
+    """How often the swaps of a text take away and add which columns; the logits
+    of a swap differ only by these."""
+    out = Counter()
+    for a, b in swapped_sets(text, terms):
+        out[_at(a - b, columns).tobytes(), _at(b - a, columns).tobytes()] += 1
+    return out
+
+
+def _columns(strong: list[str], terms) -> dict:
+    columns = {w: k for k, w in enumerate(strong)}
+    for w in sorted({w for group in terms for w in group} - columns.keys()):
+        columns[w] = len(columns)
+    return columns
+
+
 def fit(rows: list[tuple[str, int]], swap_weight: float = 4.0, l2: float = 0.00005, steps: int = 600,
         least_z: float = 3.5, most_words: int = 50_000, terms=IDENTITY_TERMS) -> ToxicModel | None:
-    """Fit on (text, label) pairs; ``None`` when one of the classes is missing.
+    """Fit on (text, label) pairs in memory; ``None`` when one of the classes is missing.
 
     ``swap_weight`` scales the penalty on score changes under swaps; 0 switches
     it off."""
@@ -99,7 +120,7 @@ def fit(rows: list[tuple[str, int]], swap_weight: float = 4.0, l2: float = 0.000
         return None
     y = np.array([label for _, label in rows], dtype=np.float64)
     df, toxic = Counter(), Counter()
-    for text, label in rows:                        # two passes: word sets are not kept
+    for text, label in rows:
         own = features(text)
         df.update(own)
         if label:
@@ -108,24 +129,79 @@ def fit(rows: list[tuple[str, int]], swap_weight: float = 4.0, l2: float = 0.000
     def z(w):               # of the number of toxic documents with the word, against chance
         expected = df[w] * y.mean()
         return (toxic[w] - expected) / np.sqrt(expected * (1 - y.mean()) + 1)
-    named = {w for group in terms for w in group}
     strength = {w: abs(z(w)) for w, n in df.items() if n >= 3}
     kept = sorted((w for w, k in strength.items() if k >= least_z), key=lambda w: (-strength[w], w))
-    columns = {w: k for k, w in enumerate(kept[:most_words])}
-    for w in sorted(named - columns.keys()):
-        columns[w] = len(columns)
-    del df, toxic, strength
-    pairs = [p for t, _ in rows for p in swapped_sets(t, terms)]
-    x = _Sparse((features(t) for t, _ in rows), columns)
-    before, after = _Sparse([a for a, _ in pairs], columns), _Sparse([b for _, b in pairs], columns)
+    columns = _columns(kept[:most_words], terms)
+    moves = Counter()
+    for text, _ in rows:
+        moves.update(_moves(text, columns, terms))
+    return _solve([_at(features(t), columns) for t, _ in rows], y, moves, columns, swap_weight, l2, steps)
+
+
+def fit_sample(sample: DataFrame, swap_weight: float = 4.0, l2: float = 0.00005, steps: int = 600,
+               least_z: float = 3.5, most_words: int = 50_000, terms=IDENTITY_TERMS) -> ToxicModel | None:
+    """``fit`` on a table of ``labelled_sample``: words are counted and turned into
+    columns in tasks, from whole texts; the driver gets columns only."""
+    size = sample.agg(F.count("*").alias("n"), F.sum("_label").alias("toxic")).first()
+    if not size["n"] or size["toxic"] in (0, size["n"]):
+        return None
+    mean = size["toxic"] / size["n"]
+
+    def count(batches):
+        for batch in batches:
+            df, toxic = Counter(), Counter()
+            for text, label in zip(*(c.to_pylist() for c in batch.columns)):
+                own = features(text)
+                df.update(own)
+                if label:
+                    toxic.update(own)
+            yield pa.RecordBatch.from_pydict({"word": pa.array(list(df), pa.string()),
+                                              "df": pa.array(list(df.values()), pa.int64()),
+                                              "toxic": pa.array([toxic[w] for w in df], pa.int64())})
+    expected = F.col("df") * mean
+    strong = (sample.select("_text", "_label").mapInArrow(count, "word string, df bigint, toxic bigint")
+              .groupBy("word").agg(F.sum("df").alias("df"), F.sum("toxic").alias("toxic")).where("df >= 3")
+              .select("word", F.abs((F.col("toxic") - expected) / F.sqrt(expected * (1 - mean) + 1)).alias("strength"))
+              .where(F.col("strength") >= least_z).orderBy(F.desc("strength"), "word").limit(most_words))
+    columns = _columns([r["word"] for r in strong.collect()], terms)
+    shared = sample.sparkSession.sparkContext.broadcast(columns)
+
+    def place(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(2),
+                 pa.array([_at(features(t), shared.value).tobytes() for t in batch.column(1).to_pylist()], pa.binary())],
+                names=["_id", "_label", "own"])
+
+    def swap(batches):
+        for batch in batches:
+            moves = Counter()
+            for text in batch.column(0).to_pylist():
+                moves.update(_moves(text, shared.value, terms))
+            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in moves], pa.binary()),
+                                              pa.array([k[1] for k in moves], pa.binary()),
+                                              pa.array(list(moves.values()), pa.int64())], names=["a", "b", "n"])
+    id_sql = sample.schema["_id"].dataType.simpleString()
+    rows = (sample.select("_id", "_text", "_label").mapInArrow(place, f"_id {id_sql}, _label int, own binary")
+            .orderBy("_id").collect())
+    moves = (sample.select("_text").mapInArrow(swap, "a binary, b binary, n bigint").groupBy("a", "b")
+             .agg(F.sum("n").alias("n")).orderBy("a", "b").collect())
+    return _solve([np.frombuffer(r["own"], "<i4") for r in rows], np.array([r["_label"] for r in rows], dtype=np.float64),
+                  {(bytes(r["a"]), bytes(r["b"])): r["n"] for r in moves}, columns, swap_weight, l2, steps)
+
+
+def _solve(at: list, y: np.ndarray, moves: dict, columns: dict, swap_weight: float, l2: float, steps: int) -> ToxicModel:
+    x, pairs = _Sparse(at), sum(moves.values())
+    times = np.array(list(moves.values()), dtype=np.float64)
+    before, after = (_Sparse([np.frombuffer(k[side], "<i4") for k in moves]) for side in (0, 1))
     width = len(columns)
     w, b = np.zeros(width), 0.0
     m, v = np.zeros(width + 1), np.zeros(width + 1)
     for step in range(1, steps + 1):
         err = (sigmoid(x.dot(w) + b) - y) / len(y)
         grad = x.back(err, width) + l2 * w
-        if len(pairs) and swap_weight:
-            gap = 2 * swap_weight * (before.dot(w) - after.dot(w)) / len(pairs)
+        if pairs and swap_weight:
+            gap = 2 * swap_weight * times * (before.dot(w) - after.dot(w)) / pairs
             grad += before.back(gap, width) - after.back(gap, width)
         g = np.append(grad, err.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
@@ -148,8 +224,8 @@ def toxic_scores(documents: DataFrame, labels: DataFrame, usable, *, score_col:
     ``usable`` says which label rows may be learnt from; ``max_rows`` bounds the
     training sample.
     """
-    model = fit(labelled_sample(documents, labels, "toxic", usable, max_rows, id_col, text_col),
-                swap_weight)
+    model = fit_sample(labelled_sample(documents, labels, "toxic", usable, max_rows, id_col, text_col),
+                       swap_weight)
     shared = documents.sparkSession.sparkContext.broadcast(vars(model) if model else None)
 
     def make():
