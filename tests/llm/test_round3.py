@@ -1,0 +1,171 @@
+"""Spelling variants, importance resampling and page extraction against plain Python."""
+
+from __future__ import annotations
+
+import collections
+import hashlib
+import math
+import re
+import string
+import zlib
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from hard_rows import SMALL, empty, hard, rows  # noqa: F401
+from tidemark.llm import resampling, variants
+from tidemark.llm.common import read
+from tidemark.llm.queries import ORACLES, QUERIES
+
+FOLD = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+
+
+# --- spelling variants ------------------------------------------------------------
+def one_edit(a, b):
+    if abs(len(a) - len(b)) > 1 or a == b:
+        return False
+    k = 0
+    while k < min(len(a), len(b)) and a[k] == b[k]:
+        k += 1
+    return a[k + 1:] == b[k + 1:] if len(a) == len(b) else (
+        a[k:] == b[k + 1:] if len(a) < len(b) else a[k + 1:] == b[k:])
+
+
+def variant_rows(docs):
+    counts = collections.Counter()
+    for doc, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            w = run.translate(FOLD)
+            h = zlib.crc32(f"{'' if doc is None else doc}:{w}".encode())
+            if h % 31 == 0:
+                w = w[:h % len(w)] + w[h % len(w) + 1:]
+            counts[w] += 1
+    n = {w: c for w, c in counts.items() if len(w) >= 7 and c >= 2}
+    by_left = collections.defaultdict(set)
+    for w in n:
+        for v in {w} | {w[:k] + w[k + 1:] for k in range(len(w))}:
+            by_left[v].add(w)
+    near = collections.defaultdict(set)
+    for group in by_left.values():
+        for a in group:
+            near[a] |= {b for b in group if one_edit(a, b)}
+    form = {}
+    for w in n:
+        best = min(near[w], key=lambda b: (-n[b], b), default=None)
+        form[w] = best if best and n[best] >= 10 * n[w] else None
+    out = set()
+    for w in n:
+        root = w
+        while form[root]:
+            root = form[root]
+        out.add((w, form[w], root, n[w], len(near[w]), n[form[w]] if form[w] else None))
+    return out
+
+
+def planted_words():
+    """Chains of forms, ties, edits at every place, NULL and repeated ids."""
+    texts = ["aaaaaaab " * 300 + "aaaaaaac " * 25 + "aaaaaacc " * 2, "abcdefgh " * 40 + "Abcdefg abcdefg " * 2,
+             "xbcdefgh xbcdefgh abcdefghi ABCDEFGHI bcdefgh bcdefgh abcdxefgh abcdxefgh", "éàüöäñçß éàüöäñçx " * 3,
+             "été×été÷été été×été÷étx " * 2, "straßeń kurz a b", None, "", "12345 ___"]
+    ids = [1, 2, 3, 4, 5, 5, None, 7, 7]
+    return list(zip(ids, texts)) + [(1, texts[1]), (None, texts[2])]
+
+
+def test_spelling_variants(spark, hard, empty):
+    planted = planted_words()
+    df = spark.createDataFrame(planted, "doc_id long, text string").withColumn("word", F.lit("clash"))
+    got = {tuple(r) for r in variants.group_variants(df).collect()}
+    assert got == variant_rows(planted) and any(r[1] for r in got)
+    hard_rows = [(r[0], r[1]) for r in rows()]
+    assert {tuple(r) for r in variants.group_variants(hard).collect()} == variant_rows(hard_rows)
+    assert variants.group_variants(empty).collect() == []
+
+
+def test_spelling_variants_of_shared_keys(spark):
+    """Keys over ``most`` words join on deletion variants: the same links."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = [f"sharedhead{a}{b}" for a in letters for b in letters] + ["sharedheada", "sharedheadaaa"]
+    df = spark.createDataFrame([(w, 2) for w in words], "word string, n long")
+    want = {(a, b) for a in words for b in words if a < b and one_edit(a, b)}
+    for most in (8, 10_000):
+        rows_ = variants.near_pairs(df, most=most).collect()
+        assert len(rows_) == len(want) and {tuple(r) for r in rows_} == want
+
+
+# --- importance resampling ----------------------------------------------------------
+def sampled(docs, target, percent=10, most_words=1, buckets=10_000, least=20, seed=2024):
+    def feats(text):
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(FOLD))
+        runs = [" ".join(w[i:i + k]) for k in range(1, most_words + 1) for i in range(len(w) - k + 1)]
+        return len(w), [zlib.crc32(r.encode()) % buckets for r in runs]
+    made = [(d, *feats(t)) for d, t in docs]
+    s, t = collections.Counter(), collections.Counter()
+    for _, _, f in made:
+        s.update(f)
+    for text in target:
+        t.update(feats(text)[1])
+    S, T = sum(s.values()), sum(t.values())
+    gain = [math.floor(1000 * math.log((t[b] + 1.0) * (S + buckets) / ((s[b] + 1.0) * (T + buckets))))
+            for b in range(buckets)]
+    out, able = [], []
+    for d, n, f in made:
+        h = int(hashlib.sha256(f"{seed}:{'' if d is None else d}".encode()).hexdigest()[:8], 16)
+        w = sum(gain[b] for b in f)
+        out.append([d, len(f), w, w + math.floor(-1000 * math.log(-math.log((h + 0.5) / 2 ** 32))), None])
+        if n >= least:
+            able.append(out[-1])
+    able.sort(key=lambda r: (-r[3], r[0] is None, r[0] or 0, r[1]))
+    for k, r in enumerate(able[:percent * len(able) // 100]):
+        r[4] = k + 1
+    return collections.Counter(map(tuple, out))
+
+
+@pytest.mark.parametrize("kw", [{}, {"most_words": 2, "buckets": 97, "least_words": 3, "percent": 60, "cuts": 2},
+                                {"percent": 100, "least_words": 0}, {"percent": 0}])
+def test_importance_resampling(spark, hard, empty, kw):
+    base = [(r["doc_id"], r["text"]) for r in read(spark, SMALL, "documents").collect()][:60]
+    docs = base + [(r[0] if r[0] is None else r[0] + 10_000, r[1]) for r in rows()] + base[:3]
+    target = [r["text"] for r in read(spark, SMALL, "benchmark").collect()] + [None, ""]
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("score", F.lit("clash"))
+    goal = spark.createDataFrame([(t,) for t in target], "text string")
+    plain = {"least" if k == "least_words" else k: v for k, v in kw.items() if k != "cuts"}
+    got = collections.Counter(tuple(r) for r in resampling.resample(df, goal, **kw).collect())
+    assert got == sampled(docs, target, **plain)
+    assert resampling.resample(empty, goal, **kw).collect() == []
+    none = resampling.resample(df, goal.where("false"), **kw)
+    assert collections.Counter(tuple(r) for r in none.collect()) == sampled(docs, [], **plain)
+
+
+def test_cutoff_splits_ties(spark):
+    values = [5] * 40 + [7] * 3 + [1, 2, 3] + [-10 ** 12, 10 ** 15]
+    df = spark.createDataFrame([(v,) for v in values], "v long")
+    ordered = sorted(values, reverse=True)
+    for k in (1, 2, 4, 5, 44, 45, 48):
+        assert resampling.cutoff(df, "v", k, cuts=3) == ordered[k - 1]
+    assert resampling.cutoff(df, "v", 0) is None and resampling.cutoff(df, "v", 49) is None
+
+
+def table(rel):
+    names = sorted(rel.columns)
+    at = [rel.columns.index(n) for n in names]
+    return collections.Counter(tuple(r[k] for k in at) for r in rel.fetchall())
+
+
+@pytest.mark.parametrize("name", ["op12_spelling_variants", "op13_importance_resampling"])
+def test_queries_against_brute_force_and_sql(spark, name):
+    df = QUERIES[name](spark, SMALL)
+    got = collections.Counter(tuple(r[n] for n in sorted(df.columns)) for r in df.collect())
+    docs = [(r["doc_id"], r["text"]) for r in read(spark, SMALL, "documents").collect()]
+    if name.startswith("op12"):
+        want = collections.Counter((f, fn, n, near, root, w) for w, f, root, n, near, fn in variant_rows(docs))
+    else:
+        target = [r["text"] for r in read(spark, SMALL, "benchmark").collect()]
+        want = collections.Counter()
+        for (d, n, w, s, r), c in sampled(docs, target).items():
+            want[d, n, r, s, w] += c
+    assert got == want
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
+    assert table(con.sql(ORACLES[name])) == want

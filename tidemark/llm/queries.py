@@ -16,10 +16,13 @@ from tidemark.llm.digest import neighbours
 from tidemark.llm.embedding_dedup import near_duplicates as near_duplicate_vectors
 from tidemark.llm.langid import language
 from tidemark.llm.mixing import document_tree, mix
+from tidemark.llm.oracles import ORACLES  # noqa: F401
 from tidemark.llm.quality import quality_scores
+from tidemark.llm.resampling import resample
 from tidemark.llm.secret_scan import spans_text, with_spans
 from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.toxicity import toxic_scores
+from tidemark.llm.variants import group_variants
 
 
 def op1_source_mixing(spark, sf_dir):
@@ -84,9 +87,16 @@ def op10_quality_classifier(spark, sf_dir):
                     F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted")))
 
 
+def op12_spelling_variants(spark, sf_dir):
+    return group_variants(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op13_importance_resampling(spark, sf_dir):
+    return resample(read(spark, sf_dir, "documents").select("doc_id", "text"),
+                    read(spark, sf_dir, "benchmark").select("text"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_source_mixing, op2_secret_scan, op3_context_tree_scores, op4_quartile_digest,
     op5_simhash_near_dedup, op6_byte_bpe, op7_embedding_near_dedup, op8_language_id,
-    op9_toxicity, op10_quality_classifier)}
-
-ORACLES: dict[str, str] = {}
+    op9_toxicity, op10_quality_classifier, op12_spelling_variants, op13_importance_resampling)}
