@@ -4,17 +4,20 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import html
+import itertools
 import math
 import re
 import string
 import zlib
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from hard_rows import SMALL, empty, hard, rows  # noqa: F401
-from tidemark.llm import resampling, variants
+from tidemark.llm import pages as page_model, resampling, variants
 from tidemark.llm.common import read
 from tidemark.llm.queries import ORACLES, QUERIES
 
@@ -169,3 +172,86 @@ def test_queries_against_brute_force_and_sql(spark, name):
     for t in ("documents", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
     assert table(con.sql(ORACLES[name])) == want
+
+
+# --- page text ------------------------------------------------------------------------
+def article_of(page):
+    """The template of the given pages: one <article> of headings and paragraphs."""
+    inner = re.search("<article>(.*?)</article>", page or "", re.S)
+    parts = re.split("</?(?:p|h1)>", inner[1].replace("<br>", " ")) if inner else []
+    lines = (" ".join(html.unescape(re.sub("<[^>]*>", "", part)).split()) for part in parts)
+    return "\n".join(line for line in lines if line)
+
+
+def test_page_text_query(spark):
+    want = {r["page_id"]: (r["url"], article_of(r["html"])) for r in read(spark, SMALL, "pages").collect()}
+    got = QUERIES["op11_page_text"](spark, SMALL).collect()
+    assert len(got) == len(want) and all(want[r["page_id"]] == (r["url"], r["text"]) for r in got)
+    assert all(r["n_chars"] == len(r["text"]) for r in got)
+
+
+WORDS = "The river ran over its banks in spring, and the fields below stood under water for weeks."
+LAYOUT = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body>
+<header><h1>Site</h1><nav><ul><li><a href=/>Home</a></li></ul></nav></header>
+<div class="cookie-notice">We use cookies. <button>OK</button></div>
+<div id=sidebar><h3>More</h3><ul><li><a href=#>One</a><li><a href=#>Two</a></ul></div>
+%s<h1>High &amp; dry</h1><p>{w}<p>Short.<p>caf&eacute;&nbsp;&#x41;<b>bold</b>face  a < b
+<!-- hidden --><script>var x = "</p><article>no";</script><br>end</p><div class="ad">Buy now!</div>
+<ul><li>{w}<li>{w}</ul><blockquote>{w}</blockquote><form><input><label>Mail</label></form><p>{w}</p>%s
+<section class="comments"><div><b>Al</b><p>{w} {w}</p></div><div><p>{w}</p></div></section>
+<footer>&copy; all rights</footer><script>unclosed""".replace("{w}", WORDS)
+MAIN = "\n".join(["High & dry", WORDS, "Short.", "café Aboldface a < b end", WORDS, WORDS, WORDS, WORDS])
+
+
+def test_page_text_of_layouts_and_hard_pages(spark):
+    deep = "<article>" + "<div>" * 3000 + f"<p>{WORDS}</p>" + "</div>" * 3000 + "</article>"
+    long = "<article>" + f"<p>{WORDS}</p>" * 20_000 + "</article>"
+    pages = [(LAYOUT % ("<article>", "</article>"), MAIN), (LAYOUT % ("<main><div class=post>", "</div></main>"), MAIN),
+             (LAYOUT % ('<div class="entry-content">', "</div>"), MAIN), (LAYOUT % ("<section id='story'>", "</section>"), MAIN),
+             (None, ""), ("", ""), ("   ", ""), ("<!-- only", ""), ("<script>alert('x')", ""), ("<article><p", ""),
+             (deep, WORDS), (long, "\n".join([WORDS] * 20_000)), (f"</p></div></article><article>{WORDS}", WORDS),
+             (f"<article><p title='a>b' class=x>{WORDS}</article>", WORDS)]
+    rows_ = [(k, page, "u", 1, 2) for k, (page, _) in enumerate(pages)] + [(0, pages[0][0], "u", 1, 2)] * 2
+    df = spark.createDataFrame(rows_, "page_id long, html string, url string, word int, parent int")
+    got = page_model.main_text(df, text_col="out").collect()
+    assert len(got) == len(rows_) and got[0].asDict().keys() == {*df.columns, "out"}
+    for r in got:
+        assert r["out"] == pages[r["page_id"]][1], r["page_id"]
+    assert page_model.main_text(df.where("false")).collect() == []
+
+
+def test_messages_are_exact_marginals():
+    """Against the sum over all states of small trees side by side."""
+    rng = np.random.default_rng(3)
+    parents = [[-1, 0, 0, 1, 1, 2, 5], [-1], [-1, 0, 1, 2]]
+    depths = [[0, 1, 1, 2, 2, 2, 3], [0], [0, 1, 2, 3]]
+    edges = [rng.integers(0, 3, len(p)).tolist() for p in parents]
+    f = page_model.forest(parents, depths, edges, [[] for p in parents for _ in p])
+    unary, tables = rng.normal(size=12), rng.normal(size=(3, 2, 2))
+    p, pairs = page_model.messages(f, unary, tables)
+    start = 0
+    for parent, edge in zip(parents, edges):
+        n, total, one, both = len(parent), 0.0, np.zeros(len(parent)), np.zeros((len(parent), 2, 2))
+        for state in itertools.product((0, 1), repeat=n):
+            s = sum(unary[start + k] * state[k] for k in range(n))
+            s += sum(tables[edge[k], state[parent[k]], state[k]] for k in range(1, n))
+            total += math.exp(s)
+            one += math.exp(s) * np.array(state)
+            for k in range(1, n):
+                both[k, state[parent[k]], state[k]] += math.exp(s)
+        assert np.allclose(p[start:start + n], one / total)
+        assert np.allclose(pairs[start + 1:start + n], both[1:] / total)
+        start += n
+
+
+def test_held_out_layouts():
+    """Pages the fit has not seen: the leaves' labels."""
+    model = page_model.fit(page_model._training(np.random.default_rng(1), 200))
+    trees = [page_model.parse(page_model.training_page(np.random.default_rng(1000 + k))) for k in range(100)]
+    right = total = 0
+    for tree, p in zip(trees, page_model.marginals(model, trees)):
+        y = page_model._labelled(tree)[4]
+        leaves = [k for k, _, _ in tree.leaf if k >= 0]
+        right += sum((p[k] >= 0.5) == bool(y[k]) for k in leaves)
+        total += len(leaves)
+    assert right / total > 0.95

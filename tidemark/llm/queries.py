@@ -17,6 +17,7 @@ from tidemark.llm.embedding_dedup import near_duplicates as near_duplicate_vecto
 from tidemark.llm.langid import language
 from tidemark.llm.mixing import document_tree, mix
 from tidemark.llm.oracles import ORACLES  # noqa: F401
+from tidemark.llm.pages import main_text
 from tidemark.llm.quality import quality_scores
 from tidemark.llm.resampling import resample
 from tidemark.llm.secret_scan import spans_text, with_spans
@@ -87,6 +88,11 @@ def op10_quality_classifier(spark, sf_dir):
                     F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted")))
 
 
+def op11_page_text(spark, sf_dir):
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return main_text(pages).select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def op12_spelling_variants(spark, sf_dir):
     return group_variants(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -99,4 +105,4 @@ def op13_importance_resampling(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     op1_source_mixing, op2_secret_scan, op3_context_tree_scores, op4_quartile_digest,
     op5_simhash_near_dedup, op6_byte_bpe, op7_embedding_near_dedup, op8_language_id,
-    op9_toxicity, op10_quality_classifier, op12_spelling_variants, op13_importance_resampling)}
+    op9_toxicity, op10_quality_classifier, op11_page_text, op12_spelling_variants, op13_importance_resampling)}
