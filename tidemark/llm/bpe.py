@@ -25,7 +25,6 @@ import re
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -82,11 +81,17 @@ class _Blocks:
                 ids.append(doc)
                 size += len(text or "")
                 if size >= self.block_chars:
-                    yield (base + number, ids, *self._finish(rows, known))
+                    done = (base + number, ids, *self._finish(rows, known))
                     number += 1
                     ids, rows, known, size = [], [], {}, 0
+                    yield done
+                    del done
+                    pa.default_memory_pool().release_unused()
+            del texts
         if ids:
-            yield (base + number, ids, *self._finish(rows, known))
+            done = (base + number, ids, *self._finish(rows, known))
+            del ids, rows, known
+            yield done
 
     def _finish(self, rows, known):
         words = [p if isinstance(p, bytes) else b" " + p.encode() for p in known]
@@ -115,7 +120,7 @@ def _encoder(ranks: dict, pattern: str):
 
 
 def encode(documents: DataFrame, ranks: dict[bytes, int], pattern: str, *, id_col: str = "doc_id",
-           text_col: str = "text", block_chars: int = 24_000_000, docs_per_row: int = 128) -> DataFrame:
+           text_col: str = "text", block_chars: int = 8_000_000, docs_per_row: int = 128) -> DataFrame:
     """(block, part, ids of the documents, their token ids packed): the encoded
     table, ``docs_per_row`` documents in a row. ``decode_rows`` reads it."""
     spark = documents.sparkSession
@@ -169,16 +174,17 @@ def encode(documents: DataFrame, ranks: dict[bytes, int], pattern: str, *, id_co
                .mapInArrow(encode_words, "block bigint, bucket int, sum bigint, tokens binary"))
     placed = source.mapInArrow(positions, f"block bigint, part int, sum bigint, ids array<{id_sql}>, places binary")
 
-    def assemble(words: pd.DataFrame, docs: pd.DataFrame) -> pd.DataFrame:
-        words = words.sort_values("bucket", kind="stable")
-        if len(set(words["sum"]) | set(docs["sum"])) > 1:
+    def assemble(words: pa.Table, docs: pa.Table) -> pa.Table:
+        words = words.sort_by("bucket")
+        if len(set(words["sum"].to_pylist()) | set(docs["sum"].to_pylist())) > 1:
             raise RuntimeError("the input changed between two reads: write it to a table first")
-        tokens = [t for blob in words["tokens"] for t in unpack(blob)]
+        tokens = [t for blob in words["tokens"].to_pylist() for t in unpack(blob)]
         sizes = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens)) // 4
         flat = np.frombuffer(b"".join(tokens), dtype="<u4")
+        del tokens, words
         starts = np.cumsum(sizes) - sizes
         out = []
-        for blob in docs["places"]:
+        for blob in docs["places"].to_pylist():
             packed = []
             for raw in unpack(blob):
                 at = np.frombuffer(raw, dtype="<u4")
@@ -187,10 +193,11 @@ def encode(documents: DataFrame, ranks: dict[bytes, int], pattern: str, *, id_co
                 index = np.repeat(starts[at] - (np.cumsum(n) - n), n) + np.arange(total)
                 packed.append(flat[index].tobytes())
             out.append(pack(packed))
-        return pd.DataFrame({"block": docs["block"], "part": docs["part"], "ids": docs["ids"], "tokens": out})
+        pa.default_memory_pool().release_unused()
+        return docs.select(["block", "part", "ids"]).append_column("tokens", pa.array(out, pa.binary()))
 
     return (encoded.groupBy("block").cogroup(placed.groupBy("block"))
-            .applyInPandas(assemble, f"block bigint, part int, ids array<{id_sql}>, tokens binary"))
+            .applyInArrow(assemble, f"block bigint, part int, ids array<{id_sql}>, tokens binary"))
 
 
 def decode_rows(encoded: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id") -> DataFrame:

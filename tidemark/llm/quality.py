@@ -233,9 +233,10 @@ def fit(sample: DataFrame, seed: int = 7, hidden: int = 24, epochs: int = 60) ->
 
 
 class Scorer:
-    """Scores texts in one task; token rows are kept in a bounded cache."""
+    """Scores texts in one task; token rows are kept in a cache of at most
+    ``MOST`` tokens (about 25 MB; cleared when full)."""
 
-    MOST = 600_000
+    MOST = 120_000
 
     def __init__(self, model: QualityModel):
         self.model, self.cache = model, {}
