@@ -72,3 +72,24 @@ def test_sensors_job_fan_out(spark):
     root = checkpoint_root(spark)
     assert os.path.isdir(os.path.join(root, app, "StatelessSink", "commits"))
     assert not os.path.exists(os.path.join(root, app, "TemperatureSink"))
+
+
+def test_jobs_with_one_read_and_partition_scope(spark):
+    from tidemark.session import checkpoint_root
+    from tidemark.sources.fixtures import extended_measurements
+    from tidemark.streaming.sensors import flatten
+
+    work = tempfile.mkdtemp(prefix="tidemark-all-job-")
+    src, out, records = (os.path.join(work, n) for n in ("src", "out", "records"))
+    em = extended_measurements(spark, SMALL)
+    flatten(em).write.parquet(src)
+    app = os.path.basename(work)
+    jobs.main(["sensors", "--source", src, "--available-now", "--app-id", app, "--all-outputs-dir", out])
+    assert {n: spark.read.parquet(os.path.join(out, n)).count() > 0 for n in ("temperature", "wind", "ema")} == {
+        "temperature": True, "wind": True, "ema": True}
+    kafka_records(spark, SMALL, REF.skew_ms).drop("poison").write.parquet(records)
+    jobs.main(["location", "--source", records, "--available-now", "--app-id", app, "--scope", "partition",
+               "--idle-timeout-ms", "1000", "--lag-history", "50"])
+    root = os.path.join(checkpoint_root(spark), app, "location")
+    windows = spark.read.parquet(os.path.join(root, "windows")).count()
+    assert spark.read.parquet(os.path.join(root, "lag_history")).count() == min(50, windows) > 0

@@ -250,4 +250,4 @@ def test_lost_open_windows_raise(spark):
     with pytest.raises(RuntimeError, match="open windows"):
         tagger(rec, 1)
     with pytest.raises(ValueError):
-        LateTagger(DAY, "a", "b", "c", scope="partition", windows_path="d")
+        LateTagger(DAY, "a", "b", "c", idle_timeout_ms=5)

@@ -29,7 +29,8 @@ from tidemark.plans.sensors import SLIDING_HOURS, SLIDING_REF, sensor_pipeline
 from tidemark.session import build_session, checkpoint_root, ensure_dir, use_checkpoint_root
 from tidemark.presets import DAY, REF
 from tidemark.sources.kafka import KAFKA_ORDER, read_kafka, read_record_files
-from tidemark.streaming.location import LateTagger, read_tagged, read_windows, with_lag_gauge
+from tidemark.streaming.location import LateTagger, for_each_committed, read_tagged, read_windows, with_lag_gauge
+from tidemark.streaming.handlers import LagHistory, SensorOutputs
 from tidemark.streaming.sensors import FLAT_SCHEMA, StatelessFanOut, flatten, nest, sensor_streams
 from tidemark.streaming.sinks import start, start_batches
 
@@ -73,12 +74,16 @@ def run_location(spark, args):
     sink = "console" if args.local else "noop"
     trigger, app = _trigger(args), args.app_id
     tagger = start_batches(records, "LateTagger",
-                           LateTagger(preset, late, on_time, state, order_cols=order,
-                                      windows_path=windows, invalid_path=invalid),
+                           LateTagger(preset, late, on_time, state, order_cols=order, scope=args.scope,
+                                      windows_path=windows, invalid_path=invalid, idle_timeout_ms=args.idle_timeout_ms),
                            trigger=trigger, app_id=app)
     if args.available_now:
         tagger.awaitTermination()
-    return [tagger,
+    more = []
+    if args.lag_history:
+        history = LagHistory(os.path.join(root, "lag_history"), args.lag_history)
+        more.append(for_each_committed(spark, windows, history, "LagHistory", trigger=trigger, app_id=app))
+    return [tagger, *more,
             start(with_lag_gauge(read_windows(spark, windows)), "NormalOutput",
                   sink=sink, trigger=trigger, app_id=app),
             start(read_tagged(spark, late), "LateDataSink", sink=sink, trigger=trigger, app_id=app)]
@@ -89,8 +94,13 @@ def run_sensors(spark, args):
         records = nest(spark.readStream.schema(FLAT_SCHEMA).parquet(args.source))
     else:
         raise SystemExit("--source is required for the sensor stream")
-    streams = sensor_streams(records, SLIDING_REF if args.preset == "ref" else SLIDING_HOURS,
-                             watermark_ms=args.out_of_orderness_ms)
+    sliding = SLIDING_REF if args.preset == "ref" else SLIDING_HOURS
+    if args.all_outputs_dir:
+        # every output from one read per micro-batch, files per batch id
+        state = os.path.join(checkpoint_root(spark), args.app_id, "sensor_state")
+        handler = SensorOutputs(args.all_outputs_dir, state, sliding, out_of_orderness_ms=args.out_of_orderness_ms)
+        return [start_batches(records, "SensorOutputs", handler, trigger=_trigger(args), app_id=args.app_id)]
+    streams = sensor_streams(records, sliding, watermark_ms=args.out_of_orderness_ms)
     sink = "console" if args.local else "noop"
     names = ("temperature", "ema", "sliding", "wind", "unrouted")
     queries = []
@@ -138,7 +148,7 @@ def main(argv=None):
     ap.add_argument("--preset", choices=sorted(PRESETS), default="ref")
     ap.add_argument("--source", default=None)
     ap.add_argument("--scope", choices=["global", "partition"], default="global",
-                    help="batch-location: watermark over all partitions or of the slowest one")
+                    help="location jobs: watermark over all partitions or of the slowest one")
     ap.add_argument("--kafka-servers", default=None)
     ap.add_argument("--topic", default=None)
     ap.add_argument("--max-files", type=int, default=None)
@@ -151,6 +161,12 @@ def main(argv=None):
     ap.add_argument("--out", default=None)
     ap.add_argument("--fan-out-dir", default=None,
                     help="sensors job: write temperature / wind / unrouted here from one read per micro-batch")
+    ap.add_argument("--all-outputs-dir", default=None,
+                    help="sensors job: write every output here, EMA and sliding average too, from one read per micro-batch")
+    ap.add_argument("--idle-timeout-ms", type=int, default=None,
+                    help="location job, partition scope: a partition silent for longer follows the clock")
+    ap.add_argument("--lag-history", type=int, default=None,
+                    help="location job: keep the lags of that many windows, as a table per batch")
     ap.add_argument("--app-id", default="tidemark",
                     help="sub-folder of the checkpoint root holding this deployment's query state")
     args = ap.parse_args(argv)

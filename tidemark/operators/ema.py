@@ -199,14 +199,18 @@ def rank_with_handle(df: DataFrame, keys, order_cols, materialize: str = "persis
 
 
 def ema_chunked(df: DataFrame, key_cols, order_cols=("measurement.timestamp", "seq"),
-                chunk_rows: int = 1 << 20, materialize: str = "persist") -> DataFrame:
-    """EMA with exact ranks and overlapping chunks (see module doc)."""
+                chunk_rows: int = 1 << 20, materialize: str = "persist", handles: list | None = None) -> DataFrame:
+    """EMA with exact ranks and overlapping chunks (see module doc). The
+    materialised ranges are added to ``handles``, for a caller that frees them."""
     if chunk_rows < 1:
         raise ValueError("chunk_rows must be positive")
     columns = df.columns
     df, keys = _flat_key(df, key_cols)
     df = df.withColumn("_o0", F.col(order_cols[0])).withColumn("_o1", F.col(order_cols[1]))
-    ranked = _with_readings(rank_within_key(df, keys, ["_o0", "_o1"], materialize).drop("_o0", "_o1"))
+    ranked, ranges = rank_with_handle(df, keys, ["_o0", "_o1"], materialize)
+    if handles is not None:
+        handles.append(ranges)
+    ranked = _with_readings(ranked.drop("_o0", "_o1"))
     pos = F.col("_rank") - F.lit(1)
     own = F.floor(pos / F.lit(chunk_rows))
     # a row goes to its chunk and, as a copy, to those that start within the next HALO rows

@@ -63,15 +63,22 @@ def lag_histogram(windows: DataFrame, clock_ms, history: int | None = None,
     """Statistics of ``clock - windowEnd`` over all emitted windows, or over the
     latest ``history`` of them (emission order: window end, then key).
 
+    See :func:`lag_statistics` for the quantiles.
+    """
+    chosen = windows.select("windowEnd", "location")
+    if history is not None:
+        chosen = chosen.orderBy(F.col("windowEnd").desc(), F.col("location").desc()).limit(history)
+    return lag_statistics(chosen.select(clock_lag(clock_ms, F.col("windowEnd")).alias("lag")), quantiles)
+
+
+def lag_statistics(lags: DataFrame, quantiles=LAG_QUANTILES) -> DataFrame:
+    """One row of statistics of the column ``lag``.
+
     Quantiles are the classic estimator: rank ``p * (n + 1)`` with linear
     interpolation, clamped to the first / last value. Ranks come from counts
     per distinct lag and a prefix in two levels (ranges of ``RANGE_MS``, then
     inside a range), so no group or task holds all windows.
     """
-    chosen = windows.select("windowEnd", "location")
-    if history is not None:
-        chosen = chosen.orderBy(F.col("windowEnd").desc(), F.col("location").desc()).limit(history)
-    lags = chosen.select(clock_lag(clock_ms, F.col("windowEnd")).alias("lag"))
     counts = (lags.groupBy("lag").agg(F.count(F.lit(1)).alias("c"))
               .withColumn("_range", F.floor(F.col("lag") / F.lit(RANGE_MS))))
     d = F.col("lag").cast("double")

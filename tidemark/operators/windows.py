@@ -103,14 +103,27 @@ def sliding_average(df: DataFrame, size_ms: int, slide_ms: int) -> DataFrame:
     times (the pane table is), and both stages combine map-side before their
     shuffle, so a hot sensor stays cheap.
     """
+    return windows_of_panes(panes_of(df, size_ms, slide_ms), size_ms, slide_ms)
+
+
+def panes_of(df: DataFrame, size_ms: int, slide_ms: int, carried: DataFrame | None = None) -> DataFrame:
+    """Partial sums per sensor and pane (the greatest common divisor of size and
+    slide), merged with ``carried`` panes of earlier input."""
     acc = F.col("measurement.accuracy").cast("double")
     val = F.col("measurement.value")
     pane_ms = math.gcd(size_ms, slide_ms)
-
     panes = (df.groupBy(*_sensor_cols(),
                         floor_to(F.col("measurement.timestamp"), pane_ms).alias("pane"))
                .agg(F.sum(val).alias("sv"), F.sum(acc).alias("sa"),
                     F.count(F.lit(1)).alias("n"), *_latest_aggs(_LOC)))
+    if carried is None:
+        return panes
+    return (panes.unionByName(carried).groupBy("sensorId", "vendorId", "sensorType", "pane")
+            .agg(F.sum("sv").alias("sv"), F.sum("sa").alias("sa"), F.sum("n").alias("n"), *_merge_latest(_LOC)))
+
+
+def windows_of_panes(panes: DataFrame, size_ms: int, slide_ms: int) -> DataFrame:
+    """Sliding averages from panes."""
     # window starts are the multiples of the slide in (pane - size, pane]; with
     # gaps between windows (slide > size) a pane may be in none
     last = floor_to(F.col("pane"), slide_ms)
