@@ -5,7 +5,8 @@ from __future__ import annotations
 import json
 import math
 
-from hypothesis import HealthCheck, given, settings
+import pytest
+from hypothesis import HealthCheck, given, seed, settings
 from hypothesis import strategies as st
 
 from tidemark.operators.decode import tolerant_decode
@@ -70,14 +71,16 @@ def model(text):
     sid, val, loc = obj.get("sensorId"), obj.get("value"), obj.get("location")
     if loc is None:
         return False, None
-    if sid is None:
+    if sid is None or (isinstance(sid, str) and not sid.strip()):
         sid_out = 0
+    elif isinstance(sid, str) and set(sid) & set(".eE"):
+        return False, None                      # text must be a whole number
     else:
         d = _to_double(sid)
         if d is None or math.isnan(d) or not (INT_MIN <= math.trunc(d) <= INT_MAX):
             return False, None
         sid_out = math.trunc(d)
-    if val is None:
+    if val is None or (isinstance(val, str) and not val.strip()):
         val_out = 0.0
     else:
         val_out = _to_double(val)
@@ -86,9 +89,29 @@ def model(text):
     return True, (sid_out, val_out, loc if isinstance(loc, str) else json.dumps(loc))
 
 
-@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(payloads(), min_size=120, max_size=120))
-def test_decoder_agrees_with_model(spark, texts):
+# rules a random draw once missed, checked in every run
+FIXED = ['{"value": "", "location": ""}', '{"sensorId": "", "location": "a"}', '{"sensorId": "1.5", "location": "a"}',
+         '{"sensorId": 1.5, "location": "a"}', '{"sensorId": "1e1", "location": "a"}', '{"value": "1e1", "location": "a"}',
+         '{"value": "  ", "location": "a"}', '{"sensorId": "12", "value": "2.5", "location": "a"}',
+         '{"sensorId": 3000000000, "location": "a"}', '{"location": ""}', '{"value": true, "location": "a"}']
+
+
+def test_decoder_agrees_with_model_on_fixed_cases(spark):
+    check(spark, FIXED)
+
+
+@pytest.mark.parametrize("number", [1, 2, 3])
+def test_decoder_agrees_with_model(spark, number):
+    """Fixed seeds, so that a run says the same as the last one."""
+    @seed(number)
+    @settings(max_examples=4, deadline=None, database=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(payloads(), min_size=120, max_size=120))
+    def run(texts):
+        check(spark, texts)
+    run()
+
+
+def check(spark, texts):
     rows = [(i, 0, 1, bytearray(t.encode())) for i, t in enumerate(texts)]
     df = spark.createDataFrame(rows, "seq long, timestamp long, partition int, value binary")
     dec = tolerant_decode(df)

@@ -92,6 +92,12 @@ def test_thousands_of_partitions(spark):
     assert state.count() == len({r[2] for r in rows} - {None})
 
 
+def test_many_partitions_through_the_common_entry(spark):
+    rows = made(900, 200, 5, with_nulls=False)
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert got(watermark_trace(df, 20, 100, scope="partition")) == brute(rows, 20, 100)
+
+
 def test_bounds_and_empty(spark):
     empty = spark.createDataFrame([], SCHEMA)
     traced, state = partition_trace(empty, 0, 10, idle_timeout_ms=5)

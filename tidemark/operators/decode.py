@@ -5,7 +5,9 @@ The tolerant decoder follows the rules of a typed JSON object mapper:
 * unknown fields and trailing text after the object are accepted;
 * numbers given as text (``"value": "2.5"``) are coerced, fractional ids are
   truncated (``1.7 -> 1``);
-* absent or ``null`` numeric fields become 0;
+* a whole-number field given as *text* must be a whole number: ``1.7`` is 1,
+  ``"1.7"`` and ``"1e3"`` are invalid;
+* absent or ``null`` numeric fields become 0, and so does empty or blank text;
 * anything else is *invalid*: unparsable bytes, a non-object (``[1]``,
   ``null``), empty input, ``NaN``/``Infinity`` literals, numeric text that does
   not parse, and a missing location (the grouping key).

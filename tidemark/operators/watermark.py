@@ -34,6 +34,8 @@ from tidemark.functions.records import floor_to
 
 BUCKET_ROWS = 1 << 13
 BUCKETS_PER_SUPER = 1 << 12
+# up to this many partitions are columns of the plan; more are rows (``partition_watermark``)
+MOST_COLUMNS = 64
 
 
 def _groups(scope: str, partitions, partition_col: str):
@@ -106,6 +108,11 @@ def watermark_trace(df: DataFrame, out_of_orderness_ms: int, window_ms: int,
     initial_max = initial_max or {}
     if scope == "partition" and partitions is None:
         partitions = seen_partitions(df, partition_col, initial_max)
+        if len(partitions) > MOST_COLUMNS and not initial_max:
+            from tidemark.operators.partition_watermark import partition_trace
+            return partition_trace(df, out_of_orderness_ms, window_ms, order_col=order_col, ts_col=ts_col,
+                                   partition_col=partition_col, arrival_col=arrival_col,
+                                   idle_timeout_ms=idle_timeout_ms, buckets_per_super=buckets_per_super)[0]
     groups = _groups(scope, partitions, partition_col)
     ts, now = F.col(ts_col), F.col(arrival_col)
     buckets = {"order_col": order_col, "bucket_rows": bucket_rows, "buckets_per_super": buckets_per_super}
