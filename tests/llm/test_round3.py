@@ -9,6 +9,7 @@ import itertools
 import math
 import re
 import string
+import tempfile
 import zlib
 
 import duckdb
@@ -16,8 +17,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from hard_rows import SMALL, empty, hard, rows  # noqa: F401
-from tidemark.llm import pages as page_model, resampling, variants
+from tidemark.llm import embedding_dedup, langid, pages as page_model, resampling, variants
 from tidemark.llm.common import read
 from tidemark.llm.queries import ORACLES, QUERIES
 
@@ -255,3 +257,48 @@ def test_held_out_layouts():
         right += sum((p[k] >= 0.5) == bool(y[k]) for k in leaves)
         total += len(leaves)
     assert right / total > 0.95
+
+
+# --- cuts that are gone -------------------------------------------------------------------
+def test_vectors_of_every_length_link(spark):
+    rng = np.random.default_rng(4)
+    five, eight = rng.normal(size=5).tolist(), rng.normal(size=8).tolist()
+    data = [(0, five), (1, five), (2, eight), (3, [2 * v for v in eight]), (4, rng.normal(size=8).tolist()),
+            (5, [1.0]), (6, [3.0]), (7, [-1.0]), (8, []), (9, None), (10, rng.normal(size=3).tolist())]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup.near_duplicates(df).collect()}
+    assert got == {0: (1, 0), 1: (1, 0), 2: (1, 2), 3: (1, 2), 4: (0, 4), 5: (1, 5), 6: (1, 5), 7: (0, 7), 8: (0, 8),
+                   9: (0, 9), 10: (0, 10)}
+
+
+def test_language_sample_covers_every_language_and_whole_texts(spark):
+    rows_ = [(k, f"abc def {k}", f"l{k % 70:02d}") for k in range(140)]
+    rows_ += [(1000, "x" * 40_000 + " zzzz " * 2_000 + "y" * 40_000, "long")] * 3 + [(2000, "", "none"), (2001, None, "none")]
+    df = spark.createDataFrame(rows_, "doc_id long, text string, lang string")
+    drawn = langid.sample(df, F.lit(True), 250, 16_000, 7_100, "doc_id", "text", "lang")
+    assert {lang for _, lang in drawn} == {f"l{k:02d}" for k in range(70)} | {"long"}
+    assert all(len(raw) <= 64 for raw, _ in drawn) and 6_500 <= len(drawn) <= 8_000
+    assert any(b"zzzz" in raw for raw, lang in drawn if lang == "long")
+    assert len(langid.train(drawn, steps=2).langs) == 71
+
+
+def test_near_dedup_drops_only_rows_of_a_group(spark):
+    x, y = "one two three four five six", "seven eight nine ten eleven twelve"
+    data = [(3, x), (3, y), (9, y), (None, x), (None, x), (None, "alone in this table"), (None, "alone in this table")]
+    docs = spark.createDataFrame([(d, t, "en", "s", 1, 5) for d, t in data],
+                                 "doc_id long, text string, lang string, source string, n_chars long, _row int")
+    out = corpus_pipeline.near_dedup(spark, docs, SMALL)
+    assert out.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str) == sorted(
+        [(3, x), (3, y), (None, "alone in this table")], key=str)
+    assert corpus_pipeline.near_dedup(spark, docs.where("false"), SMALL).collect() == []
+
+
+def test_op3_does_not_learn_from_null_ids(spark):
+    folder = tempfile.mkdtemp(prefix="tidemark-op3-")
+    ids = [k for k in range(20) if zlib.crc32(str(k).encode()) % 10][:2]
+    data = [(ids[0], "a b"), (ids[1], "c d"), (None, "a unseen")]
+    spark.createDataFrame(data, "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    got = {r["doc_id"]: r for r in QUERIES["op3_context_tree_scores"](spark, folder).collect()}
+    assert {r["train_tokens"] for r in got.values()} == {6}
+    assert (got[None]["held_out"], got[None]["n_known"], got[None]["n_tokens"]) == (False, 2, 3)

@@ -49,15 +49,6 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread_windows(text: Column, most: int = 16_000, windows: int = 4) -> Column:
-    """The whole text, or, for training samples only, ``windows`` evenly spaced
-    stretches of a text longer than ``most``: bounds what a sample can weigh."""
-    size = most // windows
-    step = (F.length(text) - size) / F.lit(windows - 1)
-    parts = [F.substring(text, (step * k).cast("int") + 1, F.lit(size)) for k in range(windows)]
-    return F.when(F.length(text) > most, F.concat_ws("\n", *parts)).otherwise(text)
-
-
 def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, usable: Column,
                     rows: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """At most ``rows`` rows (_id, _text, _label) for a classifier's fit, first in

@@ -34,7 +34,6 @@ import math
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -246,7 +245,7 @@ def gram_scores(grams: DataFrame, depth: int) -> DataFrame:
 # --- the corpus ---------------------------------------------------------------
 
 def score(documents: DataFrame, held_out: Column, *, depth: int = 5, id_col: str = "doc_id",
-          text_col: str = "text", block_chars: int = 24_000_000, docs_per_row: int = 128,
+          text_col: str = "text", block_chars: int = 12_000_000, docs_per_row: int = 128,
           across: bool = False) -> DataFrame:
     """Per row of ``documents``: id, n_tokens, n_known, train_tokens, base_score,
     score, n_bytes, bits_per_byte. Rows where ``held_out`` is true (or NULL) are
@@ -256,7 +255,8 @@ def score(documents: DataFrame, held_out: Column, *, depth: int = 5, id_col: str
     spark = documents.sparkSession
     buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     source = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
-                              F.coalesce(held_out, F.lit(True)).alias("held"))
+                              F.when(F.coalesce(held_out, F.lit(True)), 1)
+                              .when(F.col(id_col).isNull(), 2).otherwise(0).alias("held"))     # 0: learnt from
     id_sql = source.schema["id"].dataType.simpleString()
     if id_sql != "string":
         source, id_sql = source.withColumn("id", F.col("id").cast("bigint")), "bigint"
@@ -306,27 +306,32 @@ def score(documents: DataFrame, held_out: Column, *, depth: int = 5, id_col: str
                 hi = lo + docs_per_row
                 yield pa.RecordBatch.from_pydict({
                     "block": pa.array([block], pa.int64()), "sum": pa.array([check], pa.int64()),
-                    "ids": pa.array([ids[lo:hi]], pa.list_(id_type)), "held": pa.array([outs[lo:hi]], pa.list_(pa.bool_())),
+                    "ids": pa.array([ids[lo:hi]], pa.list_(id_type)), "held": pa.array([outs[lo:hi]], pa.list_(pa.int32())),
                     "places": pa.array([pack([r.tobytes() for r in rows[lo:hi]])], pa.binary())})
 
-    placed = source.mapInArrow(positions, f"block bigint, sum bigint, ids array<{id_sql}>, held array<boolean>, places binary")
-
-    def assemble(known: pd.DataFrame, docs: pd.DataFrame) -> pd.DataFrame:
-        found = known[known["bucket"] < 0].sort_values("gram")
-        at, lp = found["gram"].to_numpy(), found["lp"].to_numpy()
-        words = known[known["bucket"] >= 0].sort_values("bucket", kind="stable")
-        if len(set(words["sum"]) | set(docs["sum"])) > 1:
+    placed = source.mapInArrow(positions, f"block bigint, sum bigint, ids array<{id_sql}>, held array<int>, places binary")
+
+    def assemble(known: pa.Table, docs: pa.Table) -> pa.Table:
+        bucket = known["bucket"].to_numpy()
+        found = np.flatnonzero(bucket < 0)
+        at, lp = known["gram"].to_numpy()[found], known["lp"].to_numpy()[found]
+        order = np.argsort(at)
+        at, lp = at[order], lp[order]
+        words = known.filter(pa.array(bucket >= 0)).sort_by("bucket").select(["sum", "words", "counts"])
+        del known, bucket, found, order
+        if len(set(words["sum"].to_pylist()) | set(docs["sum"].to_pylist())) > 1:
             raise RuntimeError("the input changed between two reads: write it to a table first")
-        coded = _coded([w for blob in words["words"] for w in unpack(blob)])
+        coded = _coded([w for blob in words["words"].to_pylist() for w in unpack(blob)])
         size = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded))
-        count = np.frombuffer(b"".join(words["counts"]), "<i8")
+        count = np.frombuffer(b"".join(words["counts"].to_pylist()), "<i8")
         base = np.log10((count + 0.1) / (total + 0.1 * (distinct + 1)))
-        rows = [np.frombuffer(raw, "<u4") for blob in docs["places"] for raw in unpack(blob)]
+        rows = [np.frombuffer(raw, "<u4") for blob in docs["places"].to_pylist() for raw in unpack(blob)]
         context, word, pair = context_pairs(coded, rows, depth, across)
         own = np.zeros(len(word))
         for gram, owner in pair_grams(coded, context, word, depth):
             own += np.bincount(owner, lp[np.searchsorted(at, gram)], minlength=len(word))
-        out = {"id": [doc for ids in docs["ids"] for doc in ids], "held": [bool(h) for held in docs["held"] for h in held],
+        out = {"id": [doc for ids in docs["ids"].to_pylist() for doc in ids],
+               "held": [h == 1 for held in docs["held"].to_pylist() for h in held],
                "n_tokens": list(map(len, rows)), "n_known": [], "base_score": [], "score": [], "n_bytes": [],
                "bits_per_byte": []}
         lo = 0
@@ -338,11 +343,11 @@ def score(documents: DataFrame, held_out: Column, *, depth: int = 5, id_col: str
             out["score"].append(score_)
             out["n_bytes"].append(int(size[row].sum()))
             out["bits_per_byte"].append(-score_ * math.log2(10) / out["n_bytes"][-1])
-        out["id"] = pd.array(out["id"], dtype="Int64" if id_sql == "bigint" else object)
-        return pd.DataFrame(out)
+        pa.default_memory_pool().release_unused()
+        return pa.Table.from_pydict({n: pa.array(v, id_type if n == "id" else None) for n, v in out.items()})
 
     done = (known.groupBy("block").cogroup(placed.groupBy("block"))
-            .applyInPandas(assemble, f"id {id_sql}, held boolean, n_tokens bigint, n_known bigint, "
+            .applyInArrow(assemble, f"id {id_sql}, held boolean, n_tokens bigint, n_known bigint, "
                                      "base_score double, score double, n_bytes bigint, bits_per_byte double"))
     return done.select(F.col("id").alias(id_col), F.col("held").alias("held_out"), "n_tokens", "n_known",
                        F.lit(total).cast("bigint").alias("train_tokens"), "base_score", "score", "n_bytes", "bits_per_byte")

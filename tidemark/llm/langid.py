@@ -4,8 +4,8 @@ Text is read as UTF-8 bytes (A-Z lowered) in stretches of 64. A forward and a
 backward GRU give every position a distribution over the learned languages;
 a document's distribution is the mean over its letter positions (ASCII letters
 and all non-ASCII bytes). The network is trained in numpy by backpropagation
-through time on a bounded sample of documents per language; scoring reads whole
-texts, a bounded number of stretches at a time.
+through time on stretches drawn over the whole texts of a bounded sample of documents
+of every labelled language; scoring reads whole texts, a bounded number of stretches at a time.
 
 NULL texts and texts without any letter get ``und`` and score 0. Ties go to the
 language that sorts first. Repeated rows get equal results; without any usable
@@ -17,11 +17,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import add_columns, spread_windows
+from tidemark.llm.common import add_columns
 
 STRETCH = 64
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -187,35 +188,53 @@ def document_probs(model: LangModel, texts: list[bytes], at_once: int = 4096) ->
     return sums / np.maximum(count, 1)[:, None]
 
 
-def sample(documents: DataFrame, usable: Column, per_lang: int, max_langs: int, id_col: str,
-           text_col: str, lang_col: str) -> list[tuple[bytes, str]]:
-    """About ``per_lang`` documents of each of the ``max_langs`` most frequent
-    languages, by id hash; never more than twice that many in all."""
-    known = documents.where(usable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = (known.groupBy(F.col(lang_col).alias("_lang")).count()
-              .orderBy(F.desc("count"), "_lang").limit(max_langs).collect())
+def sample(documents: DataFrame, usable: Column, per_lang: int, most_rows: int, draws: int, id_col: str,
+           text_col: str, lang_col: str, seed: int = 5) -> list[tuple[bytes, str]]:
+    """Stretches (lowered bytes, language) drawn in tasks, uniformly over the
+    whole texts of the sampled documents: about ``draws`` in all, shared by the
+    languages. Documents are sampled by hash, about ``per_lang`` of each language and
+    ``most_rows`` in all; of equal rows one is taken."""
+    known = documents.where(usable & F.col(lang_col).isNotNull() & (F.col(text_col) != "")).select(
+        F.col(lang_col).alias("_lang"), F.col(text_col).alias("_text"),
+        F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)).alias("_hash"))
+    counts = known.groupBy("_lang").agg(F.count("*").alias("_n")).collect()       # one row a language
     if not counts:
         return []
-    share = F.lit(0.0)
-    for r in counts:
-        share = F.when(F.col(lang_col) == r["_lang"], F.lit(min(1.0, per_lang / r["count"]))).otherwise(share)
-    point = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 30)) / float(1 << 30)
-    rows = (known.where(point < share)
-            .select(spread_windows(F.col(text_col)).alias("_text"), F.col(lang_col).alias("_lang"),
-                    point.alias("_point"))
-            .orderBy("_point", "_text").limit(2 * per_lang * len(counts)).collect())
-    return [(r["_text"].encode().translate(LOWER), r["_lang"]) for r in rows if r["_text"]]
-
-
-def language(documents: DataFrame, usable: Column, *, per_lang: int = 250, max_langs: int = 64,
-             id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+    each = min(per_lang, max(1, most_rows // len(counts)))
+    shares = documents.sparkSession.createDataFrame(
+        [(r["_lang"], min(1.0, each / r["_n"]), -(-draws // (len(counts) * min(each, r["_n"])))) for r in counts],
+        "_l string, _share double, _times int")
+    point = F.pmod("_hash", F.lit(1 << 30)) / float(1 << 30)
+    # the language table has one row a language: Spark broadcasts it by its size
+    picked = (known.join(shares, F.col("_lang") == F.col("_l")).where(point < F.col("_share"))
+              .dropDuplicates(["_lang", "_hash"]).select("_text", "_lang", "_hash", "_times"))
+
+    def draw(batches):
+        for batch in batches:
+            langs, raws, keys = [], [], []
+            for text, lang, key, times in zip(*(c.to_pylist() for c in batch.columns)):
+                raw = text.encode().translate(LOWER)
+                rng = np.random.default_rng([seed, key & (1 << 63) - 1])
+                for at in rng.integers(0, max(1, len(raw) - STRETCH + 1), times).tolist():
+                    langs.append(lang)
+                    raws.append(raw[at:at + STRETCH])
+                    keys.append(key)
+            yield pa.RecordBatch.from_pydict({"lang": pa.array(langs, pa.string()), "raw": pa.array(raws, pa.binary()),
+                                              "key": pa.array(keys, pa.int64())})
+    rows = picked.mapInArrow(draw, "lang string, raw binary, key bigint").collect()
+    return [(bytes(r["raw"]), r["lang"]) for r in sorted(rows, key=lambda r: (r["lang"], r["key"], r["raw"]))]
+
+
+def language(documents: DataFrame, usable: Column, *, per_lang: int = 250, most_rows: int = 16_000,
+             draws: int = 51_200, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
              pred_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
     """``documents`` with the predicted language and its pooled probability.
 
-    ``usable`` says which rows' languages may be learnt from; ``per_lang`` and
-    ``max_langs`` bound the training sample.
+    ``usable`` says which rows' languages may be learnt from; every language among
+    them is learnt. The sample has about ``per_lang`` documents of each, ``most_rows`` in
+    all, and the driver gets ``draws`` stretches of them.
     """
-    model = train(sample(documents, usable, per_lang, max_langs, id_col, text_col, lang_col))
+    model = train(sample(documents, usable, per_lang, most_rows, draws, id_col, text_col, lang_col))
     shared = documents.sparkSession.sparkContext.broadcast(vars(model) if model else None)
 
     def make():

@@ -90,14 +90,14 @@ def links(distinct: DataFrame, bits: int = 2, most: int = 1024) -> DataFrame:
     give the links of one member to the others of each second-level group."""
     if not 0 <= bits <= 2:
         raise ValueError("two segments serve distances of at most 2 bits")
-    from pyspark.sql import Window
-    by_key = Window.partitionBy("key")
     exact = F.shiftrightunsigned("key", 32).isin(0, 33)
-    seen = (index(distinct).withColumn("n", F.count("*").over(by_key))
-            .withColumn("n1", F.sum("side").over(by_key)))
-    live = stage_table(seen.where(F.when(exact, F.col("n") > 1)
-                                  .otherwise((F.col("n1") > 0) & (F.col("n1") < F.col("n"))))
-                       .select("fp", "key", "side", "n"), "simhash-buckets")
+    indexed = index(distinct)
+    # counted map-side, whatever the size of a bucket; only buckets that can link are kept
+    sizes = stage_table(indexed.groupBy("key").agg(F.count("*").alias("n"), F.sum("side").alias("n1"))
+                        .where(F.when(exact, F.col("n") > 1)
+                               .otherwise((F.col("n1") > 0) & (F.col("n1") < F.col("n"))))
+                        .select("key", "n"), "simhash-sizes")
+    live = stage_table(indexed.join(sizes, "key").select("fp", "key", "side", "n"), "simhash-buckets")
     few = live.where(F.col("n") <= most)
     x = few.select("key", F.col("fp").alias("a"), F.col("side").alias("sa"))
     y = few.select(F.col("key").alias("k2"), F.col("fp").alias("b"), F.col("side").alias("sb"))
@@ -131,14 +131,22 @@ def near_duplicates(documents: DataFrame, *, shingle: int = 3, bits: int = 2, mo
     as 16 hex digits and the smallest id reachable by links."""
     rows = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = stage_table(fingerprints(rows, "fp", shingle).select("id", "fp"), "simhash")
+    whole = fingerprint_groups(rows, bits, most)
+    return (rows.join(whole, F.col("fp") == F.col("wfp"))
+            .select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+                    "component_id"))
+
+
+def fingerprint_groups(rows: DataFrame, bits: int = 2, most: int = 1024) -> DataFrame:
+    """(wfp, group, component_id) of every distinct fingerprint of ``rows`` (id, fp):
+    ``group`` is one fingerprint of its component."""
     # every distinct fingerprint once, with its smallest id
     distinct = cut(rows.groupBy("fp").agg(F.min("id").alias("first")))
     roots = connected_components(links(distinct, bits, most))
     linked = roots.join(distinct, F.col("node") == F.col("fp")).select("root", "fp", "first")
     smallest = linked.groupBy(F.col("root").alias("r")).agg(F.min("first").alias("component"))
-    named = linked.join(smallest, F.col("root") == F.col("r")).select(F.col("fp").alias("lfp"), "component")
-    whole = cut(distinct.join(named, F.col("fp") == F.col("lfp"), "left")
-                .select(F.col("fp").alias("wfp"), F.coalesce("component", "first").alias("component_id")))
-    return (rows.join(whole, F.col("fp") == F.col("wfp"))
-            .select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
-                    "component_id"))
+    named = (linked.join(smallest, F.col("root") == F.col("r"))
+             .select(F.col("fp").alias("lfp"), F.col("root").alias("group"), "component"))
+    return cut(distinct.join(named, F.col("fp") == F.col("lfp"), "left")
+               .select(F.col("fp").alias("wfp"), F.coalesce("group", "fp").alias("group"),
+                       F.coalesce("component", "first").alias("component_id")))
