@@ -13,7 +13,7 @@ documents do not use.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import decode_rows, encode, read_ranks
@@ -21,7 +21,7 @@ from tidemark.llm.common import fold, fresh, read, stage_table
 from tidemark.llm.mixing import document_tree, mix
 from tidemark.llm.quality import quality_scores
 from tidemark.llm.secret_scan import redacted, with_spans
-from tidemark.llm.simhash import near_duplicates
+from tidemark.llm.simhash import fingerprint_groups, fingerprints
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,20 +33,19 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each SimHash group stays (3-word
-    shingles, two bits). Of rows that repeat an id the one with the smallest
-    text stays; rows with a NULL id stay."""
-    groups = stage_table(near_duplicates(docs.select("doc_id", "text"), shingle=3, bits=2), "dedup-groups")
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    again = groups.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    kept = docs.join(gone, "doc_id", "left_anti")
-    if not again.isEmpty():
-        place = fresh(docs, "_place")
-        first = (kept.join(again, "doc_id", "left_semi")
-                 .withColumn(place, F.row_number().over(Window.partitionBy("doc_id").orderBy("text")))
-                 .where(F.col(place) == 1).drop(place))
-        kept = kept.join(again, "doc_id", "left_anti").unionByName(first)
-    return kept.select(*docs.columns)
+    """One row of each SimHash group stays (3-word shingles, two bits): the one
+    with the smallest id (a NULL id last), of equal ids the one whose text has the
+    smallest SHA-256, of equal rows any one."""
+    fp, row = fresh(docs, "_fp"), fresh(docs, "_row")
+    marked = stage_table(fingerprints(docs, fp, shingle=3).withColumn(row, F.monotonically_increasing_id()), "dedup-rows")
+    rows = marked.select(F.col("doc_id").alias("id"), F.col(fp).alias("fp"), F.col(row).alias("row"),
+                         F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"))
+    groups = fingerprint_groups(rows.select("id", "fp"), bits=2)
+    # combined map-side: a group of any size sends one row per task
+    kept = (rows.join(groups, F.col("fp") == F.col("wfp")).groupBy("group")
+            .agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "digest", "row")).alias("best"))
+            .select(F.col("best.row").alias("kept_row")))
+    return marked.join(kept, F.col(row) == F.col("kept_row"), "left_semi").select(*docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
