@@ -16,6 +16,9 @@ ARROW = {"string": pa.string(), "double": pa.float64(), "int": pa.int32(), "bigi
          "boolean": pa.bool_(), "binary": pa.binary()}
 
 
+ROWS_AT_ONCE = 256
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, or a variant of it that no column of ``df`` uses."""
     taken = {c.lower() for c in df.columns}
@@ -71,7 +74,7 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, usable:
 
 def add_columns(df: DataFrame, text_col: str, fields: dict[str, str],
                 make: Callable[[], Callable[[list], dict]]) -> DataFrame:
-    """Append columns computed from whole texts, one Arrow batch at a time.
+    """Append columns computed from whole texts, ``ROWS_AT_ONCE`` rows at a time.
 
     ``make`` runs once per task and returns a function from a list of texts
     (NULLs given as ``None``) to ``{name: list}``. Rows keep their order and
@@ -82,11 +85,13 @@ def add_columns(df: DataFrame, text_col: str, fields: dict[str, str],
 
     def run(batches):
         fn = make()
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
-            made = fn(texts)
-            arrays = list(batch.columns) + [pa.array(made[n], ARROW[t]) for n, t in fields.items()]
-            yield pa.RecordBatch.from_arrays(arrays, names=list(batch.schema.names) + list(fields))
+        for whole in batches:
+            for lo in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(lo, ROWS_AT_ONCE)
+                made = fn(batch.column(batch.schema.get_field_index(text_col)).to_pylist())
+                arrays = list(batch.columns) + [pa.array(made[n], ARROW[t]) for n, t in fields.items()]
+                yield pa.RecordBatch.from_arrays(arrays, names=list(batch.schema.names) + list(fields))
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

@@ -172,6 +172,7 @@ def _word_vectors(sample: DataFrame, words: list[dict], rng) -> list[np.ndarray]
     context = [np.zeros((len(known), DIM), dtype=np.float32) for known in words]
     for r in sample.select("_text").mapInArrow(near, schema).repartition(8, "word").mapInArrow(add, schema).collect():
         context[r["kind"]][r["word"]] = np.frombuffer(r["sums"])
+    shared.destroy()
     for vectors, sums in zip(index, context):
         vectors[:len(sums)] += sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
     return index
@@ -195,6 +196,7 @@ def fit(sample: DataFrame, seed: int = 7, hidden: int = 24, epochs: int = 60) ->
     id_sql = sample.schema["_id"].dataType.simpleString()
     rows = (sample.select("_id", "_text", "_label").mapInArrow(pool, f"_id {id_sql}, _label int, x binary")
             .orderBy("_id").collect())
+    shared.destroy()
     x = np.stack([np.frombuffer(r["x"]) for r in rows])
     y = np.array([r["_label"] for r in rows], dtype=np.float64)
     mean, scale = x.mean(0), x.std(0) + 1e-6
