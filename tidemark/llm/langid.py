@@ -29,6 +29,7 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 IS_LETTER = np.array([97 <= c <= 122 or 65 <= c <= 90 or c >= 128 for c in range(256)], dtype=np.float32)
 LETTER = regex.compile(r"\p{L}")
 UND = "und"
+MOST_BROADCAST = 10_000          # languages, one short row each
 
 
 @dataclass
@@ -205,8 +206,10 @@ def sample(documents: DataFrame, usable: Column, per_lang: int, most_rows: int,
         [(r["_lang"], min(1.0, each / r["_n"]), -(-draws // (len(counts) * min(each, r["_n"])))) for r in counts],
         "_l string, _share double, _times int")
     point = F.pmod("_hash", F.lit(1 << 30)) / float(1 << 30)
-    # the language table has one row a language: Spark broadcasts it by its size
-    picked = (known.join(shares, F.col("_lang") == F.col("_l")).where(point < F.col("_share"))
+    # one row a language, counted above: a table of known size is broadcast, so that texts
+    # are not shuffled by language; beyond that the join shuffles
+    table = F.broadcast(shares) if len(counts) <= MOST_BROADCAST else shares
+    picked = (known.join(table, F.col("_lang") == F.col("_l")).where(point < F.col("_share"))
               .dropDuplicates(["_lang", "_hash"]).select("_text", "_lang", "_hash", "_times"))
 
     def draw(batches):
