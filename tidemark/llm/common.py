@@ -43,12 +43,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stage_table(df: DataFrame, name: str) -> DataFrame:
+def stage_table(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it
-    back: a lineage cut that stays columnar and compressed."""
+    back: a lineage cut that stays columnar and compressed. ``options`` go to
+    the Parquet writer."""
     spark = df.sparkSession
     path = checkpoint_path(spark, f"llm-{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

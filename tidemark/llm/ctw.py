@@ -13,12 +13,12 @@ counts are part of the same tree and predict 1/2.
 
 Counting and weighting are aggregations and joins of node tables. Blocks of
 documents count their distinct grams (the bytes before a byte and the byte), once
-per distinct pair of a context and a word; the grams' probabilities are joined
-back by block. For the unigram score blocks send their distinct words to hash
-buckets, which merge the counts of all training documents and send them back.
-Blocks are read twice, as in ``bpe``; a checksum guards against an input that
-changes between reads. Memory is bounded by one block and by the distinct words
-of one bucket.
+per distinct pair of a context and a word. Blocks send their distinct grams and
+words, packed, to hash buckets, which merge the counts of all training documents
+and send back the grams' probabilities and, for the unigram score, the counts.
+The texts are read once: a block's words, grams and token places are written to
+one table, which everything after reads. Memory is bounded by one block and by
+the distinct words or grams of one bucket.
 
 ``n_bytes`` counts the coded bytes and ``bits_per_byte`` is the code length of a
 text, ``-score`` in bits, per coded byte.
@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,7 @@ from tidemark.llm.common import stage_table
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 END = b"\n"
+SPREAD = 1_000_003          # a prime: grams go to the bucket of their remainder
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -61,42 +63,63 @@ class _Blocks:
 
     def __call__(self, batches):
         """Yields (block, ids, held, places per document, words in order of place,
-        [(bucket, words, counts)], checksum)."""
-        base, number = TaskContext.get().partitionId() << 24, 0
-        held = [[], [], [], {}, 0]
+        [(bucket, words, counts)])."""
+        block, held, size = TaskContext.get().partitionId() << 24, self._empty(), 0
         for batch in batches:
             for doc, text, out in zip(*(c.to_pylist() for c in batch.columns)):
-                known = held[3]
+                ids, outs, rows, known = held
                 own = tokens(text)
-                held[2].append(np.fromiter((known.setdefault(w, len(known)) for w in own),
-                                           dtype=np.uint32, count=len(own)))
-                held[0].append(doc)
-                held[1].append(out)
-                held[4] += len(text or "") + 1
-                if held[4] >= self.block_chars:
-                    yield (base + number, held[0], held[1], *self._finish(*held[1:4]))
-                    number, held = number + 1, [[], [], [], {}, 0]
+                rows.append(np.fromiter(map(known.__getitem__, own), dtype=np.uint32, count=len(own)))
+                ids.append(doc)
+                outs.append(out)
+                size += len(text or "") + 1
+                if size >= self.block_chars:
+                    del ids, outs, rows, known
+                    yield (block, *self._finish(*held))
+                    block, held, size = block + 1, self._empty(), 0
         if held[0]:
-            yield (base + number, held[0], held[1], *self._finish(*held[1:4]))
+            yield (block, *self._finish(*held))
 
-    def _finish(self, outs, rows, known):
+    @staticmethod
+    def _empty():
+        known = defaultdict()
+        known.default_factory = known.__len__       # a word not met before gets the next number
+        return [], [], [], known
+
+    def _finish(self, ids, outs, rows, known):
         words = list(known)
+        known.clear()
         count = np.zeros(len(words), dtype=np.int64)
-        for out, row in zip(outs, rows):
-            if not out:
-                np.add.at(count, row, 1)
-        bucket = np.fromiter((zlib.crc32(w) % self.buckets for w in words), dtype=np.int64, count=len(words))
+        learnt = [row for out, row in zip(outs, rows) if not out]
+        if learnt:
+            count += np.bincount(np.concatenate(learnt), minlength=len(words))
+        bucket = np.fromiter(map(zlib.crc32, words), dtype=np.int64, count=len(words)) % self.buckets
         order = np.argsort(bucket, kind="stable")
         place = np.empty(len(words), dtype=np.uint32)
         place[order] = np.arange(len(words), dtype=np.uint32)
         inside = bucket[order]
         starts = np.flatnonzero(np.r_[True, inside[1:] != inside[:-1]])
-        packed, check = [], 0
-        for a, b in zip(starts, [*starts[1:], len(words)]):
-            own = [words[k] for k in order[a:b]]
-            check = zlib.crc32(b" ".join(own), check)
-            packed.append((int(inside[a]), pack(own), count[order[a:b]].astype("<i8").tobytes()))
-        return [place[r] for r in rows], [words[k] for k in order], packed, check
+        words, count = [words[k] for k in order.tolist()], count[order].astype("<i8")
+        packed = [(int(inside[a]), pack(words[a:b]), count[a:b].tobytes())
+                  for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(words)])]
+        return ids, outs, [place[r] for r in rows], words, packed
+
+
+def planes(row: np.ndarray) -> bytes:
+    """Numbers byte by byte, all lowest bytes first: the high ones compress well."""
+    return row.view(np.uint8).reshape(len(row), -1).T.tobytes() if len(row) else b""
+
+
+def from_planes(raw: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(raw, dtype=np.uint8).reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
+
+
+def pack_sorted(keys: np.ndarray) -> bytes:
+    return planes(np.diff(keys, prepend=0).astype("<i8"))
+
+
+def unpack_sorted(raw: bytes) -> np.ndarray:
+    return from_planes(raw, "<i8").cumsum()
 
 
 # --- the context tree -------------------------------------------------------
@@ -111,30 +134,34 @@ def context_pairs(coded: list[bytes], rows: list[np.ndarray], depth: int, across
     word = np.concatenate(rows).astype(np.int64) if rows else np.zeros(0, dtype=np.int64)
     spaces = int.from_bytes(b" " * depth)
     if across and depth:
-        tail = np.fromiter((int.from_bytes(c[-depth:]) for c in coded), dtype=np.int64, count=len(coded))
-        size = np.fromiter((min(len(c), depth) for c in coded), dtype=np.int64, count=len(coded))
+        # one more token before every text: depth spaces
+        tail = np.array([int.from_bytes(c[-depth:]) for c in coded] + [spaces], dtype=np.int64)
+        size = np.array([len(c) for c in coded] + [depth], dtype=np.int64)
         sizes = np.fromiter(map(len, rows), dtype=np.int64, count=len(rows))
-        inside = np.arange(len(word)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        context, have, back = np.zeros(len(word), dtype=np.int64), np.zeros(len(word), dtype=np.int64), 0
-        open_ = np.arange(len(word))
+        led = np.insert(word, np.cumsum(sizes) - sizes, len(coded))
+        at = np.arange(len(word)) + np.repeat(np.arange(1, len(rows) + 1), sizes)
+        before = led[at - 1]
+        context, have, back = tail[before], size[before], 1
+        open_ = np.flatnonzero(have < depth)
         while len(open_):                       # one token further back, until depth bytes are known
             back += 1
-            begun = open_[inside[open_] < back]
-            context[begun] |= spaces << 8 * have[begun]
-            open_ = open_[inside[open_] >= back]
-            before = word[open_ - back]
+            before = led[at[open_] - back]
             context[open_] |= tail[before] << 8 * have[open_]
             have[open_] += size[before]
             open_ = open_[have[open_] < depth]
         context &= _mask(depth)
     else:
         context = np.full(len(word), spaces, dtype=np.int64)
+    width = len(coded).bit_length()
+    if 8 * depth + width < 64:                  # context and word fit one number
+        pairs, pair = np.unique(context << width | word, return_inverse=True)
+        return pairs >> width, pairs & (1 << width) - 1, pair
     known, number = np.unique(context, return_inverse=True)
     pairs, pair = np.unique(number * max(1, len(coded)) + word, return_inverse=True)
     return known[pairs // max(1, len(coded))], pairs % max(1, len(coded)), pair
 
 
-def pair_grams(coded: list[bytes], context: np.ndarray, word: np.ndarray, depth: int, most: int = 2_000_000):
+def pair_grams(coded: list[bytes], context: np.ndarray, word: np.ndarray, depth: int, most: int = 1_000_000):
     """(gram, pair) of all bytes of all pairs, about ``most`` bytes at a time: a
     gram is the ``depth`` bytes before a byte and the byte, as one number."""
     size = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded))
@@ -164,15 +191,22 @@ def block_grams(words: list[bytes], rows: list[np.ndarray], held: list, depth: i
     context, word, pair = context_pairs(coded, rows, depth, across)
     learnt = np.repeat([not h for h in held], list(map(len, rows)))
     times = np.bincount(pair[learnt], minlength=len(word))
-    gram, n = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    for more, owner in pair_grams(coded, context, word, depth):
-        merged, at = np.unique(more, return_inverse=True)
-        both, where = np.unique(np.concatenate([gram, merged]), return_inverse=True)
-        total = np.zeros(len(both), dtype=np.int64)
-        np.add.at(total, where[:len(gram)], n)
-        np.add.at(total, where[len(gram):], np.bincount(at, times[owner], len(merged)).astype(np.int64))
-        gram, n = both, total
-    return gram, n
+    parts, size = [], 0
+    for gram, owner in pair_grams(coded, context, word, depth):
+        parts.append(_summed(gram, times[owner]))
+        size += len(parts[-1][0])
+        if size > 4_000_000:
+            parts = [_summed(*map(np.concatenate, zip(*parts)))]
+            size = len(parts[0][0])
+    return _summed(*map(np.concatenate, zip(*parts))) if parts else (times[:0], times[:0])
+
+
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, ascending, and the sum of ``n`` of each."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    return keys[starts], np.add.reduceat(n[order], starts)
 
 
 def _log_gamma(x: Column) -> Column:
@@ -263,73 +297,85 @@ def score(documents: DataFrame, held_out: Column, *, depth: int = 5, id_col: str
     id_type = pa.string() if id_sql == "string" else pa.int64()
     blocks = _Blocks(block_chars, buckets)
 
+    schema = {"block": pa.int64(), "bucket": pa.int32(), "words": pa.binary(), "counts": pa.binary(),
+              "grams": pa.binary(), "n": pa.binary(), "ids": pa.list_(id_type), "held": pa.list_(pa.int32()),
+              "places": pa.binary()}
+
+    def part(block, **columns):
+        size = len(next(iter(columns.values())))
+        columns["block"] = np.full(size, block)
+        return pa.RecordBatch.from_arrays([pa.array(columns[c], t) if c in columns else pa.nulls(size, t)
+                                           for c, t in schema.items()], names=list(schema))
+
     def counted(batches):
-        for block, _, outs, rows, words, packed, check in blocks(batches):
-            k = len(packed)
+        for block, ids, outs, rows, words, packed in blocks(batches):
+            bucket, own, counts = zip(*packed)
+            yield part(block, bucket=bucket, words=own, counts=counts)
+            cuts = [slice(lo, lo + docs_per_row) for lo in range(0, len(ids), docs_per_row)]
+            yield part(block, ids=[ids[c] for c in cuts], held=[outs[c] for c in cuts],
+                       places=[pack([planes(r.astype("<u4")) for r in rows[c]]) for c in cuts])
             gram, n = block_grams(words, rows, outs, depth, across)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(k, block), pa.int64()), pa.array(np.full(k, check), pa.int64()),
-                pa.array([p[0] for p in packed], pa.int32()), pa.array([p[1] for p in packed], pa.binary()),
-                pa.array([p[2] for p in packed], pa.binary()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())], names)
-            k = len(gram)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(k, block), pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()),
-                pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary()), pa.array(gram, pa.int64()), pa.array(n, pa.int64())], names)
-
-    names = ["block", "sum", "bucket", "words", "counts", "gram", "n"]
-    both = stage_table(source.mapInArrow(counted, "block bigint, sum bigint, bucket int, words binary, "
-                                                  "counts binary, gram bigint, n bigint"), "lm-words")
-    local = both.where("gram IS NULL").select("block", "sum", "bucket", "words", "counts")
-    grams = both.where("gram IS NOT NULL").select("block", "gram", "n")
+            del ids, outs, rows, words, packed, own, counts
+            bucket = gram % SPREAD % buckets
+            order = np.argsort(bucket, kind="stable")           # ascending inside a bucket
+            gram, n, bucket = gram[order], n[order].astype("<i8"), bucket[order]
+            starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+            cuts = [slice(a, b) for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(gram)])]
+            yield part(block, bucket=bucket[starts], grams=[pack_sorted(gram[c]) for c in cuts],
+                       n=[planes(n[c]) for c in cuts])
+            del gram, n, bucket, order
+            pa.default_memory_pool().release_unused()
+
+    both = stage_table(source.mapInArrow(counted, "block bigint, bucket int, words binary, counts binary, grams binary, "
+                                                  f"n binary, ids array<{id_sql}>, held array<int>, places binary"),
+                       "lm-words", compression="zstd")
+    local = both.where("words IS NOT NULL").select("block", "bucket", "words", "counts")
+    grams = both.where("grams IS NOT NULL").select("block", "bucket", "grams", "n")
+    placed = both.where("places IS NOT NULL").select("block", "ids", "held", "places")
     merged = stage_table(local.select("bucket", "words", "counts").repartition(buckets, "bucket")
                          .sortWithinPartitions("bucket")
                          .mapInArrow(_merge, "bucket int, words binary, counts binary, total bigint, seen bigint"),
                          "lm-counts")
     sums = merged.agg(F.sum("total").alias("n"), F.sum("seen").alias("v")).first()
     total, distinct = sums["n"] or 0, sums["v"] or 0
-    scores = gram_scores(stage_table(grams.groupBy("gram").agg(F.sum("n").alias("n")), "lm-gram-counts"), depth)
-    back = grams.select("block", "gram").join(scores.withColumnRenamed("gram", "g"), F.col("gram") == F.col("g"))
-
-    asked = merged.select("bucket", F.lit(-1).cast("bigint").alias("block"), F.lit(0).cast("bigint").alias("sum"),
-                          "words", "counts").unionByName(
-        local.select("bucket", "block", "sum", "words", F.lit(None).cast("binary").alias("counts")))
+    summed = (grams.select("bucket", "grams", "n").repartition(buckets, "bucket").sortWithinPartitions("bucket")
+              .mapInArrow(_merge_grams, "gram bigint, n bigint"))
+    scores = gram_scores(stage_table(summed, "lm-gram-counts"), depth)
+    packed = (scores.select(F.expr(f"cast(gram % {SPREAD} % {buckets} as int)").alias("bucket"), "gram", "lp")
+              .repartition(buckets, "bucket").sortWithinPartitions("bucket", "gram")
+              .mapInArrow(_pack_scores, "bucket int, grams binary, lp binary"))
+    packed = stage_table(packed, "lm-gram-scores", compression="zstd")
+    back = (packed.select(F.lit(-1).cast("bigint").alias("block"), "bucket", "grams", "lp")
+            .unionByName(grams.select("block", "bucket", "grams", F.lit(None).cast("binary").alias("lp")))
+            .repartition(buckets, "bucket").sortWithinPartitions("bucket", "block")
+            .mapInArrow(_answer_grams, "block bigint, bucket int, grams binary, lp binary"))
+
+    asked = merged.select("bucket", F.lit(-1).cast("bigint").alias("block"), "words", "counts").unionByName(
+        local.select("bucket", "block", "words", F.lit(None).cast("binary").alias("counts")))
     answers = (asked.repartition(buckets, "bucket").sortWithinPartitions("bucket", "block")
-               .mapInArrow(_answer, "block bigint, bucket int, sum bigint, words binary, counts binary"))
-    # a block's words (with a bucket) and its grams (bucket -1)
-    known = answers.select("*", F.lit(0).cast("bigint").alias("gram"), F.lit(0.0).alias("lp")).unionByName(
-        back.select("block", F.lit(-1).alias("bucket"), F.lit(0).cast("bigint").alias("sum"),
-                    F.lit(None).cast("binary").alias("words"), F.lit(None).cast("binary").alias("counts"), "gram", "lp"))
-
-    def positions(batches):
-        for block, ids, outs, rows, _, _, check in blocks(batches):
-            for lo in range(0, len(ids), docs_per_row):
-                hi = lo + docs_per_row
-                yield pa.RecordBatch.from_pydict({
-                    "block": pa.array([block], pa.int64()), "sum": pa.array([check], pa.int64()),
-                    "ids": pa.array([ids[lo:hi]], pa.list_(id_type)), "held": pa.array([outs[lo:hi]], pa.list_(pa.int32())),
-                    "places": pa.array([pack([r.tobytes() for r in rows[lo:hi]])], pa.binary())})
-
-    placed = source.mapInArrow(positions, f"block bigint, sum bigint, ids array<{id_sql}>, held array<int>, places binary")
+               .mapInArrow(_answer, "block bigint, bucket int, words binary, counts binary"))
+    none = F.lit(None).cast("binary")
+    known = answers.select("*", none.alias("grams"), none.alias("lp")).unionByName(
+        back.select("block", "bucket", none.alias("words"), none.alias("counts"), "grams", "lp"))
 
     def assemble(known: pa.Table, docs: pa.Table) -> pa.Table:
-        bucket = known["bucket"].to_numpy()
-        found = np.flatnonzero(bucket < 0)
-        at, lp = known["gram"].to_numpy()[found], known["lp"].to_numpy()[found]
+        found = known.filter(known["grams"].is_valid())
+        at = np.concatenate([unpack_sorted(raw) for raw in found["grams"].to_pylist()])
+        lp = np.concatenate([from_planes(raw, "<f8") for raw in found["lp"].to_pylist()])
         order = np.argsort(at)
         at, lp = at[order], lp[order]
-        words = known.filter(pa.array(bucket >= 0)).sort_by("bucket").select(["sum", "words", "counts"])
-        del known, bucket, found, order
-        if len(set(words["sum"].to_pylist()) | set(docs["sum"].to_pylist())) > 1:
-            raise RuntimeError("the input changed between two reads: write it to a table first")
+        words = known.filter(known["words"].is_valid()).sort_by("bucket").select(["words", "counts"])
+        del known, found, order
         coded = _coded([w for blob in words["words"].to_pylist() for w in unpack(blob)])
         size = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded))
         count = np.frombuffer(b"".join(words["counts"].to_pylist()), "<i8")
         base = np.log10((count + 0.1) / (total + 0.1 * (distinct + 1)))
-        rows = [np.frombuffer(raw, "<u4") for blob in docs["places"].to_pylist() for raw in unpack(blob)]
+        rows = [from_planes(raw, "<u4") for blob in docs["places"].to_pylist() for raw in unpack(blob)]
         context, word, pair = context_pairs(coded, rows, depth, across)
         own = np.zeros(len(word))
         for gram, owner in pair_grams(coded, context, word, depth):
-            own += np.bincount(owner, lp[np.searchsorted(at, gram)], minlength=len(word))
+            order = np.argsort(gram)            # ascending lookups stay near each other
+            own += np.bincount(owner[order], lp[np.searchsorted(at, gram[order])], minlength=len(word))
         out = {"id": [doc for ids in docs["ids"].to_pylist() for doc in ids],
                "held": [h == 1 for held in docs["held"].to_pylist() for h in held],
                "n_tokens": list(map(len, rows)), "n_known": [], "base_score": [], "score": [], "n_bytes": [],
@@ -353,6 +399,67 @@ def score(documents: DataFrame, held_out: Column, *, depth: int = 5, id_col: str
                        F.lit(total).cast("bigint").alias("train_tokens"), "base_score", "score", "n_bytes", "bits_per_byte")
 
 
+def _merge_grams(batches):
+    """Rows sorted by bucket: the distinct grams of a bucket and their counts."""
+    bucket, parts, size = None, [], 0
+
+    def emit():
+        gram, n = _summed(*map(np.concatenate, zip(*parts)))
+        for lo in range(0, len(gram), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(gram[lo:lo + 100_000], pa.int64()),
+                                              pa.array(n[lo:lo + 100_000], pa.int64())], names=["gram", "n"])
+    for batch in batches:
+        for k, grams, n in zip(*(c.to_pylist() for c in batch.columns)):
+            if k != bucket:
+                if parts:
+                    yield from emit()
+                bucket, parts, size = k, [], 0
+            parts.append((unpack_sorted(grams), from_planes(n, "<i8")))
+            size += len(parts[-1][0])
+            if len(parts) > 1 and size > max(2_000_000, 2 * len(parts[0][0])):
+                parts = [_summed(*map(np.concatenate, zip(*parts)))]
+                size = len(parts[0][0])
+    if parts:
+        yield from emit()
+
+
+def _pack_scores(batches):
+    """Rows sorted by bucket and gram: one row per bucket."""
+    last, parts = None, []
+
+    def emit():
+        gram, lp = map(np.concatenate, zip(*parts))
+        return pa.RecordBatch.from_arrays([pa.array([last], pa.int32()), pa.array([pack_sorted(gram)], pa.binary()),
+                                           pa.array([planes(lp.astype("<f8"))], pa.binary())], names=["bucket", "grams", "lp"])
+    for batch in batches:
+        bucket, gram, lp = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else []
+        for a, b in zip(starts, [*starts[1:], len(bucket)]):
+            if bucket[a] != last:
+                if parts:
+                    yield emit()
+                last, parts = int(bucket[a]), []
+            parts.append((gram[a:b].copy(), lp[a:b].copy()))
+    if parts:
+        yield emit()
+
+
+def _answer_grams(batches):
+    """Rows sorted by bucket, its scores (block -1) first: each block's grams and
+    their scores in the same order."""
+    at, lp = None, None
+    for batch in batches:
+        out = []
+        for block, bucket, grams, scores in zip(*(c.to_pylist() for c in batch.columns)):
+            if block < 0:
+                at, lp = unpack_sorted(grams), from_planes(scores, "<f8")
+                continue
+            out.append((block, bucket, grams, planes(lp[np.searchsorted(at, unpack_sorted(grams))])))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+                zip(*out), (pa.int64(), pa.int32(), pa.binary(), pa.binary()))], names=["block", "bucket", "grams", "lp"])
+
+
 def _merge(batches):
     """Rows sorted by bucket: one row per bucket with its distinct words and counts."""
     bucket, known = None, {}
@@ -381,15 +488,15 @@ def _answer(batches):
     place, count = {}, None
     for batch in batches:
         out = []
-        for bucket, block, check, words, counts in zip(*(c.to_pylist() for c in batch.columns)):
+        for bucket, block, words, counts in zip(*(c.to_pylist() for c in batch.columns)):
             own = unpack(words)
             if block < 0:
                 place = {w: k for k, w in enumerate(own)}
                 count = np.frombuffer(counts, "<i8")
                 continue
             at = np.fromiter((place[w] for w in own), dtype=np.int64, count=len(own))
-            out.append((block, bucket, check, words, count[at].tobytes()))
+            out.append((block, bucket, words, count[at].tobytes()))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-                zip(*out), (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
-                names=["block", "bucket", "sum", "words", "counts"])
+                zip(*out), (pa.int64(), pa.int32(), pa.binary(), pa.binary()))],
+                names=["block", "bucket", "words", "counts"])
