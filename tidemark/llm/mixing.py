@@ -21,7 +21,8 @@ texts are read once more for it and never sorted.
 NULL level values are a group of their own (shown as ``''``); a NULL text has 0
 tokens; NULL ids share one hash. Rows with equal ids have equal hashes and are
 taken together. An empty table, a zero budget or a leaf without tokens gives no
-rows.
+rows. Columns of the documents are never overwritten: a new column whose name is
+taken gets underscores in front.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stage_table
+from tidemark.llm.common import fresh, stage_table
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -127,11 +128,9 @@ def mix(documents: DataFrame, levels: dict[str, Column], weights: list[Column],
     if max_epochs < 1 or not 0 <= share:
         raise ValueError("max_epochs must be positive and share not negative")
     leaf = [f"mix_{name}" for name in levels]
-    named = documents
-    for name, value in levels.items():
-        named = named.withColumn(f"mix_{name}", F.coalesce(value.cast("string"), F.lit("")))
-    narrow = stage_table(named.select(*leaf, F.col(id_col).cast("string").alias("id"),
-                                      token_count(f"`{text_col}`").alias("tokens")), "mixing")
+    values = [F.coalesce(value.cast("string"), F.lit("")) for value in levels.values()]
+    narrow = stage_table(documents.select(*[v.alias(c) for v, c in zip(values, leaf)], F.col(id_col).cast("string").alias("id"),
+                                          token_count(f"`{text_col}`").alias("tokens")), "mixing")
     leaves = narrow.groupBy(*leaf).agg(F.sum("tokens").alias("tokens")).where("tokens > 0")
     # written tables have a known size: Spark broadcasts them only below its threshold
     given = stage_table(allocate(leaves, leaf, weights, share, max_epochs)
@@ -141,15 +140,18 @@ def mix(documents: DataFrame, levels: dict[str, Column], weights: list[Column],
     keyed = narrow.join(wanted, leaf).select(*leaf, "target", "tokens",
                                              order_key(seed, F.col("whole"), F.col("id")).alias("key"))
     last = thresholds(keyed, leaf)
+    shown = [fresh(documents, c) for c in leaf]
+    on = [fresh(documents, f"_of_{c}") for c in leaf]
+    whole, cut, copies = (fresh(documents, c) for c in ("_whole", "_last", "_copies"))
     plan = stage_table(given.select(*leaf, "whole").join(last, leaf, "left")
-                       .select(*[F.col(c).alias(f"_{c}") for c in leaf], F.col("whole").alias("_whole"),
-                               F.coalesce("last_key", F.lit(-1)).alias("_last")), "mixing-plan")
-    on = [F.col(c) == F.col(f"_{c}") for c in leaf]
-    key = order_key(seed, F.col("_whole"), F.col(id_col))
-    copies = F.col("_whole") + F.when(key <= F.col("_last"), 1).otherwise(0)
-    chosen = named.join(plan, on).withColumn("_copies", copies).where("_copies > 0")
-    return (chosen.withColumn(epoch_col, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1)))
-            .drop("_copies", "_whole", "_last", *[f"_{c}" for c in leaf]))
+                       .select(*[F.col(c).alias(n) for c, n in zip(leaf, on)], F.col("whole").alias(whole),
+                               F.coalesce("last_key", F.lit(-1)).alias(cut)), "mixing-plan")
+    named = documents.select("*", *[v.alias(n) for v, n in zip(values, shown)])
+    key = order_key(seed, F.col(whole), F.col(id_col))
+    chosen = (named.join(plan, [F.col(a) == F.col(b) for a, b in zip(shown, on)])
+              .withColumn(copies, F.col(whole) + F.when(key <= F.col(cut), 1).otherwise(0)).where(F.col(copies) > 0))
+    return (chosen.withColumn(fresh(documents, epoch_col), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(copies) - 1)))
+            .drop(copies, whole, cut, *on))
 
 
 # Production parameters of the registered query and the pipeline: the table has

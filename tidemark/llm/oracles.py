@@ -71,4 +71,52 @@ SELECT s.doc_id, s.n_features, s.weight, s.score, CASE WHEN p <= n * 10 // 100 T
 FROM scored s LEFT JOIN placed ON s.doc_id = placed.doc_id
 """
 
-ORACLES = {"op12_spelling_variants": OP12, "op13_importance_resampling": OP13}
+
+def _shares(nodes: str, parent: str) -> str:
+    """``given`` of every child in ``nodes`` (name, cap, weight, budget): children
+    that their part of the budget fills are found in order of cap per weight."""
+    by = f"PARTITION BY {parent}" if parent else ""
+    return f"""SELECT *, CASE WHEN filled THEN cap WHEN weight_rest = 0 THEN 0
+       ELSE weight * (budget - cap_filled) // weight_rest END AS given
+FROM (SELECT *, sum(CASE WHEN filled THEN cap ELSE 0 END) OVER ({by}) AS cap_filled,
+             sum(CASE WHEN filled THEN 0 ELSE weight END) OVER ({by}) AS weight_rest
+      FROM (SELECT *, cap * (weight_all - weight_before) <= weight * (budget - cap_before) AS filled
+            FROM (SELECT *, coalesce(sum(cap) OVER earlier, 0) AS cap_before,
+                         coalesce(sum(weight) OVER earlier, 0) AS weight_before, sum(weight) OVER ({by}) AS weight_all
+                  FROM ({nodes}) WINDOW earlier AS ({by} ORDER BY cap::DOUBLE / weight::DOUBLE, name
+                                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))))"""
+
+
+DOMAINS = """SELECT domain AS name, domain, sum(cap)::HUGEINT AS cap, (4 - substr(domain, 2, 1)::INT)::HUGEINT AS weight,
+       any_value(budget) AS budget FROM leaves, top GROUP BY domain"""
+LANGS = """SELECT lang AS name, domain, lang, sum(l.cap)::HUGEINT AS cap, (CASE WHEN lang = 'en' THEN 3 ELSE 1 END)::HUGEINT
+       AS weight, any_value(d.given) AS budget FROM leaves l JOIN domains d USING (domain) GROUP BY domain, lang"""
+SOURCES = """SELECT source AS name, domain, lang, source, l.cap, 1::HUGEINT AS weight, g.given AS budget
+FROM leaves l JOIN langs g USING (domain, lang)"""
+
+OP1 = f"""
+WITH t AS ({CRC_TABLE}),
+names AS (SELECT source, 'd' || ({crc32("source")} % 4) AS domain
+          FROM (SELECT DISTINCT source FROM documents WHERE source IS NOT NULL), t),
+docs AS (SELECT doc_id, coalesce(domain, 'd0') AS domain, coalesce(lang, '') AS lang, coalesce(d.source, '') AS source,
+                len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS tokens
+         FROM documents d LEFT JOIN names n ON d.source = n.source),
+leaves AS (SELECT domain, lang, source, sum(tokens)::HUGEINT AS tokens, 2 * sum(tokens)::HUGEINT AS cap
+           FROM docs GROUP BY ALL HAVING sum(tokens) > 0),
+top AS (SELECT least(floor(sum(tokens)::DOUBLE * 0.6::DOUBLE)::HUGEINT, sum(cap)::HUGEINT) AS budget FROM leaves),
+domains AS ({_shares(DOMAINS, "")}),
+langs AS ({_shares(LANGS, "domain")}),
+sources AS ({_shares(SOURCES, "domain, lang")}),
+given AS (SELECT domain, lang, source, s.given // l.tokens AS whole, s.given % l.tokens AS target
+          FROM sources s JOIN leaves l USING (domain, lang, source)),
+keyed AS (SELECT docs.*, whole, target,
+                 ('0x' || substr(md5('11:' || whole || ':' || coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT AS k
+          FROM docs JOIN given USING (domain, lang, source)),
+summed AS (SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY k) AS reached FROM keyed),
+cut AS (SELECT domain, lang, source, min(k) AS last FROM summed WHERE target > 0 AND reached >= target GROUP BY ALL),
+chosen AS (SELECT doc_id, domain, lang, source, (whole + CASE WHEN k <= last THEN 1 ELSE 0 END)::BIGINT AS copies
+           FROM keyed LEFT JOIN cut USING (domain, lang, source))
+SELECT doc_id, domain, lang, source, unnest(range(copies))::BIGINT AS epoch FROM chosen
+"""
+
+ORACLES = {"op1_source_mixing": OP1, "op12_spelling_variants": OP12, "op13_importance_resampling": OP13}
