@@ -6,8 +6,11 @@ space) splits and merges like the same piece anywhere else. Pieces of a bounded
 block of documents are numbered; a block's distinct pieces go to the hash bucket
 of their bytes, where each distinct piece is encoded once and its ids return to
 the blocks; a document is then its pieces' ids in the order of their positions.
-Decoding looks the ids up in the table of token bytes (one row per rank, the
-size of the rank file).
+Decoding is a join of the ids, one row each, with the table of token bytes (one
+row per rank, broadcast: it has the size of the rank file). The join keeps the
+rows in the order of their documents, so no shuffle follows; each row carries its
+position and the document's length, and a gap or a missing end raises an error,
+as does an id that the table lacks.
 
 Blocks are stretches of an input partition, read twice (for the pieces and for
 the positions): the input must be a deterministic frame, such as a table scan.
@@ -26,8 +29,9 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TWO_SPACES = re.compile(r"\s\s|^\s|\s$")
@@ -200,34 +204,136 @@ def encode(documents: DataFrame, ranks: dict[bytes, int], pattern: str, *, id_co
             .applyInArrow(assemble, f"block bigint, part int, ids array<{id_sql}>, tokens binary"))
 
 
-def decode_rows(encoded: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id") -> DataFrame:
-    """One row per document of ``encode``'s table: its number of tokens, the
-    digest of its ids and the digest of the bytes its ids decode to."""
+def token_rows(encoded: DataFrame, id_col: str = "doc_id", row_tokens: int = 65_536) -> DataFrame:
+    """The token ids of ``encode``'s table as rows (id, n_tokens, first, tokens): a
+    document has one row for every ``row_tokens`` of its ids (one row if it has none),
+    in order; ``first`` is the position of a row's first id in its document."""
     id_sql = encoded.schema["ids"].dataType.elementType.simpleString()
-    id_type = ARROW_ID[id_sql]
-    table = encoded.sparkSession.sparkContext.broadcast(ranks)
+
+    def batch_of(rows):
+        offsets = np.cumsum([0, *(len(r[3]) for r in rows)]).astype(np.int32)
+        flat = np.concatenate([r[3] for r in rows]).astype(np.int32, copy=False)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in rows], ARROW_ID[id_sql]), pa.array([r[1] for r in rows], pa.int64()),
+             pa.array([r[2] for r in rows], pa.int64()),
+             pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=[id_col, "n_tokens", "first", "tokens"])
 
     def run(batches):
-        size = max(table.value.values(), default=-1) + 1
-        token_bytes = [b""] * size
-        for b, k in table.value.items():
-            token_bytes[k] = b
-        names = [str(k) for k in range(size)]
         for batch in batches:
-            ids, count, ids_hash, text_hash = [], [], [], []
-            at = {n: batch.schema.get_field_index(n) for n in ("ids", "tokens")}
-            for docs, blob in zip(batch.column(at["ids"]).to_pylist(), batch.column(at["tokens"]).to_pylist()):
+            for docs, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                rows, held = [], 0
                 for doc, raw in zip(docs, unpack(blob)):
-                    tokens = np.frombuffer(raw, dtype="<u4").tolist()
-                    ids.append(doc)
-                    count.append(len(tokens))
-                    ids_hash.append(hashlib.sha256(",".join(map(names.__getitem__, tokens)).encode()).hexdigest())
-                    text_hash.append(hashlib.sha256(b"".join(map(token_bytes.__getitem__, tokens))).hexdigest())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, id_type), pa.array(count, pa.int64()),
-                                              pa.array(ids_hash, pa.string()), pa.array(text_hash, pa.string())],
-                                             names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
+                    tokens = np.frombuffer(raw, dtype="<u4")
+                    for lo in range(0, max(1, len(tokens)), row_tokens):
+                        rows.append((doc, len(tokens), lo, tokens[lo:lo + row_tokens]))
+                        held += len(rows[-1][3])
+                        if held >= 4 * row_tokens:
+                            yield batch_of(rows)
+                            rows, held = [], 0
+                if rows:
+                    yield batch_of(rows)
 
     return encoded.select("ids", "tokens").mapInArrow(
+        run, f"`{id_col}` {id_sql}, n_tokens bigint, first bigint, tokens array<int>")
+
+
+def token_table(spark: SparkSession, ranks: dict[bytes, int]) -> DataFrame:
+    """(token, bytes): one row per rank."""
+    return spark.createDataFrame(pa.table({"token": pa.array(ranks.values(), pa.int32()),
+                                           "bytes": pa.array(ranks.keys(), pa.binary())}))
+
+
+def _with_bytes(tokens: DataFrame, table: DataFrame, id_col: str) -> DataFrame:
+    one = (tokens.select(F.col(id_col).alias("id"), F.col("n_tokens").alias("n"), "first", F.posexplode_outer("tokens"))
+           .withColumn("at", F.col("first") + F.col("pos"))
+           # the id and the length travel once a document, with its first token
+           .select(*[F.when(F.coalesce(F.col("at"), F.lit(0)) == 0, F.col(c)).alias(c) for c in ("id", "n")],
+                   "at", F.col("col").alias("token")))
+    return one.join(F.broadcast(table), "token", "left").select("id", "n", "at", "token", "bytes")
+
+
+def _stretches(batches):
+    """(id, number of the document's ids, position, number of ids, ids joined by commas,
+    bytes) of each stretch of one document in a batch of ``_with_bytes``."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        at = pc.fill_null(batch.column(2), -1).to_numpy()          # -1: a document without ids
+        data = batch.column(4)
+        if data.null_count != (at < 0).sum():
+            raise ValueError("a token id has no row in the table of token bytes")
+        new = at <= 0
+        new[0] = True
+        if not (new[1:] | (np.diff(at) == 1)).all():
+            raise RuntimeError("token ids of a document are out of order")
+        starts = np.flatnonzero(new)
+        ends = np.append(starts[1:], len(at))
+        cuts = np.frombuffer(data.buffers()[1], dtype="<i4")[data.offset:data.offset + len(at) + 1]
+        body = data.buffers()[2]
+        view = memoryview(body) if body is not None else memoryview(b"")
+        lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(at)).astype(np.int32)),
+                                         batch.column(3).cast(pa.string()))
+        for a, b, doc, text in zip(starts.tolist(), ends.tolist(), batch.column(0).take(pa.array(starts)).to_pylist(),
+                                   pc.binary_join(lists, ",").to_pylist()):
+            none = at[a] < 0
+            yield (doc, batch.column(1)[a].as_py(), 0 if none else int(at[a]), 0 if none else b - a,
+                   "" if none else text, view[cuts[a]:cuts[b]])
+
+
+def _decoded(batches, start, add, done, names, types):
+    """Fold each document's stretches: ``add(start(), ids, bytes)``, then ``done``'s columns."""
+    held, rows = None, []
+    for own_id, length, first, count, ids, data in _stretches(batches):
+        if first == 0:
+            if held is not None:
+                raise RuntimeError("a document's last token ids are missing")
+            doc, n, held, seen = own_id, length, start(), 0
+        if held is None or first != seen:
+            raise RuntimeError("token ids of a document are out of order")
+        add(held, ids if first == 0 else "," + ids, data)
+        seen += count
+        if seen == n:
+            rows.append((doc, n, *done(held)))
+            held = None
+            if len(rows) >= 256:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+                rows = []
+    if held is not None:
+        raise RuntimeError("a document's last token ids are missing")
+    if rows:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+
+
+def decode(tokens: DataFrame, table: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(id, n_tokens, decoded): the bytes that each document's ids decode to, from
+    the rows of ``token_rows`` and a table (token, bytes) of distinct tokens."""
+    id_sql = tokens.schema[id_col].dataType.simpleString()
+    names, types = [id_col, "n_tokens", "decoded"], [ARROW_ID[id_sql], pa.int64(), pa.binary()]
+
+    def run(batches):
+        return _decoded(batches, list, lambda held, ids, data: held.append(bytes(data)),
+                        lambda held: (b"".join(held),), names, types)
+    return _with_bytes(tokens, table, id_col).mapInArrow(run, f"`{id_col}` {id_sql}, n_tokens bigint, decoded binary")
+
+
+def decode_rows(encoded: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id") -> DataFrame:
+    """One row per document of ``encode``'s table: its number of tokens, the digest of
+    its ids and the digest of the bytes its ids decode to. Decodes like ``decode``, but
+    holds no whole text."""
+    tokens = token_rows(encoded, id_col)
+    id_sql = tokens.schema[id_col].dataType.simpleString()
+    names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"]
+    types = [ARROW_ID[id_sql], pa.int64(), pa.string(), pa.string()]
+
+    def add(held, ids, data):
+        held[0].update(ids.encode())
+        held[1].update(data)
+
+    def run(batches):
+        return _decoded(batches, lambda: (hashlib.sha256(), hashlib.sha256()), add,
+                        lambda held: [h.hexdigest() for h in held], names, types)
+
+    return _with_bytes(tokens, token_table(encoded.sparkSession, ranks), id_col).mapInArrow(
         run, f"`{id_col}` {id_sql}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
