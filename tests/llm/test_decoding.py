@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
 from hard_rows import SMALL, empty, hard  # noqa: F401
@@ -56,32 +58,54 @@ def test_texts_come_back(spark, hard, empty, ranks):
     cache = {}
     want = sorted(((r["doc_id"], (r["text"] or "").encode(), loop_ids(r["text"], ranks, cache))
                    for r in docs.collect()), key=str)
-    out = bpe.decode(rows, bpe.token_table(spark, ranks))
-    assert sorted(((r["doc_id"], bytes(r["decoded"])) for r in out.collect()), key=str) == [w[:2] for w in want]
-    assert sorted((r["n_tokens"] for r in out.collect())) == sorted(len(w[2]) for w in want)
+    got = {}
+    for r in rows.orderBy("first").collect():
+        assert len(r["tokens"]) == min(4, r["n_tokens"] - r["first"])
+        got.setdefault((r["doc_id"], r["n_tokens"]), []).extend(r["tokens"] if r["first"] % 4 == 0 else [None])
+    assert all(got[(d, len(ids))][:4] == ids[:4] for d, _, ids in want)
+    out = bpe.decode(table, bpe.token_table(spark, ranks)).collect()
+    assert sorted(((r["doc_id"], bytes(r["decoded"])) for r in out), key=str) == [w[:2] for w in want]
+    assert sorted(r["n_tokens"] for r in out) == sorted(len(w[2]) for w in want)
     long = hard.where("length(text) > 20000").selectExpr("text AS doc_id", "text")      # ids may be texts
-    back = bpe.decode(bpe.token_rows(bpe.encode(long, ranks, public_tokenizers.PATTERN)), bpe.token_table(spark, ranks))
+    back = bpe.decode(bpe.encode(long, ranks, public_tokenizers.PATTERN), bpe.token_table(spark, ranks))
     got = back.collect()
     assert len(got) == 2 and all(r["doc_id"].encode() == bytes(r["decoded"]) for r in got)
-    assert bpe.decode(bpe.token_rows(bpe.encode(empty, ranks, public_tokenizers.PATTERN)),
-                      bpe.token_table(spark, ranks)).count() == 0
+    assert bpe.decode(bpe.encode(empty, ranks, public_tokenizers.PATTERN), bpe.token_table(spark, ranks)).count() == 0
 
 
-def test_decoding_is_a_join_without_a_shuffle_after_it(spark, ranks):
-    rows = spark.createDataFrame([(1, 2, 0, [300, 400]), (2, 0, 0, [])],
-                                 "doc_id bigint, n_tokens bigint, first bigint, tokens array<int>")
-    out = bpe.decode(rows, bpe.token_table(spark, ranks))
+def packed(spark, *groups):
+    """Rows of ``encode``'s table from lists of (id, token ids)."""
+    rows = [(0, k, [d for d, _ in g], bytearray(bpe.pack([np.array(t, "<u4").tobytes() for _, t in g])))
+            for k, g in enumerate(groups)]
+    return spark.createDataFrame(rows, "block bigint, part int, ids array<bigint>, tokens binary")
+
+
+def test_decoding_is_a_join_without_a_shuffle(spark, ranks):
+    many = list(range(256, 25_000))                                # distinct ids over several batches
+    table = packed(spark, [(1, [300, 400, 300]), (2, [])], [(3, []), (None, [])], [(4, many), (5, many[::-1])])
+    out = bpe.decode(table.coalesce(1), bpe.token_table(spark, ranks))
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
     names = {k: b for b, k in ranks.items()}
-    assert sorted((r["doc_id"], bytes(r["decoded"])) for r in out.collect()) == [(1, names[300] + names[400]), (2, b"")]
-
-
-@pytest.mark.parametrize("rows", [
-    [(1, 1, 0, [10_000_000])],                                     # no such token
-    [(1, 3, 0, [300, 400])],                                       # the end is missing
-    [(1, 3, 1, [300, 400])]])                                      # the beginning is missing
-def test_broken_token_rows_raise(spark, ranks, rows):
-    tokens = spark.createDataFrame(rows, "doc_id bigint, n_tokens bigint, first bigint, tokens array<int>").coalesce(1)
-    with pytest.raises(Exception, match="token id"):
-        bpe.decode(tokens, bpe.token_table(spark, ranks)).collect()
+    whole = [names[k] for k in many]
+    assert sorted(((r["doc_id"], bytes(r["decoded"])) for r in out.collect()), key=str) == sorted(
+        [(1, names[300] + names[400] + names[300]), (2, b""), (3, b""), (None, b""),
+         (4, b"".join(whole)), (5, b"".join(whole[::-1]))], key=str)
+
+
+def test_an_id_without_bytes_raises(spark, ranks):
+    with pytest.raises(Exception, match="token id has no row"):
+        bpe.decode(packed(spark, [(1, [300, 10_000_000])]), bpe.token_table(spark, ranks)).collect()
+
+
+def test_rows_out_of_order_raise():
+    def batch(at, n):
+        return pa.RecordBatch.from_pydict({
+            "ids": pa.array([[1] if k == 0 else None for k in at], pa.list_(pa.int64())),
+            "places": pa.array([b"" if k == 0 else None for k in at], pa.binary()),
+            "n": pa.array([n if k == 0 else None for k in at], pa.int32()), "at": pa.array(at, pa.int32()),
+            "token": pa.array(at, pa.int32()), "bytes": pa.array([b"x"] * len(at), pa.binary())})
+    assert len(list(bpe._groups([batch([0, 1], 3), batch([2, 0, 1, 2], 3)]))) == 2
+    for broken in ([0, 2, 1], [0, 1], [0, 0, 1, 2], [1, 2]):
+        with pytest.raises(RuntimeError, match="token ids are"):
+            list(bpe._groups([batch(broken, 3)]))

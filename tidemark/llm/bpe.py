@@ -6,11 +6,11 @@ space) splits and merges like the same piece anywhere else. Pieces of a bounded
 block of documents are numbered; a block's distinct pieces go to the hash bucket
 of their bytes, where each distinct piece is encoded once and its ids return to
 the blocks; a document is then its pieces' ids in the order of their positions.
-Decoding is a join of the ids, one row each, with the table of token bytes (one
-row per rank, broadcast: it has the size of the rank file). The join keeps the
-rows in the order of their documents, so no shuffle follows; each row carries its
-position and the document's length, and a gap or a missing end raises an error,
-as does an id that the table lacks.
+Decoding is a join with the table of token bytes (one row per rank, broadcast: it
+has the size of the rank file). Each distinct id of a row of documents joins once;
+the join keeps the rows in their order, so no shuffle follows, and the documents are
+put together by position. A gap or a missing end raises an error, as does an id
+that the table lacks.
 
 Blocks are stretches of an input partition, read twice (for the pieces and for
 the positions): the input must be a deterministic frame, such as a table scan.
@@ -29,7 +29,6 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -243,97 +242,96 @@ def token_table(spark: SparkSession, ranks: dict[bytes, int]) -> DataFrame:
                                            "bytes": pa.array(ranks.keys(), pa.binary())}))
 
 
-def _with_bytes(tokens: DataFrame, table: DataFrame, id_col: str) -> DataFrame:
-    one = (tokens.select(F.col(id_col).alias("id"), F.col("n_tokens").alias("n"), "first", F.posexplode_outer("tokens"))
-           .withColumn("at", F.col("first") + F.col("pos"))
-           # the id and the length travel once a document, with its first token
-           .select(*[F.when(F.coalesce(F.col("at"), F.lit(0)) == 0, F.col(c)).alias(c) for c in ("id", "n")],
-                   "at", F.col("col").alias("token")))
-    return one.join(F.broadcast(table), "token", "left").select("id", "n", "at", "token", "bytes")
+def _with_bytes(encoded: DataFrame, table: DataFrame) -> DataFrame:
+    """(ids, places, n, at, token, bytes): one row per distinct id of a row of ``encoded``;
+    the first also carries the documents' ids, their tokens as numbers of distinct
+    ids, and how many those are."""
+    ids_type = encoded.schema["ids"].dataType.simpleString()
 
-
-def _stretches(batches):
-    """(id, number of the document's ids, position, number of ids, ids joined by commas,
-    bytes) of each stretch of one document in a batch of ``_with_bytes``."""
+    def number(batches):
+        for batch in batches:
+            for ids, blob in zip(batch.column(0), batch.column(1).to_pylist()):
+                tokens = [np.frombuffer(raw, dtype="<u4") for raw in unpack(blob)]
+                known = np.zeros(max((int(t.max()) + 1 for t in tokens if len(t)), default=0), dtype=bool)
+                for t in tokens:
+                    known[t] = True
+                distinct = np.flatnonzero(known).astype(np.int32)
+                places = np.cumsum(known, dtype=np.uint32) - np.uint32(1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([ids.as_py()], ids.type), pa.array([pack([places[t].tobytes() for t in tokens])]),
+                     pa.ListArray.from_arrays(pa.array([0, len(distinct)], pa.int32()), pa.array(distinct))],
+                    names=["ids", "places", "distinct"])
+
+    once = (encoded.select("ids", "tokens").mapInArrow(number, f"ids {ids_type}, places binary, distinct array<int>")
+            .withColumn("n", F.size("distinct")).select("ids", "places", "n", F.posexplode_outer("distinct")))
+    first = F.coalesce("pos", F.lit(0)) == 0
+    return (once.select(*[F.when(first, F.col(c)).alias(c) for c in ("ids", "places", "n")],
+                        F.coalesce("pos", F.lit(0)).alias("at"), F.col("col").alias("token"))
+            .join(F.broadcast(table), "token", "left").select("ids", "places", "n", "at", "token", "bytes"))
+
+
+def _groups(batches):
+    """(ids of documents, packed places, distinct token ids, their bytes) of each row of ``encode``'s table."""
+    held, last = None, -1
     for batch in batches:
         if not batch.num_rows:
             continue
-        at = pc.fill_null(batch.column(2), -1).to_numpy()          # -1: a document without ids
-        data = batch.column(4)
-        if data.null_count != (at < 0).sum():
-            raise ValueError("a token id has no row in the table of token bytes")
-        new = at <= 0
-        new[0] = True
-        if not (new[1:] | (np.diff(at) == 1)).all():
-            raise RuntimeError("token ids of a document are out of order")
-        starts = np.flatnonzero(new)
-        ends = np.append(starts[1:], len(at))
-        cuts = np.frombuffer(data.buffers()[1], dtype="<i4")[data.offset:data.offset + len(at) + 1]
-        body = data.buffers()[2]
-        view = memoryview(body) if body is not None else memoryview(b"")
-        lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(at)).astype(np.int32)),
-                                         batch.column(3).cast(pa.string()))
-        for a, b, doc, text in zip(starts.tolist(), ends.tolist(), batch.column(0).take(pa.array(starts)).to_pylist(),
-                                   pc.binary_join(lists, ",").to_pylist()):
-            none = at[a] < 0
-            yield (doc, batch.column(1)[a].as_py(), 0 if none else int(at[a]), 0 if none else b - a,
-                   "" if none else text, view[cuts[a]:cuts[b]])
-
-
-def _decoded(batches, start, add, done, names, types):
-    """Fold each document's stretches: ``add(start(), ids, bytes)``, then ``done``'s columns."""
-    held, rows = None, []
-    for own_id, length, first, count, ids, data in _stretches(batches):
-        if first == 0:
-            if held is not None:
-                raise RuntimeError("a document's last token ids are missing")
-            doc, n, held, seen = own_id, length, start(), 0
-        if held is None or first != seen:
-            raise RuntimeError("token ids of a document are out of order")
-        add(held, ids if first == 0 else "," + ids, data)
-        seen += count
-        if seen == n:
-            rows.append((doc, n, *done(held)))
-            held = None
-            if len(rows) >= 256:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
-                rows = []
+        at = batch.column(3).to_numpy()
+        if ((np.diff(at, prepend=last) != 1) & (at != 0)).any():
+            raise RuntimeError("token ids are out of order")
+        last = int(at[-1])
+        starts = np.flatnonzero(np.r_[True, at[1:] == 0]).tolist()
+        for a, b in zip(starts, [*starts[1:], len(at)]):
+            if at[a] == 0:
+                if held is not None:
+                    raise RuntimeError("token ids are missing")
+                held = [batch.column(0)[a].as_py(), batch.column(1)[a].as_py(), batch.column(2)[a].as_py(), [], []]
+            if held[2]:
+                held[3] += batch.column(4).slice(a, b - a).to_pylist()
+                held[4] += batch.column(5).slice(a, b - a).to_pylist()
+            if len(held[3]) == held[2]:
+                if None in held[4]:
+                    raise ValueError("a token id has no row in the table of token bytes")
+                yield held[0], held[1], held[3], held[4]
+                held = None
     if held is not None:
-        raise RuntimeError("a document's last token ids are missing")
-    if rows:
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+        raise RuntimeError("token ids are missing")
 
 
-def decode(tokens: DataFrame, table: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(id, n_tokens, decoded): the bytes that each document's ids decode to, from
-    the rows of ``token_rows`` and a table (token, bytes) of distinct tokens."""
-    id_sql = tokens.schema[id_col].dataType.simpleString()
-    names, types = [id_col, "n_tokens", "decoded"], [ARROW_ID[id_sql], pa.int64(), pa.binary()]
+def decode(encoded: DataFrame, table: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(id, n_tokens, decoded): the bytes that the ids of each document of ``encode``'s
+    table decode to, by a table (token, bytes) of distinct tokens."""
+    id_sql = encoded.schema["ids"].dataType.elementType.simpleString()
 
     def run(batches):
-        return _decoded(batches, list, lambda held, ids, data: held.append(bytes(data)),
-                        lambda held: (b"".join(held),), names, types)
-    return _with_bytes(tokens, table, id_col).mapInArrow(run, f"`{id_col}` {id_sql}, n_tokens bigint, decoded binary")
+        for docs, blob, _, by_place in _groups(batches):
+            for doc, raw in zip(docs, unpack(blob)):
+                places = np.frombuffer(raw, dtype="<u4").tolist()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([doc], ARROW_ID[id_sql]), pa.array([len(places)], pa.int64()),
+                     pa.array([b"".join(map(by_place.__getitem__, places))], pa.binary())],
+                    names=[id_col, "n_tokens", "decoded"])
+    return _with_bytes(encoded, table).mapInArrow(run, f"`{id_col}` {id_sql}, n_tokens bigint, decoded binary")
 
 
 def decode_rows(encoded: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id") -> DataFrame:
     """One row per document of ``encode``'s table: its number of tokens, the digest of
-    its ids and the digest of the bytes its ids decode to. Decodes like ``decode``, but
-    holds no whole text."""
-    tokens = token_rows(encoded, id_col)
-    id_sql = tokens.schema[id_col].dataType.simpleString()
-    names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"]
+    its ids and the digest of the bytes its ids decode to (by the same join as ``decode``)."""
+    id_sql = encoded.schema["ids"].dataType.elementType.simpleString()
     types = [ARROW_ID[id_sql], pa.int64(), pa.string(), pa.string()]
 
-    def add(held, ids, data):
-        held[0].update(ids.encode())
-        held[1].update(data)
-
     def run(batches):
-        return _decoded(batches, lambda: (hashlib.sha256(), hashlib.sha256()), add,
-                        lambda held: [h.hexdigest() for h in held], names, types)
-
-    return _with_bytes(tokens, token_table(encoded.sparkSession, ranks), id_col).mapInArrow(
+        for docs, blob, tokens, by_place in _groups(batches):
+            names, rows = list(map(str, tokens)), []
+            for doc, raw in zip(docs, unpack(blob)):
+                places = np.frombuffer(raw, dtype="<u4").tolist()
+                rows.append((doc, len(places),
+                             hashlib.sha256(",".join(map(names.__getitem__, places)).encode()).hexdigest(),
+                             hashlib.sha256(b"".join(map(by_place.__getitem__, places))).hexdigest()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)],
+                                             names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return _with_bytes(encoded, token_table(encoded.sparkSession, ranks)).mapInArrow(
         run, f"`{id_col}` {id_sql}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
