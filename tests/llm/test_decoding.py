@@ -75,9 +75,11 @@ def test_texts_come_back(spark, hard, empty, ranks):
 
 def packed(spark, *groups):
     """Rows of ``encode``'s table from lists of (id, token ids)."""
-    rows = [(0, k, [d for d, _ in g], bytearray(bpe.pack([np.array(t, "<u4").tobytes() for _, t in g])))
-            for k, g in enumerate(groups)]
-    return spark.createDataFrame(rows, "block bigint, part int, ids array<bigint>, tokens binary")
+    rows = []
+    for k, g in enumerate(groups):
+        distinct, places = bpe.number([np.array(t, "<u4") for _, t in g])
+        rows.append((0, k, [d for d, _ in g], distinct.tolist(), bytearray(places)))
+    return spark.createDataFrame(rows, "block bigint, part int, ids array<bigint>, distinct array<int>, places binary")
 
 
 def test_decoding_is_a_join_without_a_shuffle(spark, ranks):

@@ -112,6 +112,15 @@ class _Blocks:
         return [place[r] for r in rows], packed, check
 
 
+def number(documents: list[np.ndarray]) -> tuple[np.ndarray, bytes]:
+    """Distinct token ids of some documents, and each document's places among them, packed."""
+    known = np.zeros(max((int(t.max()) + 1 for t in documents if len(t)), default=0), dtype=bool)
+    for t in documents:
+        known[t] = True
+    places = np.cumsum(known, dtype=np.uint32) - np.uint32(1)
+    return np.flatnonzero(known).astype(np.int32), pack([places[t].tobytes() for t in documents])
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as f:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
@@ -124,8 +133,9 @@ def _encoder(ranks: dict, pattern: str):
 
 def encode(documents: DataFrame, ranks: dict[bytes, int], pattern: str, *, id_col: str = "doc_id",
            text_col: str = "text", block_chars: int = 8_000_000, docs_per_row: int = 128) -> DataFrame:
-    """(block, part, ids of the documents, their token ids packed): the encoded
-    table, ``docs_per_row`` documents in a row. ``decode_rows`` reads it."""
+    """(block, part, ids of the documents, distinct token ids, places): the encoded
+    table, ``docs_per_row`` documents in a row; a document's tokens are packed as their
+    places among the distinct ones. ``token_rows`` and ``decode`` read it."""
     spark = documents.sparkSession
     buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     source = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -186,7 +196,7 @@ def encode(documents: DataFrame, ranks: dict[bytes, int], pattern: str, *, id_co
         flat = np.frombuffer(b"".join(tokens), dtype="<u4")
         del tokens, words
         starts = np.cumsum(sizes) - sizes
-        out = []
+        out, distinct = [], []
         for blob in docs["places"].to_pylist():
             packed = []
             for raw in unpack(blob):
@@ -194,13 +204,19 @@ def encode(documents: DataFrame, ranks: dict[bytes, int], pattern: str, *, id_co
                 n = sizes[at]
                 total = int(n.sum())
                 index = np.repeat(starts[at] - (np.cumsum(n) - n), n) + np.arange(total)
-                packed.append(flat[index].tobytes())
-            out.append(pack(packed))
+                packed.append(flat[index])
+            known, places = number(packed)
+            distinct.append(known)
+            out.append(places)
         pa.default_memory_pool().release_unused()
-        return docs.select(["block", "part", "ids"]).append_column("tokens", pa.array(out, pa.binary()))
+        offsets = np.cumsum([0, *map(len, distinct)]).astype(np.int32)
+        return (docs.select(["block", "part", "ids"])
+                .append_column("distinct", pa.ListArray.from_arrays(
+                    pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *distinct]))))
+                .append_column("places", pa.array(out, pa.binary())))
 
     return (encoded.groupBy("block").cogroup(placed.groupBy("block"))
-            .applyInArrow(assemble, f"block bigint, part int, ids array<{id_sql}>, tokens binary"))
+            .applyInArrow(assemble, f"block bigint, part int, ids array<{id_sql}>, distinct array<int>, places binary"))
 
 
 def token_rows(encoded: DataFrame, id_col: str = "doc_id", row_tokens: int = 65_536) -> DataFrame:
@@ -219,10 +235,10 @@ def token_rows(encoded: DataFrame, id_col: str = "doc_id", row_tokens: int = 65_
 
     def run(batches):
         for batch in batches:
-            for docs, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                rows, held = [], 0
+            for docs, distinct, blob in zip(*(c.to_pylist() for c in batch.columns)):
+                rows, held, distinct = [], 0, np.array(distinct, dtype=np.int32)
                 for doc, raw in zip(docs, unpack(blob)):
-                    tokens = np.frombuffer(raw, dtype="<u4")
+                    tokens = distinct[np.frombuffer(raw, dtype="<u4")]
                     for lo in range(0, max(1, len(tokens)), row_tokens):
                         rows.append((doc, len(tokens), lo, tokens[lo:lo + row_tokens]))
                         held += len(rows[-1][3])
@@ -232,7 +248,7 @@ def token_rows(encoded: DataFrame, id_col: str = "doc_id", row_tokens: int = 65_
                 if rows:
                     yield batch_of(rows)
 
-    return encoded.select("ids", "tokens").mapInArrow(
+    return encoded.select("ids", "distinct", "places").mapInArrow(
         run, f"`{id_col}` {id_sql}, n_tokens bigint, first bigint, tokens array<int>")
 
 
@@ -246,24 +262,7 @@ def _with_bytes(encoded: DataFrame, table: DataFrame) -> DataFrame:
     """(ids, places, n, at, token, bytes): one row per distinct id of a row of ``encoded``;
     the first also carries the documents' ids, their tokens as numbers of distinct
     ids, and how many those are."""
-    ids_type = encoded.schema["ids"].dataType.simpleString()
-
-    def number(batches):
-        for batch in batches:
-            for ids, blob in zip(batch.column(0), batch.column(1).to_pylist()):
-                tokens = [np.frombuffer(raw, dtype="<u4") for raw in unpack(blob)]
-                known = np.zeros(max((int(t.max()) + 1 for t in tokens if len(t)), default=0), dtype=bool)
-                for t in tokens:
-                    known[t] = True
-                distinct = np.flatnonzero(known).astype(np.int32)
-                places = np.cumsum(known, dtype=np.uint32) - np.uint32(1)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([ids.as_py()], ids.type), pa.array([pack([places[t].tobytes() for t in tokens])]),
-                     pa.ListArray.from_arrays(pa.array([0, len(distinct)], pa.int32()), pa.array(distinct))],
-                    names=["ids", "places", "distinct"])
-
-    once = (encoded.select("ids", "tokens").mapInArrow(number, f"ids {ids_type}, places binary, distinct array<int>")
-            .withColumn("n", F.size("distinct")).select("ids", "places", "n", F.posexplode_outer("distinct")))
+    once = encoded.select("ids", "places", F.size("distinct").alias("n"), F.posexplode_outer("distinct"))
     first = F.coalesce("pos", F.lit(0)) == 0
     return (once.select(*[F.when(first, F.col(c)).alias(c) for c in ("ids", "places", "n")],
                         F.coalesce("pos", F.lit(0)).alias("at"), F.col("col").alias("token"))
